@@ -15,14 +15,26 @@ which is the reference's per-point definition (squared distances, the
 point itself included in its own cluster's sum).  It is *not*
 ``ClusteringEvaluator``, which leaves the point out of its own cluster.
 
-Plan shape: one grouped aggregate produces k rows (count, mean and
-variance per coordinate, all built-in and codegen'd).  They are packed
-into one array – its length checked against ``max_clusters`` – and
-reach every task as a scalar subquery.  Each point then needs k·d work
-and no join, no shuffle and no pair of points is ever formed; the mean
-silhouette is a partial + final ``avg``.  Work is linear in the number
-of points, so the exact silhouette over all points is as cheap as the
-approximate one.
+Plan shape.  One grouped aggregate reduces the (sample) points to k rows
+of moments: a partial aggregate per task, so a cluster holding a third of
+the points costs one buffer per task.  The k rows are model-sized (k
+centres of d coordinates, like a k-means model), their number is checked
+against ``max_clusters`` with a bounded ``limit`` before they reach the
+driver, and they are shipped to the tasks inside the plan.  Every point
+then needs k*d arithmetic and no join, no shuffle and no pair of points
+is ever formed; the mean is a partial + final ``avg``.  Work is linear in
+the number of points, so the exact silhouette of all points costs one
+more pass than the approximate one.
+
+Per-point evaluation methods (``method``):
+
+* ``codegen`` – the moments become literals of plain arithmetic
+  expressions, compiled by whole-stage codegen (best for small k*d);
+* ``arrow`` – an Arrow-batched pandas UDF computing the k distances of a
+  whole batch with one matrix product (best when k*d is large, where the
+  generated code would outgrow a JVM method);
+* ``lambda`` – array higher-order functions over a scalar subquery, fully
+  lazy (no job at plan time), interpreted per element; a cross-check.
 
 Normalisers: ``expected`` = min(t, |C|) (the reference's approximate
 silhouette), ``actual`` = number of sampled points of the cluster (the
@@ -32,9 +44,14 @@ everything).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +59,12 @@ from sheaf.functions.vectors import silhouette_value
 from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, bounded, stratified_sample
 
 NORMALIZERS = ("expected", "actual")
+METHODS = ("auto", "codegen", "arrow", "lambda")
+# Up to this many coordinates the moments are per-coordinate built-in
+# aggregates; above it Spark ML's Summarizer (one vector aggregate).
+WIDE_MAX_DIM = 16
+# Up to this many (cluster, coordinate) terms per point, generated code.
+CODEGEN_MAX_TERMS = 128
 
 
 def vector_dim(points: DataFrame, point: str = "point") -> int:
@@ -50,39 +73,139 @@ def vector_dim(points: DataFrame, point: str = "point") -> int:
     return int(row["d"]) if row is not None else 0
 
 
+def _dim_error(dim: int) -> Column:
+    return F.raise_error(F.lit(f"points must all have {dim} coordinates"))
+
+
 def cluster_moments(
     df: DataFrame,
-    dim: int,
+    dim: int | None = None,
     point: str = "point",
     cluster: str = "cluster",
     size_col: str | None = None,
 ) -> DataFrame:
     """(cluster, n, mean:array<double>, m2[, size]) per cluster.
 
-    ``m2`` is the centred scatter sum ||q - mean||^2, from the built-in
-    (stable) population variance per coordinate.  Vectors of a length
-    other than ``dim`` fail the query.
+    ``m2`` is the centred scatter sum ||q - mean||^2, from stable running
+    variances.  Vectors of unequal length fail the query.
     """
     p = F.col(point)
-    aggs = [
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size(p)).alias("_dmin"),
-        F.max(F.size(p)).alias("_dmax"),
-    ]
-    aggs += [F.avg(p[i]).alias(f"_mu{i}") for i in range(dim)]
-    aggs += [F.var_pop(p[i]).alias(f"_var{i}") for i in range(dim)]
-    if size_col:
-        aggs.append(F.max(size_col).alias("size"))
-    m = df.groupBy(cluster).agg(*aggs)
-    scatter = reduce(add, [F.col(f"_var{i}") for i in range(dim)], F.lit(0.0)) * F.col("n")
-    checked = F.when(
-        (F.col("_dmin") != dim) | (F.col("_dmax") != dim),
-        F.raise_error(F.lit(f"points must all have {dim} coordinates")),
-    ).otherwise(scatter)
-    cols = [F.col(cluster), F.col("n"), F.array(*[F.col(f"_mu{i}") for i in range(dim)]).alias("mean"), checked.alias("m2")]
-    if size_col:
-        cols.append(F.col("size"))
-    return m.select(*cols)
+    extra = [F.max(size_col).alias("size")] if size_col else []
+    if dim is not None and dim <= WIDE_MAX_DIM:
+        aggs = [F.count(F.lit(1)).alias("n"), F.min(F.size(p)).alias("_dmin"), F.max(F.size(p)).alias("_dmax")]
+        aggs += [F.avg(p[i]).alias(f"_mu{i}") for i in range(dim)]
+        aggs += [F.var_pop(p[i]).alias(f"_var{i}") for i in range(dim)]
+        m = df.groupBy(cluster).agg(*aggs, *extra)
+        scatter = reduce(add, [F.col(f"_var{i}") for i in range(dim)], F.lit(0.0)) * F.col("n")
+        m2 = F.when((F.col("_dmin") != dim) | (F.col("_dmax") != dim), _dim_error(dim)).otherwise(scatter)
+        mean = F.array(*[F.col(f"_mu{i}") for i in range(dim)])
+    else:
+        summary = Summarizer.metrics("mean", "variance", "count").summary(array_to_vector(p))
+        m = df.groupBy(cluster).agg(summary.alias("_st"), *extra)
+        n = F.col("_st.count")
+        # Summarizer's variance is the unbiased one: scatter = var * (n - 1).
+        var_sum = F.aggregate(vector_to_array("_st.variance"), F.lit(0.0), lambda acc, v: acc + v)
+        m = m.withColumn("n", n)
+        m2 = var_sum * (n - 1).cast("double")
+        mean = vector_to_array("_st.mean")
+    cols = [F.col(cluster), F.col("n"), mean.alias("mean"), m2.alias("m2")]
+    return m.select(*cols, *(["size"] if size_col else []))
+
+
+@dataclass(frozen=True)
+class Moments:
+    """Moments of one cluster's sample, with its normaliser."""
+
+    cluster: int
+    n: float
+    mean: tuple[float, ...]
+    m2: float
+    norm: float
+
+
+def collect_moments(
+    moments: DataFrame,
+    norm: Column,
+    cluster: str = "cluster",
+    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+) -> list[Moments]:
+    """Bring the k moment rows to the driver after checking k <= max_clusters."""
+    rows = (
+        moments.select(
+            F.col(cluster).alias("cluster"),
+            F.col("n").cast("double").alias("n"),
+            F.col("mean"),
+            F.col("m2").cast("double").alias("m2"),
+            norm.cast("double").alias("norm"),
+        )
+        .limit(max_clusters + 1)
+        .collect()
+    )
+    if len(rows) > max_clusters:
+        raise ValueError(f"more than {max_clusters} clusters; raise max_clusters to allow it")
+    out = [Moments(r["cluster"], r["n"], tuple(r["mean"]), r["m2"], r["norm"]) for r in rows]
+    return sorted(out, key=lambda m: m.cluster)
+
+
+def _tree_sum(terms: list[Column]) -> Column:
+    while len(terms) > 1:
+        terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+    return terms[0]
+
+
+def _scores_codegen(points: DataFrame, moments: list[Moments], dim: int, point: str, cluster: str) -> DataFrame:
+    p = F.col(point)
+    dists = []
+    for m in moments:
+        sq = _tree_sum([(p[i] - F.lit(m.mean[i])) * (p[i] - F.lit(m.mean[i])) for i in range(dim)])
+        dists.append(F.lit(m.n / m.norm) * sq + F.lit(m.m2 / m.norm))
+    index = F.create_map(*[x for j, m in enumerate(moments) for x in (F.lit(m.cluster), F.lit(j))])
+    checked = F.when(F.size(p) != dim, _dim_error(dim)).otherwise(F.array(*dists))
+    staged = points.select("*", checked.alias("_ds"), F.element_at(index, F.col(cluster)).alias("_own"))
+    ds, own = F.col("_ds"), F.col("_own")
+    others = [F.when(own.isNull() | (own != j), ds[j]) for j in range(len(moments))]
+    b = others[0] if len(others) == 1 else F.least(*others)
+    return staged.select(
+        *[F.col(c) for c in points.columns],
+        F.coalesce(F.get(ds, own), F.lit(0.0)).alias("a"),
+        F.coalesce(b, F.lit(0.0)).alias("b"),
+    )
+
+
+def _ab_udf(moments: list[Moments], dim: int):
+    clusters = np.array([m.cluster for m in moments], dtype=np.int64)
+    mu = np.array([m.mean for m in moments], dtype=np.float64).reshape(len(moments), dim)
+    n = np.array([m.n for m in moments])
+    w = n / np.array([m.norm for m in moments])
+    c = np.array([m.m2 for m in moments]) / np.array([m.norm for m in moments])
+    # Centre on the pooled mean: the expansion ||p||^2 - 2 p.mu + ||mu||^2 is
+    # then free of the cancellation that large offsets would cause.
+    centre = (n[:, None] * mu).sum(axis=0) / max(n.sum(), 1.0)
+    mu_c = mu - centre
+    mu_sq = (mu_c * mu_c).sum(axis=1)
+
+    @F.pandas_udf("a double, b double")
+    def ab(points: pd.Series, labels: pd.Series) -> pd.DataFrame:
+        if len(points) == 0:
+            return pd.DataFrame({"a": [], "b": []})
+        lens = points.map(len).to_numpy()
+        if (lens != dim).any():
+            raise ValueError(f"points must all have {dim} coordinates")
+        pc = np.stack(points.to_numpy()).astype(np.float64) - centre
+        sq = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ mu_c.T) + mu_sq[None, :]
+        d = w[None, :] * np.maximum(sq, 0.0) + c[None, :]
+        own = labels.to_numpy()[:, None] == clusters[None, :]
+        a = np.where(own, d, -np.inf).max(axis=1, initial=-np.inf)
+        b = np.where(own, np.inf, d).min(axis=1, initial=np.inf)
+        return pd.DataFrame({"a": np.where(np.isfinite(a), a, 0.0), "b": np.where(np.isfinite(b), b, 0.0)})
+
+    return ab
+
+
+def _scores_arrow(points: DataFrame, moments: list[Moments], dim: int, point: str, cluster: str) -> DataFrame:
+    ab = _ab_udf(moments, dim)
+    staged = points.select("*", ab(F.col(point), F.col(cluster)).alias("_ab"))
+    return staged.select(*[F.col(c) for c in points.columns], F.col("_ab.a").alias("a"), F.col("_ab.b").alias("b"))
 
 
 def moments_lookup(
@@ -91,7 +214,7 @@ def moments_lookup(
     cluster: str = "cluster",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
 ) -> Column:
-    """Scalar-subquery column: the k moment rows as one checked array."""
+    """Scalar-subquery column: the k moment rows as one checked array (lazy)."""
     entry = F.struct(
         F.col(cluster).alias("cluster"),
         F.col("n").cast("double").alias("n"),
@@ -103,42 +226,59 @@ def moments_lookup(
     return packed.select(bounded(F.col("c"), max_clusters, "cluster moments")).scalar()
 
 
-def _sqdist_unchecked(p: Column, q: Column) -> Column:
-    return F.aggregate(F.zip_with(p, q, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v)
+def _scores_lambda(points: DataFrame, lookup: Column, dim: int, point: str, cluster: str) -> DataFrame:
+    p, c = F.col(point), F.col(cluster)
 
+    def sqdist(q: Column) -> Column:
+        return F.aggregate(F.zip_with(F.col("_p"), q, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, v: s + v)
 
-def silhouette_per_point(
-    points: DataFrame,
-    lookup: Column,
-    dim: int,
-    point: str = "point",
-    cluster: str = "cluster",
-) -> DataFrame:
-    """Add ``a``, ``b`` and ``s`` to every point, given a moments lookup."""
-    p, c = F.col(point), F.col(cluster)
-    checked_point = F.when(
-        F.size(p) != dim, F.raise_error(F.lit(f"points must all have {dim} coordinates"))
-    ).otherwise(p)
     avg_dist = F.transform(
         F.col("_mom"),
         lambda e: F.struct(
-            e["cluster"].alias("cluster"),
-            ((e["n"] * _sqdist_unchecked(F.col("_p"), e["mean"]) + e["m2"]) / e["norm"]).alias("d"),
+            e["cluster"].alias("cluster"), ((e["n"] * sqdist(e["mean"]) + e["m2"]) / e["norm"]).alias("d")
         ),
     )
     own = F.array_max(F.transform(F.filter(F.col("_ad"), lambda e: e["cluster"] == c), lambda e: e["d"]))
     other = F.array_min(F.transform(F.filter(F.col("_ad"), lambda e: e["cluster"] != c), lambda e: e["d"]))
     return (
-        points.withColumn("_p", checked_point)
+        points.withColumn("_p", F.when(F.size(p) != dim, _dim_error(dim)).otherwise(p))
         .withColumn("_mom", lookup)
         .withColumn("_ad", avg_dist)
         .withColumn("a", F.coalesce(own, F.lit(0.0)))
         .withColumn("b", F.coalesce(other, F.lit(0.0)))
-        .withColumn("s", silhouette_value("a", "b"))
         .drop("_p", "_mom", "_ad")
     )
 
 
+def silhouette_scores(
+    points: DataFrame,
+    moments: DataFrame,
+    norm: Column,
+    dim: int,
+    point: str = "point",
+    cluster: str = "cluster",
+    method: str = "auto",
+    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+) -> DataFrame:
+    """Add ``a``, ``b`` and ``s`` to every point, given the sample moments."""
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    if method == "lambda":
+        lookup = moments_lookup(moments, norm, cluster, max_clusters)
+        scored = _scores_lambda(points, lookup, dim, point, cluster)
+    else:
+        rows = collect_moments(moments, norm, cluster, max_clusters)
+        if method == "auto":
+            method = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
+        if not rows:
+            scored = points.withColumn("a", F.lit(0.0)).withColumn("b", F.lit(0.0))
+        elif method == "codegen":
+            scored = _scores_codegen(points, rows, dim, point, cluster)
+        else:
+            scored = _scores_arrow(points, rows, dim, point, cluster)
+    return scored.withColumn("s", silhouette_value("a", "b"))
+
+
 def mean_silhouette(scored: DataFrame, name: str = "silhouette") -> DataFrame:
     """(silhouette = mean of s, n_points); null silhouette on no points."""
     return scored.agg(F.avg("s").alias(name), F.count(F.lit(1)).alias("n_points"))
@@ -149,13 +289,13 @@ def exact_silhouette_scores(
     dim: int | None = None,
     point: str = "point",
     cluster: str = "cluster",
+    method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
 ) -> DataFrame:
     """a, b, s for every point against all points (sample = everything)."""
     dim = vector_dim(points, point) if dim is None else dim
     moments = cluster_moments(points, dim, point, cluster)
-    lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
-    return silhouette_per_point(points, lookup, dim, point, cluster)
+    return silhouette_scores(points, moments, F.col("n"), dim, point, cluster, method, max_clusters)
 
 
 def approx_silhouette_scores(
@@ -167,6 +307,7 @@ def approx_silhouette_scores(
     id_col: str = "id",
     point: str = "point",
     cluster: str = "cluster",
+    method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
 ) -> DataFrame:
     """a, b, s for every point against a stratified sample of at most t per cluster."""
@@ -180,8 +321,7 @@ def approx_silhouette_scores(
     else:
         moments = cluster_moments(sample, dim, point, cluster)
         norm = F.col("n")
-    lookup = moments_lookup(moments, norm, cluster, max_clusters)
-    return silhouette_per_point(points, lookup, dim, point, cluster)
+    return silhouette_scores(points, moments, norm, dim, point, cluster, method, max_clusters)
 
 
 def sample_silhouette_scores(
@@ -192,14 +332,14 @@ def sample_silhouette_scores(
     id_col: str = "id",
     point: str = "point",
     cluster: str = "cluster",
+    method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
 ) -> DataFrame:
     """a, b, s for every *sampled* point against the sample (actual sizes)."""
     dim = vector_dim(points, point) if dim is None else dim
     sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters)
     moments = cluster_moments(sample, dim, point, cluster)
-    lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
-    return silhouette_per_point(sample, lookup, dim, point, cluster)
+    return silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, max_clusters)
 
 
 def exact_silhouette(points: DataFrame, **kwargs) -> DataFrame:

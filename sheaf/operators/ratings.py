@@ -7,13 +7,17 @@ ratings(product_id, user_id, rating:float)
 
 Scale notes.  The user mean is a partial (map-side) aggregate, so a user
 holding a third of all rows costs one hash-table entry per task, not one
-task.  It is then joined back on the user key; no broadcast hint is
-given because the number of users grows with the data: AQE turns the
-join into a broadcast join only when the measured size of the means is
-under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and otherwise
-keeps a sort-merge join whose skewed partitions it splits.  The
-``window`` strategy is one pass with no join but puts every user in one
-task; use it only when no user is large.
+task.  It is then joined back on the user key:
+
+* ``join`` (default): the means (one row per user) are computed once into
+  the reliable checkpoint directory and broadcast only when a bounded
+  count shows at most ``broadcast_max_rows`` users, so the ratings are
+  never shuffled; above the bound it is a shuffle join whose skewed
+  partitions (a hot user) AQE splits.
+* ``lazy_join``: the same join with no job at plan time; AQE converts it
+  to a broadcast join from measured sizes, after both sides were shuffled.
+* ``window``: one pass with no join, but every user's rows go to one task;
+  use it only when no user is large.
 """
 
 from __future__ import annotations
@@ -21,7 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-STRATEGIES = ("join", "window")
+from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+
+STRATEGIES = ("join", "lazy_join", "window")
 
 
 def _mean_of(rating: str) -> Column:
@@ -41,6 +47,7 @@ def center_ratings_by_user(
     user: str = "user_id",
     rating: str = "rating",
     strategy: str = "join",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Add ``norm_rating = rating - mean rating of the user`` (float); every row kept."""
     if strategy not in STRATEGIES:
@@ -49,6 +56,8 @@ def center_ratings_by_user(
         mean = F.avg(F.col(rating).cast("double")).over(Window.partitionBy(user)).cast("float")
         return ratings.withColumn("norm_rating", F.col(rating) - mean)
     means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
+    if strategy == "join":
+        means, _ = broadcast_if_small(means, broadcast_max_rows)
     joined = ratings.join(means, ratings[user].eqNullSafe(means["_user"]))
     return joined.select(
         *[ratings[c] for c in ratings.columns],
@@ -121,7 +130,10 @@ def top_normalized_ratings(
     user: str = "user_id",
     product: str = "product_id",
     rating: str = "rating",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """Q1: top-T products by maximum user-mean-centred rating."""
-    centred = center_ratings_by_user(ratings, user=user, rating=rating, strategy=strategy)
+    centred = center_ratings_by_user(
+        ratings, user=user, rating=rating, strategy=strategy, broadcast_max_rows=broadcast_max_rows
+    )
     return top_products(max_norm_rating(centred, product=product), t, product=product)

@@ -52,7 +52,9 @@ def test_strategies_agree_and_partitioning_does_not_matter(spark):
     a = R.top_normalized_ratings(df, 5, strategy="join").collect()
     b = R.top_normalized_ratings(df, 5, strategy="window").collect()
     c = R.top_normalized_ratings(df.repartition(13), 5).collect()
-    assert a == b == c
+    d = R.top_normalized_ratings(df, 5, strategy="lazy_join").collect()
+    e = R.top_normalized_ratings(df, 5, broadcast_max_rows=2).collect()  # over the bound: shuffle join
+    assert a == b == c == d == e
 
 
 def test_partial_max_rounds_to_final_max(spark):
@@ -71,8 +73,15 @@ def test_golden_top2_sf001(spark):
     assert [(r.product_id, round(r.max_norm_rating, 4)) for r in top] == [(1685, 31.8), (719, 31.375)]
 
 
-def test_join_strategy_has_no_window_and_no_broadcast_hint(spark):
-    df = _ratings(spark, [("p", "u", 1.0)])
-    plan = R.center_ratings_by_user(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in plan
-    assert "broadcast" not in plan.lower()
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_broadcast_only_within_the_bound(spark):
+    df = _ratings(spark, [("p", "u1", 1.0), ("q", "u2", 2.0), ("r", "u3", 3.0)])
+    small = _plan(R.center_ratings_by_user(df, broadcast_max_rows=3))
+    large = _plan(R.center_ratings_by_user(df, broadcast_max_rows=2))
+    lazy = _plan(R.center_ratings_by_user(df, strategy="lazy_join"))
+    assert "Window" not in small + large + lazy
+    assert "broadcast" in small.lower()
+    assert "broadcast" not in large.lower() and "broadcast" not in lazy.lower()

@@ -279,6 +279,35 @@ def silhouette_scores(
     return scored.withColumn("s", silhouette_value("a", "b"))
 
 
+def distance_sums_by_cluster(
+    points: DataFrame,
+    moments: DataFrame,
+    dim: int,
+    point: str = "point",
+    cluster: str = "cluster",
+    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+) -> DataFrame:
+    """One row per (point, sampled cluster): ``dist_sum`` = sum of squared
+    distances from the point to that cluster's sample points.
+
+    k rows per point (never one per pair of points); the input columns are
+    kept.  Lazy: the moments arrive as a size-checked scalar subquery.
+    """
+    lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
+    p = F.col("_p")
+    sums = F.transform(
+        F.col("_mom"),
+        lambda e: F.struct(
+            e["cluster"].alias("sample_cluster"),
+            (e["n"] * F.aggregate(F.zip_with(p, e["mean"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
+                                  lambda acc, v: acc + v) + e["m2"]).alias("dist_sum"),
+        ),
+    )
+    staged = points.withColumn("_p", F.when(F.size(point) != dim, _dim_error(dim)).otherwise(F.col(point)))
+    staged = staged.withColumn("_mom", lookup).withColumn("_e", F.explode(sums))
+    return staged.select(*[F.col(c) for c in points.columns], "_e.sample_cluster", "_e.dist_sum")
+
+
 def mean_silhouette(scored: DataFrame, name: str = "silhouette") -> DataFrame:
     """(silhouette = mean of s, n_points); null silhouette on no points."""
     return scored.agg(F.avg("s").alias(name), F.count(F.lit(1)).alias("n_points"))

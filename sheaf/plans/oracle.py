@@ -186,6 +186,13 @@ ORACLE: dict[str, str] = {
     # silhouette
     "silhouette_per_point": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT id, cluster, round(a, {ROUND}) AS a, round(b, {ROUND}) AS b, round(s, {ROUND}) AS s FROM s",
+    "intra_cluster_distance": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
+    + f" SELECT id, cluster, round(a, {ROUND}) AS a FROM s",
+    "nearest_cluster_distance": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
+    + f" SELECT id, cluster, round(b, {ROUND}) AS b FROM s",
+    "distance_sums_by_cluster": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", ACTUAL_NORM))
+    + f" SELECT pc.id, pc.own AS cluster, pc.c AS sample_cluster, round(mc.n * pc.dsq + mc.m2, {ROUND}) AS dist_sum"
+    " FROM pc JOIN mc ON pc.c = mc.cluster",
     "approx_silhouette_full": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT round(avg(s), {ROUND}) AS approx_silhouette, count(*) AS n_points FROM s",
     "approx_silhouette_actual": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", ACTUAL_NORM))
@@ -203,6 +210,13 @@ ORACLE: dict[str, str] = {
     )
     + f" SELECT round(avg(s), {ROUND}) AS silhouette, count(*) AS n_points FROM s",
     # clustering
+    "sqdist": _with(
+        POINTS,
+        "pdims AS (SELECT id, cluster, o AS i, x FROM pts, unnest(point) WITH ORDINALITY AS u(x, o))",
+        "cent AS (SELECT cluster, i, avg(x) AS mu FROM pdims GROUP BY cluster, i)",
+    )
+    + f" SELECT d.id, d.cluster, round(sum((d.x - c.mu) * (d.x - c.mu)), {ROUND}) AS d"
+    " FROM pdims d JOIN cent c ON d.cluster = c.cluster AND d.i = c.i GROUP BY d.id, d.cluster",
     "assign_nearest": _with(
         POINTS,
         "pdims AS (SELECT id, cluster, o AS i, x FROM pts, unnest(point) WITH ORDINALITY AS u(x, o))",

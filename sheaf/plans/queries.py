@@ -15,7 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.strings import java_split
+from sheaf.functions.vectors import sqdist
 from sheaf.operators import clustering, ratings, sampling, silhouette, wordcount
+from sheaf.operators.joins import broadcast_if_small
 from sheaf.plans.ksweep import k_sweep_silhouette
 from sheaf.sources import parsers, tables
 from sheaf.sources.text import lines_from_column
@@ -191,6 +193,25 @@ def q_silhouette_per_point(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_scores(silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED))
 
 
+def q_intra_cluster_distance(spark: SparkSession, sf: str) -> DataFrame:
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED)
+    return scored.select("id", "cluster", F.round("a", ROUND).alias("a"))
+
+
+def q_nearest_cluster_distance(spark: SparkSession, sf: str) -> DataFrame:
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED)
+    return scored.select("id", "cluster", F.round("b", ROUND).alias("b"))
+
+
+def q_distance_sums_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    pts = _points(spark, sf)
+    dim = silhouette.vector_dim(pts)
+    sample = sampling.stratified_sample(pts, SAMPLE_T, SAMPLE_SEED)
+    moments = silhouette.cluster_moments(sample, dim)
+    sums = silhouette.distance_sums_by_cluster(pts.select("id", "point", "cluster"), moments, dim)
+    return sums.select("id", "cluster", "sample_cluster", F.round("dist_sum", ROUND).alias("dist_sum"))
+
+
 def q_approx_silhouette_full(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_mean(silhouette.approx_silhouette(_points(spark, sf), SAMPLE_T, SAMPLE_SEED), "approx_silhouette")
 
@@ -221,6 +242,13 @@ def q_assign_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("id", "cluster", "nearest")
 
 
+def q_sqdist(spark: SparkSession, sf: str) -> DataFrame:
+    pts = _points(spark, sf)
+    cents, _ = broadcast_if_small(clustering.centroids(pts, silhouette.vector_dim(pts)))
+    joined = pts.join(cents, "cluster")
+    return joined.select("id", "cluster", F.round(sqdist("point", "centre"), ROUND).alias("d"))
+
+
 def q_kmeans_assign(spark: SparkSession, sf: str) -> DataFrame:
     pts = _points(spark, sf)
     model = clustering.kmeans_fit(pts, k=4, max_iter=10, seed=SWEEP["seed"])

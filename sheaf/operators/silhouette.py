@@ -64,7 +64,7 @@ METHODS = ("auto", "codegen", "arrow", "lambda")
 # aggregates; above it Spark ML's Summarizer (one vector aggregate).
 WIDE_MAX_DIM = 16
 # Up to this many (cluster, coordinate) terms per point, generated code.
-CODEGEN_MAX_TERMS = 128
+CODEGEN_MAX_TERMS = 64
 
 
 def vector_dim(points: DataFrame, point: str = "point") -> int:

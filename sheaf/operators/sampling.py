@@ -9,7 +9,11 @@ reaches every task as a scalar subquery: no join, and no shuffle of the
 points by cluster, so a cluster holding a third of the points costs
 nothing extra.  The cap is ``row_number() <= t`` over the cluster window;
 Spark plans it with a ``WindowGroupLimit`` on the map side, so each task
-ships at most ``t`` rows per cluster into the shuffle.  The number of
+ships at most ``t`` rows per cluster into the shuffle.  Because the
+Bernoulli filter runs first and keeps a cluster's rows with probability
+``t/|C|``, a window group holds about ``t`` rows (a cluster of at most
+``t`` points is kept whole), never a whole large cluster: the group size is
+bounded by the sample-size parameter, not by the data.  The number of
 clusters is checked against ``max_clusters`` before it is shipped.
 """
 

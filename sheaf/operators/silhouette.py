@@ -172,7 +172,12 @@ def _scores_codegen(points: DataFrame, moments: list[Moments], dim: int, point:
     )
 
 
-def _ab_udf(moments: list[Moments], dim: int):
+# Rows per numpy block in the Arrow path: keeps the (rows x k) distance
+# block near 4M doubles whatever the number of clusters.
+_ARROW_BLOCK_VALUES = 4_000_000
+
+
+def _ab_udf(spark, moments: list[Moments], dim: int):
     clusters = np.array([m.cluster for m in moments], dtype=np.int64)
     mu = np.array([m.mean for m in moments], dtype=np.float64).reshape(len(moments), dim)
     n = np.array([m.n for m in moments])
@@ -182,28 +187,37 @@ def _ab_udf(moments: list[Moments], dim: int):
     # then free of the cancellation that large offsets would cause.
     centre = (n[:, None] * mu).sum(axis=0) / max(n.sum(), 1.0)
     mu_c = mu - centre
-    mu_sq = (mu_c * mu_c).sum(axis=1)
+    # The k x d model travels once per executor as a broadcast variable.
+    model = spark.sparkContext.broadcast((clusters, mu_c, (mu_c * mu_c).sum(axis=1), w, c, centre))
+    block = max(1, _ARROW_BLOCK_VALUES // max(len(moments), dim, 1))
 
     @F.pandas_udf("a double, b double")
     def ab(points: pd.Series, labels: pd.Series) -> pd.DataFrame:
+        ids, cen, cen_sq, wt, off, shift = model.value
         if len(points) == 0:
             return pd.DataFrame({"a": [], "b": []})
-        lens = points.map(len).to_numpy()
-        if (lens != dim).any():
+        if (points.map(len).to_numpy() != dim).any():
             raise ValueError(f"points must all have {dim} coordinates")
-        pc = np.stack(points.to_numpy()).astype(np.float64) - centre
-        sq = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ mu_c.T) + mu_sq[None, :]
-        d = w[None, :] * np.maximum(sq, 0.0) + c[None, :]
-        own = labels.to_numpy()[:, None] == clusters[None, :]
-        a = np.where(own, d, -np.inf).max(axis=1, initial=-np.inf)
-        b = np.where(own, np.inf, d).min(axis=1, initial=np.inf)
-        return pd.DataFrame({"a": np.where(np.isfinite(a), a, 0.0), "b": np.where(np.isfinite(b), b, 0.0)})
+        labels_np = labels.to_numpy()
+        a_out = np.empty(len(points))
+        b_out = np.empty(len(points))
+        for lo in range(0, len(points), block):
+            hi = min(lo + block, len(points))
+            pc = np.stack(points.iloc[lo:hi].to_numpy()).astype(np.float64) - shift
+            sq = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :]
+            d = wt[None, :] * np.maximum(sq, 0.0) + off[None, :]
+            own = labels_np[lo:hi, None] == ids[None, :]
+            a = np.where(own, d, -np.inf).max(axis=1, initial=-np.inf)
+            b = np.where(own, np.inf, d).min(axis=1, initial=np.inf)
+            a_out[lo:hi] = np.where(np.isfinite(a), a, 0.0)
+            b_out[lo:hi] = np.where(np.isfinite(b), b, 0.0)
+        return pd.DataFrame({"a": a_out, "b": b_out})
 
     return ab
 
 
 def _scores_arrow(points: DataFrame, moments: list[Moments], dim: int, point: str, cluster: str) -> DataFrame:
-    ab = _ab_udf(moments, dim)
+    ab = _ab_udf(points.sparkSession, moments, dim)
     staged = points.select("*", ab(F.col(point), F.col(cluster)).alias("_ab"))
     return staged.select(*[F.col(c) for c in points.columns], F.col("_ab.a").alias("a"), F.col("_ab.b").alias("b"))
 

@@ -141,3 +141,17 @@ def test_golden_embeddings_sf001(spark):
     approx = S.approx_silhouette(pts, 20, 7).first().silhouette
     assert round(approx, 6) == -0.217199
     assert SM.stratified_sample(pts, 20, 7).count() == 177
+
+
+def test_arrow_blocks_and_many_clusters(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    pts = rng.normal(0, 3, size=(400, 5))
+    cl = rng.integers(0, 60, size=400)
+    df = _df(spark, pts, cl)
+    monkeypatch.setattr(S, "_ARROW_BLOCK_VALUES", 7)  # a few rows per numpy block
+    arrow = S.exact_silhouette(df, method="arrow").first().silhouette
+    lam = S.exact_silhouette(df, method="lambda").first().silhouette
+    sizes = {c: int((cl == c).sum()) for c in np.unique(cl)}
+    want, _ = brute_force(pts, cl, np.arange(len(pts)), sizes)
+    assert arrow == pytest.approx(want, rel=1e-9)
+    assert lam == pytest.approx(want, rel=1e-9)

@@ -2,14 +2,19 @@
 
 The loop over k runs on the driver because each k-means fit is itself an
 iterative distributed job; everything inside one k is distributed.  The
-points are persisted (memory, spilling to disk) for the sweep and released
-afterwards; a lost executor only costs recomputing its partitions from
-the Parquet scan, so no lineage has to be cut.
+values of k are independent, so up to ``parallel_k`` of them are submitted
+as concurrent Spark jobs over the same persisted points: a k-means
+iteration ends in a driver-side step, and other k's tasks fill the
+executors meanwhile.  The points are persisted (memory, spilling to disk)
+for the sweep and released afterwards; a lost executor only costs
+recomputing its partitions from the Parquet scan, so no lineage has to be
+cut.
 """
 
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -41,6 +46,7 @@ def k_sweep_silhouette(
     point: str = "point",
     num_partitions: int | None = None,
     normalizer: str = "expected",
+    parallel_k: int = 4,
 ) -> DataFrame:
     """One row per k: (k, t = m div k, approximate silhouette, n_points, timings)."""
     if k_start < 1 or h < 1:
@@ -52,10 +58,11 @@ def k_sweep_silhouette(
     if num_partitions:
         base = base.repartition(num_partitions)
     base = base.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
     try:
+        base.count()  # fill the cache once, before concurrent jobs read it
         dim = vector_dim(base, point)
-        for k in range(k_start, k_start + h):
+
+        def one_k(k: int) -> tuple:
             started = time.perf_counter()
             model = kmeans_fit(base, k, max_iter, seed=seed, point=point)
             fitted = time.perf_counter()
@@ -65,7 +72,11 @@ def k_sweep_silhouette(
                 clustered, t, seed, normalizer=normalizer, dim=dim, id_col=id_col, point=point
             ).first()
             done = time.perf_counter()
-            rows.append((k, t, result["silhouette"], result["n_points"], fitted - started, done - fitted))
+            return (k, t, result["silhouette"], result["n_points"], fitted - started, done - fitted)
+
+        ks = list(range(k_start, k_start + h))
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel_k, len(ks)))) as pool:
+            rows = list(pool.map(one_k, ks))
     finally:
         base.unpersist()
     return spark.createDataFrame(rows, SWEEP_SCHEMA)

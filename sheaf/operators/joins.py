@@ -1,15 +1,21 @@
-"""Size-checked broadcast for data-derived join sides.
+"""Materialised intermediates and size-checked broadcast.
+
+``materialize`` writes a DataFrame once as a Parquet table in the shared
+folder named by ``spark.checkpoint.dir`` and reads it back: the lineage is
+cut (a lost executor never recomputes it), later branches scan compact
+columnar files instead of re-running the producing joins, and the planner
+sees real file sizes.
 
 A side whose size grows with the data (one row per user, per word, ...)
-is never broadcast on faith.  It is computed once into the reliable
-checkpoint directory named by ``spark.checkpoint.dir`` (lineage cut, so a
-lost executor does not recompute it), counted with a bound, and broadcast
-only when it is within that bound; otherwise the caller gets the plain
-side for a shuffle join, where AQE splits skewed partitions.
+is never broadcast on faith: it is materialised, counted with a bound, and
+broadcast only when it is within that bound; otherwise the caller gets
+the plain side for a shuffle join, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +25,11 @@ DEFAULT_BROADCAST_MAX_ROWS = 1_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the session's reliable checkpoint directory."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once into a Parquet table under the checkpoint directory."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:

@@ -24,8 +24,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small
+from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 
 STRATEGIES = ("join", "lazy_join", "window")
 
@@ -42,6 +43,22 @@ def user_mean_rating(
     return ratings.groupBy(user).agg(_mean_of(rating).alias("mean_rating"))
 
 
+def _user_key(ratings: DataFrame, user: str) -> list[Column] | None:
+    """A null-free join key (user with a type default, user is null).
+
+    Plain equality on it lets the means aggregate's hash partitioning serve
+    the join directly, while null users still form their own group.
+    """
+    dtype = ratings.schema[user].dataType
+    if isinstance(dtype, T.StringType):
+        default = F.lit("")
+    elif isinstance(dtype, (T.IntegralType, T.FractionalType)):
+        default = F.lit(0).cast(dtype)
+    else:
+        return None
+    return [F.coalesce(F.col(user), default).alias("_uk"), F.col(user).isNull().alias("_un")]
+
+
 def center_ratings_by_user(
     ratings: DataFrame,
     user: str = "user_id",
@@ -55,12 +72,20 @@ def center_ratings_by_user(
     if strategy == "window":
         mean = F.avg(F.col(rating).cast("double")).over(Window.partitionBy(user)).cast("float")
         return ratings.withColumn("norm_rating", F.col(rating) - mean)
-    means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
-    if strategy == "join":
-        means, _ = broadcast_if_small(means, broadcast_max_rows)
-    joined = ratings.join(means, ratings[user].eqNullSafe(means["_user"]))
+    key = _user_key(ratings, user)
+    if key is None:  # other key types: null-safe equality
+        means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
+        if strategy == "join":
+            means, _ = broadcast_if_small(means, broadcast_max_rows)
+        joined = ratings.join(means, ratings[user].eqNullSafe(means["_user"]))
+    else:
+        keyed = ratings.select("*", *key)
+        means = keyed.groupBy("_uk", "_un").agg(_mean_of(rating).alias("_mean"))
+        if strategy == "join":
+            means, _ = broadcast_if_small(means, broadcast_max_rows)
+        joined = keyed.join(means, ["_uk", "_un"])
     return joined.select(
-        *[ratings[c] for c in ratings.columns],
+        *[F.col(c) for c in ratings.columns],
         (F.col(rating) - F.col("_mean")).alias("norm_rating"),
     )
 
@@ -131,8 +156,16 @@ def top_normalized_ratings(
     product: str = "product_id",
     rating: str = "rating",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    materialize_input: bool = False,
 ) -> DataFrame:
-    """Q1: top-T products by maximum user-mean-centred rating."""
+    """Q1: top-T products by maximum user-mean-centred rating.
+
+    ``materialize_input`` writes the ratings once to the checkpoint folder
+    first: worth it when they come out of an expensive join, which the
+    means branch and the centring branch would otherwise both re-run.
+    """
+    if materialize_input and strategy != "window":
+        ratings = materialize(ratings.select(product, user, rating))
     centred = center_ratings_by_user(
         ratings, user=user, rating=rating, strategy=strategy, broadcast_max_rows=broadcast_max_rows
     )

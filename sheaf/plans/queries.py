@@ -85,7 +85,8 @@ def q_rank_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_top_normalized_ratings(spark: SparkSession, sf: str) -> DataFrame:
-    return ratings.top_normalized_ratings(tables.ratings(spark, sf), TOP_T)
+    # The ratings come out of a join: write them once, read them twice.
+    return ratings.top_normalized_ratings(tables.ratings(spark, sf), TOP_T, materialize_input=True)
 
 
 # ------------------------------------------------------------- word count

@@ -122,3 +122,24 @@ def avg_word_length(counts: DataFrame) -> DataFrame:
         "total_length",
         F.expr("total_length div vocabulary_size").alias("avg_word_length"),
     )
+
+
+def word_count_report(docs: DataFrame, tokens: DataFrame, n_salts: int = 16) -> DataFrame:
+    """(metric, value) rows: number of documents, vocabulary size by each of
+    the four strategies (they must agree), and the average word length.
+
+    A union of one-row aggregates; each reads the corpus once.
+    """
+    parts = [count_documents(docs).select(F.lit("n_documents").alias("metric"), F.col("n_documents").alias("value"))]
+    for name, fn in STRATEGIES.items():
+        counts = fn(tokens, n_salts) if name.startswith("salted") else fn(tokens)
+        parts.append(vocabulary_size(counts).select(
+            F.lit(f"vocabulary_size_{name}").alias("metric"), F.col("vocabulary_size").alias("value")
+        ))
+    parts.append(avg_word_length(word_count(tokens)).select(
+        F.lit("avg_word_length").alias("metric"), F.col("avg_word_length").alias("value")
+    ))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

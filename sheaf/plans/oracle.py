@@ -163,6 +163,15 @@ ORACLE: dict[str, str] = {
     "word_count_salted_pairs": _with(LINES.format(table=DOCS), TOKENS) + " " + WORD_COUNT,
     "word_count_partitionwise": _with(LINES.format(table=DOCS), TOKENS) + " " + WORD_COUNT,
     "word_count_conversations": _with(LINES.format(table=CONVERSATIONS), TOKENS) + " " + WORD_COUNT,
+    "word_count_report": _with(LINES.format(table=DOCS), TOKENS)
+    + ", v AS (SELECT count(DISTINCT word) AS n FROM tokens)"
+    " SELECT 'n_documents' AS metric, (SELECT count(*) FROM lines) AS value"
+    " UNION ALL SELECT 'vocabulary_size_one_round', n FROM v"
+    " UNION ALL SELECT 'vocabulary_size_salted', n FROM v"
+    " UNION ALL SELECT 'vocabulary_size_salted_pairs', n FROM v"
+    " UNION ALL SELECT 'vocabulary_size_partitionwise', n FROM v"
+    f" UNION ALL SELECT 'avg_word_length', CAST(sum({UTF16_LEN}) AS BIGINT) // count(*)"
+    " FROM (SELECT DISTINCT word FROM tokens)",
     "count_documents": _with(LINES.format(table=DOCS)) + " SELECT count(*) AS n_documents FROM lines",
     "vocabulary_size": _with(LINES.format(table=DOCS), TOKENS)
     + " SELECT count(DISTINCT word) AS vocabulary_size FROM tokens",

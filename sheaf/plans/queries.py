@@ -139,6 +139,11 @@ def q_avg_word_length(spark: SparkSession, sf: str) -> DataFrame:
     return wordcount.avg_word_length(wordcount.word_count_partitionwise(_tokens(spark, sf)))
 
 
+def q_word_count_report(spark: SparkSession, sf: str) -> DataFrame:
+    docs = lines_from_column(tables.documents(spark, sf))
+    return wordcount.word_count_report(docs, wordcount.tokenize(docs), N_SALTS)
+
+
 def q_word_count_conversations(spark: SparkSession, sf: str) -> DataFrame:
     lines = lines_from_column(tables.conversation_texts(spark, sf))
     return wordcount.word_count(wordcount.tokenize(lines))

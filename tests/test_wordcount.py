@@ -76,3 +76,11 @@ def test_golden_documents_sf001(spark):
     assert W.count_documents(docs).first().n_documents == 9344
     row = W.avg_word_length(counts).first()
     assert (row.vocabulary_size, row.avg_word_length) == (93796, 7)
+
+
+def test_word_count_report(spark):
+    docs = _docs(spark, [DATASET_LINE, "x  y"])
+    rows = {r.metric: r.value for r in W.word_count_report(docs, W.tokenize(docs), 3).collect()}
+    vocab = {k: v for k, v in rows.items() if k.startswith("vocabulary_size_")}
+    assert len(vocab) == 4 and set(vocab.values()) == {9}
+    assert rows["n_documents"] == 2

@@ -56,6 +56,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.functions.vectors import silhouette_value
+from sheaf.operators.joins import materialize
 from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, bounded, stratified_sample
 
 NORMALIZERS = ("expected", "actual")
@@ -378,9 +379,15 @@ def sample_silhouette_scores(
     method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
 ) -> DataFrame:
-    """a, b, s for every *sampled* point against the sample (actual sizes)."""
+    """a, b, s for every *sampled* point against the sample (actual sizes).
+
+    The sample (at most t rows per cluster, k checked) is written once to
+    the checkpoint folder: its moments and its scores then read that small
+    table instead of re-running the full-data sampling passes.
+    """
     dim = vector_dim(points, point) if dim is None else dim
     sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters)
+    sample = materialize(sample.select(*points.columns))
     moments = cluster_moments(sample, dim, point, cluster)
     return silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, max_clusters)
 

@@ -9,11 +9,13 @@ Scale notes.  The user mean is a partial (map-side) aggregate, so a user
 holding a third of all rows costs one hash-table entry per task, not one
 task.  It is then joined back on the user key:
 
-* ``join`` (default): the means (one row per user) are computed once into
-  the reliable checkpoint directory and broadcast only when a bounded
-  count shows at most ``broadcast_max_rows`` users, so the ratings are
-  never shuffled; above the bound it is a shuffle join whose skewed
-  partitions (a hot user) AQE splits.
+* ``join`` (default): the means (one row per user, with its rating count)
+  are written once to the checkpoint folder and broadcast only when a
+  bounded count shows at most ``broadcast_max_rows`` users, so the ratings
+  are never shuffled.  Above the bound, hot users (more than
+  ``hot_fraction`` of all ratings, hence at most 1/hot_fraction of them)
+  are broadcast and joined map-side, and only the other users' ratings go
+  through a shuffle join, in which no key can hold more than that share.
 * ``lazy_join``: the same join with no job at plan time; AQE converts it
   to a broadcast join from measured sizes, after both sides were shuffled.
 * ``window``: one pass with no join, but every user's rows go to one task;
@@ -29,6 +31,8 @@ from pyspark.sql import types as T
 from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 
 STRATEGIES = ("join", "lazy_join", "window")
+# A user with more than this share of all ratings is "hot" (at most 1/share of them).
+DEFAULT_HOT_FRACTION = 0.01
 
 
 def _mean_of(rating: str) -> Column:
@@ -65,6 +69,7 @@ def center_ratings_by_user(
     rating: str = "rating",
     strategy: str = "join",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    hot_fraction: float = DEFAULT_HOT_FRACTION,
 ) -> DataFrame:
     """Add ``norm_rating = rating - mean rating of the user`` (float); every row kept."""
     if strategy not in STRATEGIES:
@@ -80,16 +85,40 @@ def center_ratings_by_user(
         joined = ratings.join(means, ratings[user].eqNullSafe(means["_user"]))
     else:
         keyed = ratings.select("*", *key)
-        means = keyed.groupBy("_uk", "_un").agg(_mean_of(rating).alias("_mean"))
-        if strategy == "join":
-            means, _ = broadcast_if_small(means, broadcast_max_rows)
-        joined = keyed.join(means, ["_uk", "_un"])
+        means = keyed.groupBy("_uk", "_un").agg(_mean_of(rating).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+        if strategy == "lazy_join":
+            joined = keyed.join(means.drop("_n"), ["_uk", "_un"])
+        else:
+            joined = _join_means_split_hot(keyed, means, broadcast_max_rows, hot_fraction)
     return joined.select(
         *[F.col(c) for c in ratings.columns],
         (F.col(rating) - F.col("_mean")).alias("norm_rating"),
     )
 
 
+def _join_means_split_hot(
+    keyed: DataFrame, means: DataFrame, broadcast_max_rows: int, hot_fraction: float
+) -> DataFrame:
+    """Join the means back; hot users never meet in one shuffle partition.
+
+    All means are broadcast when their count is within the bound.  Beyond
+    it, users holding more than ``hot_fraction`` of all ratings (so at most
+    ``1 / hot_fraction`` of them) are broadcast and joined map-side, and the
+    other users go through a shuffle join in which no key holds more than
+    that fraction of the rows.
+    """
+    keys = ["_uk", "_un"]
+    means, small = broadcast_if_small(means, broadcast_max_rows)
+    if small:
+        return keyed.join(means.drop("_n"), keys)
+    limit = means.agg(F.sum("_n").cast("double").alias("t")).scalar() * F.lit(float(hot_fraction))
+    hot = F.broadcast(means.where(F.col("_n") > limit).drop("_n"))
+    cold = means.where(F.col("_n") <= limit).drop("_n")
+    hot_rows = keyed.join(hot, keys)
+    cold_rows = keyed.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
+    return hot_rows.unionByName(cold_rows)
+
+
 def rating_deviation(ratings: DataFrame, **kwargs) -> DataFrame:
     """(product_id, norm_rating) pairs, the reference's intermediate RDD."""
     return center_ratings_by_user(ratings, **kwargs).select("product_id", "norm_rating")

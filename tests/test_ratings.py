@@ -83,5 +83,33 @@ def test_broadcast_only_within_the_bound(spark):
     large = _plan(R.center_ratings_by_user(df, broadcast_max_rows=2))
     lazy = _plan(R.center_ratings_by_user(df, strategy="lazy_join"))
     assert "Window" not in small + large + lazy
-    assert "broadcast" in small.lower()
-    assert "broadcast" not in large.lower() and "broadcast" not in lazy.lower()
+    assert "broadcast" in small.lower() and "Union" not in small
+    assert "Union" in large  # hot users broadcast, the rest through a shuffle join
+    assert "broadcast" not in lazy.lower() and "Union" not in lazy
+
+
+def test_hot_user_split(spark):
+    from pyspark.sql import functions as F
+
+    n = 3000
+    df = spark.range(n).select(
+        (F.col("id") % 97).cast("string").alias("product_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 500).cast("string")).alias("user_id"),
+        (F.col("id") % 7).cast("float").alias("rating"),
+    )
+    split = R.center_ratings_by_user(df, broadcast_max_rows=10, hot_fraction=0.05)
+    window = R.center_ratings_by_user(df, strategy="window")
+    key = ["product_id", "user_id", "rating", "norm_rating"]
+    assert sorted(split.select(key).collect()) == sorted(window.select(key).collect())
+    confs = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    saved = {c: spark.conf.get(c, None) for c in confs}
+    try:
+        for c in confs:  # keep the cold side a shuffle join, as it is at scale
+            spark.conf.set(c, "-1")
+        agg = R.center_ratings_by_user(df, broadcast_max_rows=10, hot_fraction=0.05).groupBy("user_id").count()
+        assert {r.user_id: r["count"] for r in agg.collect()}["hot"] == n // 3
+        plan = agg._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c, v in saved.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan

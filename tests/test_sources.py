@@ -48,10 +48,20 @@ def test_read_text_lines_line_breaks(spark):
     path = os.path.join(folder, "mixed.txt")
     with open(path, "wb") as fh:
         fh.write(b"a\rb\r\nc\n\nd\n")
-    # Spark's text reader splits on \n and \r\n; \r alone is the one line
-    # break it does not know, so a lone CR stays inside the line.
     got = [r.value for r in read_text_lines(spark, path).collect()]
-    assert got in (["a", "b", "c", "", "d"], ["a\rb", "c", "", "d"])
+    assert got == ["a", "b", "c", "", "d"]
+
+
+def test_read_text_lines_glob_and_gzip(spark):
+    import gzip
+
+    folder = tempfile.mkdtemp(prefix="sheaf-text-")
+    with gzip.open(os.path.join(folder, "z.txt.gz"), "wb") as fh:
+        fh.write(b"x\ny")
+    with open(os.path.join(folder, "p.txt"), "wb") as fh:
+        fh.write(b"hello world\n")
+    got = sorted(r.value for r in read_text_lines(spark, os.path.join(folder, "*"), num_partitions=3).collect())
+    assert got == ["hello world", "x", "y"]
 
 
 def test_lines_from_column_keeps_line_numbers(spark):

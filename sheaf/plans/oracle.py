@@ -136,6 +136,7 @@ UTF16_LEN = "CAST(length(word) + length(regexp_replace(word, '[\\x{0000}-\\x{FFF
 ORACLE: dict[str, str] = {
     # sources
     "text_lines": _with(LINES.format(table=DOCS)) + " SELECT doc_id, line_no, line FROM lines",
+    "text_file_lines": _with(LINES.format(table=DOCS)) + " SELECT line FROM lines",
     "parse_ratings": _with(RATINGS)
     + " SELECT CAST(product_id AS VARCHAR) AS product_id, CAST(user_id AS VARCHAR) AS user_id, rating FROM r",
     "parse_labeled_points": "SELECT vec_id AS id, CAST(label AS INTEGER) AS cluster, CAST(o - 1 AS INTEGER) AS pos, "

@@ -20,7 +20,7 @@ from sheaf.operators import clustering, ratings, sampling, silhouette, wordcount
 from sheaf.operators.joins import broadcast_if_small
 from sheaf.plans.ksweep import k_sweep_silhouette
 from sheaf.sources import parsers, tables
-from sheaf.sources.text import lines_from_column
+from sheaf.sources.text import lines_from_column, read_text_lines, write_text_lines
 
 # Fixed parameters of the registered queries (the oracle SQL uses the same).
 TOP_T = 20
@@ -38,6 +38,12 @@ def q_text_lines(spark: SparkSession, sf: str) -> DataFrame:
     return lines_from_column(tables.documents(spark, sf))
 
 
+def q_text_file_lines(spark: SparkSession, sf: str) -> DataFrame:
+    # The document lines round-trip through text files: sink, then source.
+    path = write_text_lines(lines_from_column(tables.documents(spark, sf)), "line")
+    return read_text_lines(spark, path).select(F.col("value").alias("line"))
+
+
 def q_parse_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return parsers.parse_ratings(tables.rating_lines(spark, sf))
 

@@ -1,7 +1,7 @@
 """Sources: text lines, line parsers and table bindings."""
 
 from sheaf.sources.parsers import parse_labeled_points, parse_points, parse_ratings
-from sheaf.sources.text import lines_from_column, read_text_lines
+from sheaf.sources.text import lines_from_column, read_text_lines, write_text_lines
 
 __all__ = [
     "lines_from_column",
@@ -9,4 +9,5 @@ __all__ = [
     "parse_points",
     "parse_ratings",
     "read_text_lines",
+    "write_text_lines",
 ]

@@ -7,12 +7,14 @@ files, directories and globs), or cut out of a text column of a table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.strings import text_to_lines
+from sheaf.session import ensure_checkpoint_dir
 
 
 def read_text_lines(
@@ -40,3 +42,16 @@ def lines_from_column(
 ) -> DataFrame:
     """Explode a text column into its lines, keeping the 0-based line number."""
     return df.select(*keep, F.posexplode(text_to_lines(text)).alias(line_no, line))
+
+
+def write_text_lines(df: DataFrame, column: str = "line", path: str | None = None) -> str:
+    """Write one string column as text files (one row per line); returns the path.
+
+    Without ``path`` the files go to a fresh folder under the session's
+    checkpoint directory (a shared folder on a cluster).
+    """
+    spark = df.sparkSession
+    if path is None:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-text/{uuid.uuid4().hex}"
+    df.select(F.col(column).cast("string").alias("value")).write.text(path)
+    return path

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, bounded
@@ -57,21 +59,49 @@ def centroids(points: DataFrame, dim: int, point: str = "point", cluster: str =
     return m.select(cluster, F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centre"))
 
 
-def assign_nearest(
-    points: DataFrame,
-    centres: DataFrame,
-    point: str = "point",
-    centre: str = "centre",
-    cluster: str = "cluster",
-    out: str = "nearest",
-    max_centres: int = DEFAULT_MAX_CLUSTERS,
-) -> DataFrame:
-    """Add the id of the closest centre (ties to the smaller id).
-
-    The k centres reach each task as one size-checked scalar subquery;
-    each point computes k distances, so no point-centre pair is
-    materialised as a row.
-    """
+def _collect_centres(centres: DataFrame, centre: str, cluster: str, max_centres: int) -> list[tuple[int, list[float]]]:
+    rows = centres.select(cluster, centre).limit(max_centres + 1).collect()
+    if len(rows) > max_centres:
+        raise ValueError(f"more than {max_centres} centres; raise max_centres to allow it")
+    return sorted((r[0], [float(x) for x in r[1]]) for r in rows)
+
+
+def _nearest_codegen(p: Column, cents: list[tuple[int, list[float]]], dim: int) -> Column:
+    entries = []
+    for cid, c in cents:
+        terms = [(p[i] - F.lit(c[i])) * (p[i] - F.lit(c[i])) for i in range(dim)]
+        while len(terms) > 1:
+            terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
+        entries.append(F.struct(terms[0].alias("d"), F.lit(cid).alias("cluster")))
+    return F.array_min(F.array(*entries))["cluster"]
+
+
+def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
+    ids = np.array([cid for cid, _ in cents], dtype=np.int64)
+    mat = np.array([c for _, c in cents], dtype=np.float64).reshape(len(cents), dim)
+    shift = mat.mean(axis=0)
+    mat_c = mat - shift
+    model = spark.sparkContext.broadcast((ids, mat_c, (mat_c * mat_c).sum(axis=1), shift))
+    block = max(1, 4_000_000 // max(len(cents), dim, 1))
+
+    @F.pandas_udf("int")
+    def nearest(points: pd.Series) -> pd.Series:
+        cid, cen, cen_sq, sh = model.value
+        if len(points) == 0:
+            return pd.Series([], dtype="int32")
+        if (points.map(len).to_numpy() != dim).any():
+            raise ValueError(f"points must all have {dim} coordinates")
+        out = np.empty(len(points), dtype=np.int32)
+        for lo in range(0, len(points), block):
+            pc = np.stack(points.iloc[lo:lo + block].to_numpy()).astype(np.float64) - sh
+            d = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :]
+            out[lo:lo + len(pc)] = cid[np.argmin(d, axis=1)]  # first minimum: the smaller id
+        return pd.Series(out)
+
+    return nearest
+
+
+def _nearest_lambda(centres: DataFrame, centre: str, cluster: str, max_centres: int) -> tuple[Column, Column]:
     packed = centres.agg(
         F.collect_list(F.struct(F.col(centre).alias("centre"), F.col(cluster).alias("cluster"))).alias("c")
     )
@@ -90,9 +120,45 @@ def assign_nearest(
             e["cluster"].alias("cluster"),
         ),
     )
-    return (
-        points.withColumn("_p", F.col(point))
-        .withColumn("_centres", lookup)
-        .withColumn(out, F.array_min(dist)["cluster"])
-        .drop("_p", "_centres")
-    )
+    return lookup, F.array_min(dist)["cluster"]
+
+
+def assign_nearest(
+    points: DataFrame,
+    centres: DataFrame,
+    point: str = "point",
+    centre: str = "centre",
+    cluster: str = "cluster",
+    out: str = "nearest",
+    max_centres: int = DEFAULT_MAX_CLUSTERS,
+    method: str = "auto",
+) -> DataFrame:
+    """Add the id of the closest centre (squared Euclidean; ties to the smaller id).
+
+    The k centres are model-sized: their number is checked before they reach
+    the driver, and each point computes k distances in one projection
+    (generated code for small k*d, an Arrow-batched matrix product
+    otherwise, or lazily with array lambdas), so no point-centre pair is
+    ever a row and the points are not shuffled.
+    """
+    if method == "lambda":
+        lookup, nearest = _nearest_lambda(centres, centre, cluster, max_centres)
+        return (
+            points.withColumn("_p", F.col(point))
+            .withColumn("_centres", lookup)
+            .withColumn(out, nearest)
+            .drop("_p", "_centres")
+        )
+    cents = _collect_centres(centres, centre, cluster, max_centres)
+    if not cents:
+        return points.withColumn(out, F.lit(None).cast("int"))
+    dim = len(cents[0][1])
+    if any(len(c) != dim for _, c in cents):
+        raise ValueError("centres differ in length")
+    if method == "auto":
+        method = "codegen" if len(cents) * dim <= 64 else "arrow"
+    p = F.col(point)
+    checked = F.when(F.size(p) != dim, F.raise_error(F.lit(f"points must all have {dim} coordinates")))
+    if method == "codegen":
+        return points.withColumn(out, checked.otherwise(_nearest_codegen(p, cents, dim)).cast("int"))
+    return points.withColumn(out, _nearest_arrow(points.sparkSession, cents, dim)(p))

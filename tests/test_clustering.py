@@ -43,11 +43,12 @@ def test_duplicates_with_more_centres_than_points(spark):
     assert len(used) == 2
 
 
-def test_assign_nearest_matches_numpy(spark):
+@pytest.mark.parametrize("method", ["auto", "codegen", "arrow", "lambda"])
+def test_assign_nearest_matches_numpy(spark, method):
     df, _ = _blobs(spark, k=4, n_per=20, seed=7)
     centres = spark.createDataFrame([(10, [1.0, 1.0]), (11, [19.0, 2.0]), (12, [3.0, 18.0])],
                                     "cluster int, centre array<double>")
-    got = {r.id: r.nearest for r in C.assign_nearest(df, centres).collect()}
+    got = {r.id: r.nearest for r in C.assign_nearest(df, centres, method=method).collect()}
     cen = {10: np.array([1.0, 1.0]), 11: np.array([19.0, 2.0]), 12: np.array([3.0, 18.0])}
     for r in df.collect():
         p = np.array(r.point)

@@ -294,6 +294,28 @@ def silhouette_scores(
     return scored.withColumn("s", silhouette_value("a", "b"))
 
 
+def _sums_udf(spark, moments: list[Moments], dim: int):
+    mu = np.array([m.mean for m in moments], dtype=np.float64).reshape(len(moments), dim)
+    n = np.array([m.n for m in moments])
+    m2 = np.array([m.m2 for m in moments])
+    centre = (n[:, None] * mu).sum(axis=0) / max(n.sum(), 1.0)
+    mu_c = mu - centre
+    model = spark.sparkContext.broadcast((mu_c, (mu_c * mu_c).sum(axis=1), n, m2, centre))
+
+    @F.pandas_udf("array<double>")
+    def sums(points: pd.Series) -> pd.Series:
+        cen, cen_sq, cnt, scatter, shift = model.value
+        if len(points) == 0:
+            return pd.Series([], dtype=object)
+        if (points.map(len).to_numpy() != dim).any():
+            raise ValueError(f"points must all have {dim} coordinates")
+        pc = np.stack(points.to_numpy()).astype(np.float64) - shift
+        sq = np.maximum((pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :], 0.0)
+        return pd.Series(list(cnt[None, :] * sq + scatter[None, :]))
+
+    return sums
+
+
 def distance_sums_by_cluster(
     points: DataFrame,
     moments: DataFrame,
@@ -301,26 +323,51 @@ def distance_sums_by_cluster(
     point: str = "point",
     cluster: str = "cluster",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    method: str = "auto",
 ) -> DataFrame:
     """One row per (point, sampled cluster): ``dist_sum`` = sum of squared
     distances from the point to that cluster's sample points.
 
     k rows per point (never one per pair of points); the input columns are
-    kept.  Lazy: the moments arrive as a size-checked scalar subquery.
+    kept.  The k moment rows are bounded and shipped in the plan; the k sums
+    of a point come from generated code (small k*d), an Arrow batch matrix
+    product, or array lambdas over a scalar subquery (``lambda``).
     """
-    lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
-    p = F.col("_p")
-    sums = F.transform(
-        F.col("_mom"),
-        lambda e: F.struct(
-            e["cluster"].alias("sample_cluster"),
-            (e["n"] * F.aggregate(F.zip_with(p, e["mean"], lambda x, y: (x - y) * (x - y)), F.lit(0.0),
-                                  lambda acc, v: acc + v) + e["m2"]).alias("dist_sum"),
-        ),
-    )
-    staged = points.withColumn("_p", F.when(F.size(point) != dim, _dim_error(dim)).otherwise(F.col(point)))
-    staged = staged.withColumn("_mom", lookup).withColumn("_e", F.explode(sums))
-    return staged.select(*[F.col(c) for c in points.columns], "_e.sample_cluster", "_e.dist_sum")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {METHODS}")
+    p = F.col(point)
+    checked = F.when(F.size(p) != dim, _dim_error(dim))
+    if method == "lambda":
+        lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
+        sums = F.transform(
+            F.col("_mom"),
+            lambda e: F.struct(
+                e["cluster"].alias("sample_cluster"),
+                (e["n"] * F.aggregate(F.zip_with(F.col("_p"), e["mean"], lambda x, y: (x - y) * (x - y)),
+                                      F.lit(0.0), lambda acc, v: acc + v) + e["m2"]).alias("dist_sum"),
+            ),
+        )
+        staged = points.withColumn("_p", checked.otherwise(p)).withColumn("_mom", lookup)
+        staged = staged.withColumn("_e", F.explode(sums))
+        return staged.select(*[F.col(c) for c in points.columns], "_e.sample_cluster", "_e.dist_sum")
+    rows = collect_moments(moments, F.col("n"), cluster, max_clusters)
+    if not rows:
+        return points.select("*", F.lit(None).cast("int").alias("sample_cluster"),
+                             F.lit(None).cast("double").alias("dist_sum")).where(F.lit(False))
+    if method == "auto":
+        method = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
+    if method == "codegen":
+        arr = F.array(*[
+            F.lit(m.n) * _tree_sum([(p[i] - F.lit(m.mean[i])) * (p[i] - F.lit(m.mean[i])) for i in range(dim)])
+            + F.lit(m.m2)
+            for m in rows
+        ])
+        arr = checked.otherwise(arr)
+    else:
+        arr = _sums_udf(points.sparkSession, rows, dim)(p)
+    ids = F.array(*[F.lit(m.cluster) for m in rows])
+    staged = points.select("*", F.posexplode(arr).alias("_j", "dist_sum"))
+    return staged.select(*[F.col(c) for c in points.columns], ids[F.col("_j")].alias("sample_cluster"), "dist_sum")
 
 
 def mean_silhouette(scored: DataFrame, name: str = "silhouette") -> DataFrame:

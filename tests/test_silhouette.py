@@ -155,3 +155,18 @@ def test_arrow_blocks_and_many_clusters(spark, monkeypatch):
     want, _ = brute_force(pts, cl, np.arange(len(pts)), sizes)
     assert arrow == pytest.approx(want, rel=1e-9)
     assert lam == pytest.approx(want, rel=1e-9)
+
+
+@pytest.mark.parametrize("method", ["codegen", "arrow", "lambda"])
+def test_distance_sums_match_pairwise(spark, method):
+    pts, cl = _blobs(seed=12, n=60, d=3)
+    df = _df(spark, pts, cl)
+    sample_idx = np.arange(0, 60, 3)
+    sample = df.where(F.col("id") % 3 == 0)
+    moments = S.cluster_moments(sample, 3)
+    got = {(r.id, r.sample_cluster): r.dist_sum for r in
+           S.distance_sums_by_cluster(df, moments, 3, method=method).collect()}
+    assert len(got) == len(pts) * len(np.unique(cl[sample_idx]))
+    for (i, c), v in got.items():
+        members = pts[sample_idx][cl[sample_idx] == c]
+        assert v == pytest.approx(((members - pts[i]) ** 2).sum(), rel=1e-9, abs=1e-9)

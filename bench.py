@@ -44,7 +44,7 @@ def main() -> None:
     text_parts = int(os.environ.get("BENCH_TEXT_PARTITIONS", str(2 * cpus)))
 
     def tokens():
-        return wordcount.tokenize(lines_from_column(tables.documents(spark, sf_dir, text_parts)))
+        return wordcount.tokenize(lines_from_column(tables.documents(spark, sf_dir, text_parts)), with_pos=False)
 
     def points():
         return tables.labeled_points(spark, sf_dir)

@@ -39,9 +39,14 @@ def tokenize(
     keep: Iterable[str] = DOC_KEYS,
     sep: str = " ",
     drop_empty: bool = False,
+    with_pos: bool = True,
 ) -> DataFrame:
-    """One row per token: keep columns, ``pos`` (0-based) and ``word``."""
-    out = docs.select(*keep, F.posexplode(java_split(text, sep)).alias("pos", "word"))
+    """One row per token: keep columns, ``pos`` (0-based, if ``with_pos``) and ``word``."""
+    tokens = java_split(text, sep)
+    if with_pos:
+        out = docs.select(*keep, F.posexplode(tokens).alias("pos", "word"))
+    else:
+        out = docs.select(*keep, F.explode(tokens).alias("word"))
     return out.where(F.col("word") != "") if drop_empty else out
 
 

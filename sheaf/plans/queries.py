@@ -96,8 +96,8 @@ def q_top_normalized_ratings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- word count
-def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return wordcount.tokenize(lines_from_column(tables.documents(spark, sf)))
+def _tokens(spark: SparkSession, sf: str, with_pos: bool = False) -> DataFrame:
+    return wordcount.tokenize(lines_from_column(tables.documents(spark, sf)), with_pos=with_pos)
 
 
 def q_java_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -106,7 +106,7 @@ def q_java_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tokenize(spark: SparkSession, sf: str) -> DataFrame:
-    return _tokens(spark, sf)
+    return _tokens(spark, sf, with_pos=True)
 
 
 def q_doc_term_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,12 +147,12 @@ def q_avg_word_length(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_word_count_report(spark: SparkSession, sf: str) -> DataFrame:
     docs = lines_from_column(tables.documents(spark, sf))
-    return wordcount.word_count_report(docs, wordcount.tokenize(docs), N_SALTS)
+    return wordcount.word_count_report(docs, wordcount.tokenize(docs, with_pos=False), N_SALTS)
 
 
 def q_word_count_conversations(spark: SparkSession, sf: str) -> DataFrame:
     lines = lines_from_column(tables.conversation_texts(spark, sf))
-    return wordcount.word_count(wordcount.tokenize(lines))
+    return wordcount.word_count(wordcount.tokenize(lines, with_pos=False))
 
 
 # --------------------------------------------------------------- sampling

@@ -4,8 +4,8 @@ A point of cluster C is kept with probability ``min(t / |C|, 1)``, then at
 most ``t`` points per cluster are kept.  When ``t >= |C|`` the whole
 cluster is kept, so the sample is deterministic there.
 
-Scale notes.  Cluster sizes are one partial aggregate (k rows), checked
-against ``max_clusters`` and broadcast: a hash lookup per point, no
+Scale notes.  Cluster sizes are one partial aggregate (k rows), collected
+with a bound (``max_clusters``) and broadcast: a hash lookup per point, no
 shuffle of the points by cluster, so a cluster holding a third of the
 points costs nothing extra.  (A map literal looked up with ``element_at``
 scans its keys linearly: 19 s against 2 s for the broadcast join at
@@ -25,7 +25,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.random import seeded_uniform
-from sheaf.operators.joins import broadcast_if_small
 
 DEFAULT_MAX_CLUSTERS = 100_000
 
@@ -48,14 +47,15 @@ def attach_cluster_size(
 ) -> DataFrame:
     """Add ``cluster_size`` (the size of the point's own cluster).
 
-    The sizes (k rows) are materialised, their number checked against
-    ``max_clusters``, and broadcast: a hash lookup per point inside the
-    generated code, with no shuffle of the points.
+    The sizes (k rows) are collected with a bound (``max_clusters``) and
+    broadcast: a hash lookup per point inside the generated code, with no
+    shuffle of the points.
     """
     sizes = cluster_sizes(points, cluster).withColumnRenamed("size", "cluster_size")
-    side, small = broadcast_if_small(sizes, max_clusters)
-    if not small:
+    rows = sizes.limit(max_clusters + 1).collect()
+    if len(rows) > max_clusters:
         raise ValueError(f"more than {max_clusters} clusters; raise max_clusters to allow it")
+    side = F.broadcast(points.sparkSession.createDataFrame(rows, sizes.schema))
     return points.join(side, cluster, "left").select(*points.columns, "cluster_size")
 
 

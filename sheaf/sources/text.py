@@ -21,15 +21,22 @@ def read_text_lines(
     spark: SparkSession,
     paths: str | Iterable[str],
     num_partitions: int | None = None,
+    with_ids: bool = False,
 ) -> DataFrame:
-    """One row per line, column ``value``.
+    """One row per line, column ``value`` (and ``id`` with ``with_ids``).
 
     ``num_partitions`` is the optional round-robin repartition of the
     input (only worth it when the input has fewer splits than cores).
+    ``with_ids`` numbers the lines right at the scan, before any shuffle:
+    a split is always read by the same partition in the same order, so a
+    retried task gives every line the same id (the seeded sampling relies
+    on that).
     """
     if isinstance(paths, str):
         paths = [p for p in paths.split(",") if p]
     df = spark.read.text(list(paths))
+    if with_ids:
+        df = df.select(F.monotonically_increasing_id().alias("id"), "value")
     return df.repartition(num_partitions) if num_partitions else df
 
 

@@ -129,7 +129,9 @@ def avg_word_length(counts: DataFrame) -> DataFrame:
     )
 
 
-def word_count_report(docs: DataFrame, tokens: DataFrame, n_salts: int = 16) -> DataFrame:
+def word_count_report(
+    docs: DataFrame, tokens: DataFrame, n_salts: int = 16, doc_keys: Iterable[str] = DOC_KEYS
+) -> DataFrame:
     """(metric, value) rows: number of documents, vocabulary size by each of
     the four strategies (they must agree), and the average word length.
 
@@ -137,7 +139,7 @@ def word_count_report(docs: DataFrame, tokens: DataFrame, n_salts: int = 16) ->
     """
     parts = [count_documents(docs).select(F.lit("n_documents").alias("metric"), F.col("n_documents").alias("value"))]
     for name, fn in STRATEGIES.items():
-        counts = fn(tokens, n_salts) if name.startswith("salted") else fn(tokens)
+        counts = fn(tokens, n_salts, doc_keys=doc_keys) if name.startswith("salted") else fn(tokens)
         parts.append(vocabulary_size(counts).select(
             F.lit(f"vocabulary_size_{name}").alias("metric"), F.col("vocabulary_size").alias("value")
         ))

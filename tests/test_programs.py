@@ -56,6 +56,8 @@ def test_word_count_program(spark):
               W.word_count_salted_pairs(tokens, 4, doc_keys=("id",)), W.word_count_partitionwise(tokens)]
     results = [{r.word: r.n for r in c.collect()} for c in counts]
     assert all(r == {"hello": 3, "world": 1, "there": 1, "": 1, "you": 1} for r in results)
+    report = {r.metric: r.value for r in W.word_count_report(docs, tokens, 4, doc_keys=("id",)).collect()}
+    assert report["n_documents"] == 3 and report["vocabulary_size_salted"] == 5 and report["avg_word_length"] == 3
 
 
 def test_line_ids_are_unique_and_stable(spark):

@@ -79,3 +79,22 @@ def test_streaming_word_count(spark):
     query.awaitTermination(60)
     got = {r.word: r.n for r in spark.sql("SELECT * FROM wc_test").collect()}
     assert got == {"hello": 2, "world": 2, "": 1, "x": 1}
+
+
+def test_streaming_word_count_accumulates_across_triggers(spark):
+    from sheaf.streaming.wordcount import start_word_count
+
+    folder = tempfile.mkdtemp(prefix="sheaf-stream-")
+    ckpt = tempfile.mkdtemp(prefix="sheaf-ckpt-")
+    with open(os.path.join(folder, "1.txt"), "w") as fh:
+        fh.write("a b a\n")
+    q = start_word_count(spark, folder, "wc_acc1", checkpoint=ckpt)
+    q.awaitTermination(60)
+    first = {r.word: r.n for r in spark.sql("SELECT * FROM wc_acc1").collect()}
+    with open(os.path.join(folder, "2.txt"), "w") as fh:
+        fh.write("b c\n")
+    q = start_word_count(spark, folder, "wc_acc2", checkpoint=ckpt)  # resumes from the checkpoint
+    q.awaitTermination(60)
+    second = {r.word: r.n for r in spark.sql("SELECT * FROM wc_acc2").collect()}
+    assert first == {"a": 2, "b": 1}
+    assert second == {"a": 2, "b": 2, "c": 1}

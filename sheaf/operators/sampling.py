@@ -60,11 +60,16 @@ def attach_cluster_size(
 
 
 def bernoulli_sample(
-    points: DataFrame, t: int, seed: int, id_col: str = "id", size_col: str = "cluster_size"
+    points: DataFrame,
+    t: int,
+    seed: int,
+    id_col: str = "id",
+    size_col: str = "cluster_size",
+    draw: str = "xxhash64",
 ) -> DataFrame:
     """Keep a row when ``u < min(t / size, 1)``; ``u`` is a seeded hash of the id."""
     keep = F.least(F.lit(float(t)) / F.col(size_col), F.lit(1.0))
-    return points.withColumn("u", seeded_uniform(id_col, seed)).where(F.col("u") < keep)
+    return points.withColumn("u", seeded_uniform(id_col, seed, draw)).where(F.col("u") < keep)
 
 
 def cap_per_cluster(
@@ -82,17 +87,19 @@ def stratified_sample(
     id_col: str = "id",
     cluster: str = "cluster",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    draw: str = "xxhash64",
 ) -> DataFrame:
     """Bernoulli at ``min(t/|C|, 1)`` per cluster, then capped at ``t`` per cluster.
 
     The result keeps the input columns plus ``cluster_size`` and ``u``.
     Ids must be stable and unique (table keys), so the sample is the same
-    on every run and after any task retry.
+    on every run and after any task retry.  ``draw`` picks the hash behind
+    the uniform draw (``xxhash64`` fast, ``md5`` reproducible in SQL).
     """
     if t < 1:
         raise ValueError("sample size t must be >= 1")
     sized = attach_cluster_size(points, cluster, max_clusters)
-    return cap_per_cluster(bernoulli_sample(sized, t, seed, id_col), t, cluster, ("u", id_col))
+    return cap_per_cluster(bernoulli_sample(sized, t, seed, id_col, draw=draw), t, cluster, ("u", id_col))
 
 
 def normalizers(sizes: DataFrame, t: int, cluster: str = "cluster") -> DataFrame:

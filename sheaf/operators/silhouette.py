@@ -400,12 +400,13 @@ def approx_silhouette_scores(
     cluster: str = "cluster",
     method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    draw: str = "xxhash64",
 ) -> DataFrame:
     """a, b, s for every point against a stratified sample of at most t per cluster."""
     if normalizer not in NORMALIZERS:
         raise ValueError(f"normalizer must be one of {NORMALIZERS}")
     dim = vector_dim(points, point) if dim is None else dim
-    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters)
+    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters, draw)
     if normalizer == "expected":
         moments = cluster_moments(sample, dim, point, cluster, size_col="cluster_size")
         norm = F.least(F.lit(float(t)), F.col("size").cast("double"))
@@ -425,6 +426,7 @@ def sample_silhouette_scores(
     cluster: str = "cluster",
     method: str = "auto",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    draw: str = "xxhash64",
 ) -> DataFrame:
     """a, b, s for every *sampled* point against the sample (actual sizes).
 
@@ -433,7 +435,7 @@ def sample_silhouette_scores(
     table instead of re-running the full-data sampling passes.
     """
     dim = vector_dim(points, point) if dim is None else dim
-    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters)
+    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters, draw)
     sample = materialize(sample.select(*points.columns))
     moments = cluster_moments(sample, dim, point, cluster)
     return silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, max_clusters)

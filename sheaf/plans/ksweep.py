@@ -47,6 +47,7 @@ def k_sweep_silhouette(
     num_partitions: int | None = None,
     normalizer: str = "expected",
     parallel_k: int = 4,
+    draw: str = "xxhash64",
 ) -> DataFrame:
     """One row per k: (k, t = m div k, approximate silhouette, n_points, timings)."""
     if k_start < 1 or h < 1:
@@ -69,7 +70,7 @@ def k_sweep_silhouette(
             clustered = kmeans_assign(model, base, point=point, prediction="cluster")
             t = m // k
             result = approx_silhouette(
-                clustered, t, seed, normalizer=normalizer, dim=dim, id_col=id_col, point=point
+                clustered, t, seed, normalizer=normalizer, dim=dim, id_col=id_col, point=point, draw=draw
             ).first()
             done = time.perf_counter()
             return (k, t, result["silhouette"], result["n_points"], fitted - started, done - fitted)

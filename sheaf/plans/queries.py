@@ -28,6 +28,7 @@ SAMPLE_T = 20
 SAMPLE_SEED = 7
 N_SALTS = 8
 SWEEP = {"k_start": 2, "h": 3, "max_iter": 10, "m": 60, "seed": 11}
+DRAW = "md5"  # the sampling draw DuckDB can reproduce (the library default is xxhash64)
 ROUND = 6
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,12 +175,12 @@ def q_attach_cluster_size(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_bernoulli_sample(spark: SparkSession, sf: str) -> DataFrame:
     sized = sampling.attach_cluster_size(_points(spark, sf))
-    kept = sampling.bernoulli_sample(sized, SAMPLE_T, SAMPLE_SEED)
+    kept = sampling.bernoulli_sample(sized, SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     return kept.select("id", "cluster", "u")
 
 
 def q_stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.stratified_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED).select("id", "cluster")
+    return sampling.stratified_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW).select("id", "cluster")
 
 
 def q_normalizers(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +188,7 @@ def q_normalizers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_sample_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return sampling.sample_cluster_sizes(sampling.stratified_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED))
+    return sampling.sample_cluster_sizes(sampling.stratified_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW))
 
 
 # ------------------------------------------------------------- silhouette
@@ -202,34 +203,34 @@ def _rounded_mean(df: DataFrame, name: str) -> DataFrame:
 
 
 def q_silhouette_per_point(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_scores(silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED))
+    return _rounded_scores(silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW))
 
 
 def q_intra_cluster_distance(spark: SparkSession, sf: str) -> DataFrame:
-    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED)
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     return scored.select("id", "cluster", F.round("a", ROUND).alias("a"))
 
 
 def q_nearest_cluster_distance(spark: SparkSession, sf: str) -> DataFrame:
-    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED)
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     return scored.select("id", "cluster", F.round("b", ROUND).alias("b"))
 
 
 def q_distance_sums_by_cluster(spark: SparkSession, sf: str) -> DataFrame:
     pts = _points(spark, sf)
     dim = silhouette.vector_dim(pts)
-    sample = sampling.stratified_sample(pts, SAMPLE_T, SAMPLE_SEED)
+    sample = sampling.stratified_sample(pts, SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     moments = silhouette.cluster_moments(sample, dim)
     sums = silhouette.distance_sums_by_cluster(pts.select("id", "point", "cluster"), moments, dim)
     return sums.select("id", "cluster", "sample_cluster", F.round("dist_sum", ROUND).alias("dist_sum"))
 
 
 def q_approx_silhouette_full(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded_mean(silhouette.approx_silhouette(_points(spark, sf), SAMPLE_T, SAMPLE_SEED), "approx_silhouette")
+    return _rounded_mean(silhouette.approx_silhouette(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW), "approx_silhouette")
 
 
 def q_approx_silhouette_actual(spark: SparkSession, sf: str) -> DataFrame:
-    df = silhouette.approx_silhouette(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, normalizer="actual")
+    df = silhouette.approx_silhouette(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, normalizer="actual", draw=DRAW)
     return _rounded_mean(df, "approx_silhouette")
 
 
@@ -238,7 +239,7 @@ def q_exact_silhouette_full(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_exact_silhouette_sample(spark: SparkSession, sf: str) -> DataFrame:
-    df = silhouette.exact_silhouette_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED)
+    df = silhouette.exact_silhouette_sample(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     return _rounded_mean(df, "sample_silhouette")
 
 

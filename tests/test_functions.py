@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from sheaf.functions import java_split, seeded_uniform, silhouette_value, sqdist, text_to_lines, utf16_length
 
@@ -58,13 +59,27 @@ def test_utf16_length_counts_surrogates(spark):
 
 def test_seeded_uniform_is_md5_prefix(spark):
     df = spark.createDataFrame([(i,) for i in range(50)], "id long")
-    rows = df.select("id", seeded_uniform("id", 7).alias("u")).orderBy("id").collect()
+    rows = df.select("id", seeded_uniform("id", 7, "md5").alias("u")).orderBy("id").collect()
     for r in rows:
         expected = int(hashlib.md5(f"7:{r['id']}".encode()).hexdigest()[:8], 16) / 2**32
         assert r["u"] == expected
         assert 0.0 <= r["u"] < 1.0
 
 
+def test_seeded_uniform_xxhash64_is_stable_and_uniform(spark):
+    df = spark.range(0, 20000)
+    u = df.select(seeded_uniform("id", 7).alias("u"))
+    first = [r.u for r in u.orderBy("id").limit(20).collect()]
+    again = [r.u for r in df.repartition(5).select("id", seeded_uniform("id", 7).alias("u")).orderBy("id").limit(20).collect()]
+    assert first == again
+    stats = u.agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0.0 <= stats[0] and stats[1] < 1.0 and abs(stats[2] - 0.5) < 0.02
+    other = df.select(seeded_uniform("id", 8).alias("u")).orderBy("id").limit(20).collect()
+    assert [r.u for r in other] != first
+    with pytest.raises(ValueError):
+        seeded_uniform("id", 7, "sha1")
+
+
 def test_sqdist_and_length_check(spark):
     df = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0])], "p array<double>, q array<double>")
     assert df.select(sqdist("p", "q")).first()[0] == 25.0

@@ -52,6 +52,14 @@ def kmeans_assign(model, points: DataFrame, point: str = "point", prediction: st
     return out.withColumn(prediction, F.col("_prediction").cast("int")).drop("_features", "_prediction")
 
 
+def kmeans_centres(spark, model) -> DataFrame:
+    """(cluster, centre) of a fitted model: its k centres, already on the driver."""
+    if isinstance(model, SingleCluster):
+        raise ValueError("the k = 1 model keeps no centre; it is the mean vector of the points")
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    return spark.createDataFrame(rows, "cluster int, centre array<double>")
+
+
 def centroids(points: DataFrame, dim: int, point: str = "point", cluster: str = "cluster") -> DataFrame:
     """(cluster, centre:array<double>) – mean vector of each label."""
     p = F.col(point)

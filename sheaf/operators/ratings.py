@@ -63,7 +63,7 @@ def _user_key(ratings: DataFrame, user: str) -> list[Column] | None:
     return [F.coalesce(F.col(user), default).alias("_uk"), F.col(user).isNull().alias("_un")]
 
 
-def center_ratings_by_user(
+def attach_user_mean(
     ratings: DataFrame,
     user: str = "user_id",
     rating: str = "rating",
@@ -71,12 +71,18 @@ def center_ratings_by_user(
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     hot_fraction: float = DEFAULT_HOT_FRACTION,
 ) -> DataFrame:
-    """Add ``norm_rating = rating - mean rating of the user`` (float); every row kept."""
+    """Add ``mean_rating`` (float), the mean rating of the row's user; every row kept.
+
+    ``join``: per-user means (one aggregate), joined back through a
+    size-checked broadcast, or a shuffle join with hot users split off.
+    ``lazy_join``: a plain join, planned by Spark/AQE.  ``window``: an
+    average over ``Window.partitionBy(user)``, one user per window group.
+    """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
     if strategy == "window":
         mean = F.avg(F.col(rating).cast("double")).over(Window.partitionBy(user)).cast("float")
-        return ratings.withColumn("norm_rating", F.col(rating) - mean)
+        return ratings.withColumn("mean_rating", mean)
     key = _user_key(ratings, user)
     if key is None:  # other key types: null-safe equality
         means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
@@ -90,9 +96,22 @@ def center_ratings_by_user(
             joined = keyed.join(means.drop("_n"), ["_uk", "_un"])
         else:
             joined = _join_means_split_hot(keyed, means, broadcast_max_rows, hot_fraction)
-    return joined.select(
+    return joined.select(*[F.col(c) for c in ratings.columns], F.col("_mean").alias("mean_rating"))
+
+
+def center_ratings_by_user(
+    ratings: DataFrame,
+    user: str = "user_id",
+    rating: str = "rating",
+    strategy: str = "join",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    hot_fraction: float = DEFAULT_HOT_FRACTION,
+) -> DataFrame:
+    """Add ``norm_rating = rating - mean rating of the user`` (float); every row kept."""
+    with_mean = attach_user_mean(ratings, user, rating, strategy, broadcast_max_rows, hot_fraction)
+    return with_mean.select(
         *[F.col(c) for c in ratings.columns],
-        (F.col(rating) - F.col("_mean")).alias("norm_rating"),
+        (F.col(rating) - F.col("mean_rating")).alias("norm_rating"),
     )
 
 

@@ -59,6 +59,15 @@ def attach_cluster_size(
     return points.join(side, cluster, "left").select(*points.columns, "cluster_size")
 
 
+def attach_normalizer(
+    points: DataFrame, t: int, cluster: str = "cluster", max_clusters: int = DEFAULT_MAX_CLUSTERS
+) -> DataFrame:
+    """Add ``norm = min(t, size of the point's cluster)`` through the same bounded broadcast lookup."""
+    sized = attach_cluster_size(points, cluster, max_clusters)
+    norm = F.least(F.lit(int(t)).cast("bigint"), F.col("cluster_size")).alias("norm")
+    return sized.select(*points.columns, norm)
+
+
 def bernoulli_sample(
     points: DataFrame,
     t: int,

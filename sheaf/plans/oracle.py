@@ -5,7 +5,7 @@ Spark side parses text it formatted itself, uses arrays and scalar
 subqueries; the SQL side works on long-form rows).  The silhouettes use
 the same moments identity in a long form: one row per (point, cluster)
 with the squared distance to the cluster mean, never one row per pair
-of points.  Keys missing here (k-means, per-partition maxima) are
+of points.  Keys missing here (k-means fit and assignment, per-partition maxima) are
 checked by row count only.
 """
 
@@ -146,6 +146,9 @@ ORACLE: dict[str, str] = {
     # ratings
     "user_mean_rating": _with(RATINGS)
     + " SELECT user_id, CAST(avg(CAST(rating AS DOUBLE)) AS FLOAT) AS mean_rating FROM r GROUP BY user_id",
+    "attach_user_mean": _with(RATINGS)
+    + " SELECT product_id, user_id, rating,"
+    " CAST(avg(CAST(rating AS DOUBLE)) OVER (PARTITION BY user_id) AS FLOAT) AS mean_rating FROM r",
     "center_ratings_by_user": _with(RATINGS, CENTRED) + " SELECT product_id, user_id, rating, norm_rating FROM c",
     "rating_deviation": _with(RATINGS, CENTRED) + " SELECT product_id, norm_rating FROM c",
     "max_norm_rating": _with(RATINGS, CENTRED, MAXIMA) + " SELECT product_id, max_norm_rating FROM m",
@@ -153,6 +156,9 @@ ORACLE: dict[str, str] = {
     "top_normalized_ratings": _with(RATINGS, CENTRED, MAXIMA)
     + " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
     f" product_id, max_norm_rating FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T}",
+    "top_products": _with(RATINGS, CENTRED, MAXIMA)
+    + " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
+    f" product_id, max_norm_rating FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T}",
     # word count
     "java_split": _with(LINES.format(table=DOCS))
     + " SELECT doc_id, line_no, CAST(len(" + SPLIT.format(c="line") + ") AS INTEGER) AS n_tokens FROM lines",
@@ -184,6 +190,12 @@ ORACLE: dict[str, str] = {
     " CAST(sum(length) AS BIGINT) // count(*) AS avg_word_length FROM wl",
     # sampling
     "project_cluster": _with(POINTS) + " SELECT cluster FROM pts",
+    "count_points": "SELECT count(*) AS n_points FROM embeddings",
+    "attach_normalizer": _with(POINTS)
+    + f" SELECT id, cluster, least(CAST({SAMPLE_T} AS BIGINT), count(*) OVER (PARTITION BY cluster)) AS norm FROM pts",
+    "cap_per_cluster": _with(POINTS)
+    + " SELECT id, cluster FROM (SELECT id, cluster, row_number() OVER (PARTITION BY cluster ORDER BY id) AS rn"
+    f" FROM pts) WHERE rn <= {SAMPLE_T}",
     "cluster_sizes": _with(POINTS) + " SELECT cluster, count(*) AS size FROM pts GROUP BY cluster",
     "attach_cluster_size": _with(POINTS)
     + " SELECT id, cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size FROM pts",
@@ -196,6 +208,10 @@ ORACLE: dict[str, str] = {
     # silhouette
     "silhouette_per_point": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT id, cluster, round(a, {ROUND}) AS a, round(b, {ROUND}) AS b, round(s, {ROUND}) AS s FROM s",
+    "silhouette_value": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
+    + f" SELECT id, cluster, round(s, {ROUND}) AS s FROM s",
+    "mean_silhouette": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
+    + f" SELECT round(avg(s), {ROUND}) AS silhouette, count(*) AS n_points FROM s",
     "intra_cluster_distance": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT id, cluster, round(a, {ROUND}) AS a FROM s",
     "nearest_cluster_distance": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))

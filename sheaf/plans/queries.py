@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sheaf.functions.strings import java_split
-from sheaf.functions.vectors import sqdist
+from sheaf.functions.vectors import silhouette_value, sqdist
 from sheaf.operators import clustering, ratings, sampling, silhouette, wordcount
 from sheaf.operators.joins import broadcast_if_small
 from sheaf.plans.ksweep import k_sweep_silhouette
@@ -67,6 +67,10 @@ def q_user_mean_rating(spark: SparkSession, sf: str) -> DataFrame:
     return ratings.user_mean_rating(tables.ratings(spark, sf))
 
 
+def q_attach_user_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return ratings.attach_user_mean(tables.ratings(spark, sf), strategy="join")
+
+
 def q_center_ratings_by_user(spark: SparkSession, sf: str) -> DataFrame:
     return ratings.center_ratings_by_user(tables.ratings(spark, sf), strategy="join")
 
@@ -91,6 +95,10 @@ def q_rank_products(spark: SparkSession, sf: str) -> DataFrame:
     return ratings.rank_products(_maxima(spark, sf))
 
 
+def q_top_products(spark: SparkSession, sf: str) -> DataFrame:
+    return ratings.top_products(_maxima(spark, sf), TOP_T)
+
+
 def q_top_normalized_ratings(spark: SparkSession, sf: str) -> DataFrame:
     # The ratings come out of a join: write them once, read them twice.
     return ratings.top_normalized_ratings(tables.ratings(spark, sf), TOP_T, materialize_input=True)
@@ -165,6 +173,10 @@ def q_project_cluster(spark: SparkSession, sf: str) -> DataFrame:
     return _points(spark, sf).select("cluster")
 
 
+def q_count_points(spark: SparkSession, sf: str) -> DataFrame:
+    return _points(spark, sf).agg(F.count(F.lit(1)).alias("n_points"))
+
+
 def q_cluster_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.cluster_sizes(_points(spark, sf))
 
@@ -173,6 +185,16 @@ def q_attach_cluster_size(spark: SparkSession, sf: str) -> DataFrame:
     return sampling.attach_cluster_size(_points(spark, sf)).select("id", "cluster", "cluster_size")
 
 
+def q_attach_normalizer(spark: SparkSession, sf: str) -> DataFrame:
+    return sampling.attach_normalizer(_points(spark, sf), SAMPLE_T).select("id", "cluster", "norm")
+
+
+def q_cap_per_cluster(spark: SparkSession, sf: str) -> DataFrame:
+    # The per-group limit on its own: the first t points of each cluster by id.
+    capped = sampling.cap_per_cluster(_points(spark, sf).select("id", "cluster"), SAMPLE_T, order=("id",))
+    return capped.select("id", "cluster")
+
+
 def q_bernoulli_sample(spark: SparkSession, sf: str) -> DataFrame:
     sized = sampling.attach_cluster_size(_points(spark, sf))
     kept = sampling.bernoulli_sample(sized, SAMPLE_T, SAMPLE_SEED, draw=DRAW)
@@ -206,6 +228,16 @@ def q_silhouette_per_point(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_scores(silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW))
 
 
+def q_silhouette_value(spark: SparkSession, sf: str) -> DataFrame:
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
+    return scored.select("id", "cluster", F.round(silhouette_value("a", "b"), ROUND).alias("s"))
+
+
+def q_mean_silhouette(spark: SparkSession, sf: str) -> DataFrame:
+    scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
+    return _rounded_mean(silhouette.mean_silhouette(scored), "silhouette")
+
+
 def q_intra_cluster_distance(spark: SparkSession, sf: str) -> DataFrame:
     scored = silhouette.approx_silhouette_scores(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
     return scored.select("id", "cluster", F.round("a", ROUND).alias("a"))
@@ -262,6 +294,11 @@ def q_sqdist(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("id", "cluster", F.round(sqdist("point", "centre"), ROUND).alias("d"))
 
 
+def q_kmeans_fit(spark: SparkSession, sf: str) -> DataFrame:
+    model = clustering.kmeans_fit(_points(spark, sf), k=4, max_iter=10, seed=SWEEP["seed"])
+    return clustering.kmeans_centres(spark, model)
+
+
 def q_kmeans_assign(spark: SparkSession, sf: str) -> DataFrame:
     pts = _points(spark, sf)
     model = clustering.kmeans_fit(pts, k=4, max_iter=10, seed=SWEEP["seed"])

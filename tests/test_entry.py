@@ -14,7 +14,7 @@ from sheaf.sources.tables import TABLES
 
 from .conftest import SF0001, needs
 
-NO_ORACLE = {"kmeans_assign", "k_sweep_silhouette", "partial_max_by_partition"}
+NO_ORACLE = {"kmeans_fit", "kmeans_assign", "k_sweep_silhouette", "partial_max_by_partition"}
 
 
 def test_contract_keys():

@@ -50,8 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is
-    used as is.  Only when it is unset (local tests) a scratch folder is
-    created.
+    used as is; when it is unset there, this is an error, since a folder
+    local to the driver machine would not survive a lost executor.  Only a
+    ``local`` master (tests, scripts) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -59,6 +60,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not str(sc.master).startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is unset: set it to a folder shared by the driver and all executors"
+            )
         configured = tempfile.mkdtemp(prefix="sheaf-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

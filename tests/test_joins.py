@@ -18,3 +18,32 @@ def test_broadcast_if_small_bound(spark):
     assert small and side.count() == 10
     side, small = broadcast_if_small(df, max_rows=9)
     assert not small and side.count() == 10
+
+
+class _FakeContext:
+    def __init__(self, master):
+        self.master = master
+        self.dir = None
+
+    def getCheckpointDir(self):
+        return self.dir
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+class _FakeSession:
+    def __init__(self, master, configured=None):
+        self.sparkContext = _FakeContext(master)
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+
+
+def test_checkpoint_dir_from_session_and_no_local_fallback_on_a_cluster():
+    import pytest
+
+    from sheaf.session import ensure_checkpoint_dir
+
+    assert ensure_checkpoint_dir(_FakeSession("yarn", "hdfs:///shared/ckpt")) == "hdfs:///shared/ckpt"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_FakeSession("spark://master:7077"))
+    assert ensure_checkpoint_dir(_FakeSession("local[2]")).startswith(("/tmp", "/"))

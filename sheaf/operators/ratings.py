@@ -18,8 +18,9 @@ task.  It is then joined back on the user key:
   through a shuffle join, in which no key can hold more than that share.
 * ``lazy_join``: the same join with no job at plan time; AQE converts it
   to a broadcast join from measured sizes, after both sides were shuffled.
-* ``window``: one pass with no join, but every user's rows go to one task;
-  use it only when no user is large.
+
+There is no window strategy (``avg over partitionBy(user)``): it would
+put all rows of a user, possibly a third of the table, into one task.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import types as T
 
 from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 
-STRATEGIES = ("join", "lazy_join", "window")
+STRATEGIES = ("join", "lazy_join")
 # A user with more than this share of all ratings is "hot" (at most 1/share of them).
 DEFAULT_HOT_FRACTION = 0.01
 
@@ -73,16 +74,12 @@ def attach_user_mean(
 ) -> DataFrame:
     """Add ``mean_rating`` (float), the mean rating of the row's user; every row kept.
 
-    ``join``: per-user means (one aggregate), joined back through a
+    ``join``: per-user means (one partial aggregate), joined back through a
     size-checked broadcast, or a shuffle join with hot users split off.
-    ``lazy_join``: a plain join, planned by Spark/AQE.  ``window``: an
-    average over ``Window.partitionBy(user)``, one user per window group.
+    ``lazy_join``: a plain join, planned by Spark/AQE.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    if strategy == "window":
-        mean = F.avg(F.col(rating).cast("double")).over(Window.partitionBy(user)).cast("float")
-        return ratings.withColumn("mean_rating", mean)
     key = _user_key(ratings, user)
     if key is None:  # other key types: null-safe equality
         means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
@@ -212,7 +209,7 @@ def top_normalized_ratings(
     first: worth it when they come out of an expensive join, which the
     means branch and the centring branch would otherwise both re-run.
     """
-    if materialize_input and strategy != "window":
+    if materialize_input:
         ratings = materialize(ratings.select(product, user, rating))
     centred = center_ratings_by_user(
         ratings, user=user, rating=rating, strategy=strategy, broadcast_max_rows=broadcast_max_rows

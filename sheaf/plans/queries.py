@@ -76,7 +76,7 @@ def q_center_ratings_by_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_rating_deviation(spark: SparkSession, sf: str) -> DataFrame:
-    return ratings.rating_deviation(tables.ratings(spark, sf), strategy="window")
+    return ratings.rating_deviation(tables.ratings(spark, sf))
 
 
 def _maxima(spark: SparkSession, sf: str) -> DataFrame:

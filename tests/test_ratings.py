@@ -50,7 +50,7 @@ def test_strategies_agree_and_partitioning_does_not_matter(spark):
     rows = [(f"p{i % 7}", f"u{i % 5}", float(i % 11)) for i in range(200)]
     df = _ratings(spark, rows)
     a = R.top_normalized_ratings(df, 5, strategy="join").collect()
-    b = R.top_normalized_ratings(df, 5, strategy="window").collect()
+    b = R.top_normalized_ratings(df, 5, materialize_input=True).collect()
     c = R.top_normalized_ratings(df.repartition(13), 5).collect()
     d = R.top_normalized_ratings(df, 5, strategy="lazy_join").collect()
     e = R.top_normalized_ratings(df, 5, broadcast_max_rows=2).collect()  # over the bound: shuffle join
@@ -98,9 +98,14 @@ def test_hot_user_split(spark):
         (F.col("id") % 7).cast("float").alias("rating"),
     )
     split = R.center_ratings_by_user(df, broadcast_max_rows=10, hot_fraction=0.05)
-    window = R.center_ratings_by_user(df, strategy="window")
+    lazy = R.center_ratings_by_user(df, strategy="lazy_join")
     key = ["product_id", "user_id", "rating", "norm_rating"]
-    assert sorted(split.select(key).collect()) == sorted(window.select(key).collect())
+    assert sorted(split.select(key).collect()) == sorted(lazy.select(key).collect())
+    pdf = df.toPandas()
+    means = pdf.groupby("user_id")["rating"].transform(lambda r: r.astype("float64").mean()).astype("float32")
+    want = sorted(zip(pdf.product_id, pdf.user_id, pdf.rating, (pdf.rating - means).astype("float32")))
+    got = sorted((r.product_id, r.user_id, r.rating, r.norm_rating) for r in split.select(key).collect())
+    assert [(a, b, float(c), float(d)) for a, b, c, d in want] == got
     confs = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     saved = {c: spark.conf.get(c, None) for c in confs}
     try:

@@ -170,3 +170,24 @@ def test_distance_sums_match_pairwise(spark, method):
     for (i, c), v in got.items():
         members = pts[sample_idx][cl[sample_idx] == c]
         assert v == pytest.approx(((members - pts[i]) ** 2).sum(), rel=1e-9, abs=1e-9)
+
+
+def test_cap_per_cluster_above_window_group_limit_threshold(spark):
+    from pyspark.sql import functions as F
+
+    # Cluster 0 holds a third of the rows, spread over 8 partitions; t is above Spark's threshold.
+    n = 9000
+    df = spark.range(n).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, 0).otherwise(1 + F.col("id") % 5).cast("int").alias("cluster"),
+        ((F.col("id") * 7919) % 1009).cast("double").alias("u"),
+    ).repartition(8)
+    t = 1200
+    capped = SM.cap_per_cluster(df, t)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "MapInPandas" in plan or "PythonMapInArrow" in plan
+    got = sorted((r.cluster, r.id) for r in capped.collect())
+    pdf = df.toPandas().sort_values(["cluster", "u", "id"])
+    want = sorted((int(c), int(i)) for c, i in pdf.groupby("cluster").head(t)[["cluster", "id"]].itertuples(index=False))
+    assert got == want
+    assert SM.sample_cluster_sizes(capped).where("cluster = 0").first().sample_size == t

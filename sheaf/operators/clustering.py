@@ -16,7 +16,8 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, bounded
+from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, DEFAULT_MAX_MODEL_VALUES, bounded, model_row_limit
+from sheaf.operators.silhouette import vector_dim
 
 
 @dataclass
@@ -67,10 +68,16 @@ def centroids(points: DataFrame, dim: int, point: str = "point", cluster: str =
     return m.select(cluster, F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centre"))
 
 
-def _collect_centres(centres: DataFrame, centre: str, cluster: str, max_centres: int) -> list[tuple[int, list[float]]]:
-    rows = centres.select(cluster, centre).limit(max_centres + 1).collect()
-    if len(rows) > max_centres:
-        raise ValueError(f"more than {max_centres} centres; raise max_centres to allow it")
+def _collect_centres(
+    centres: DataFrame, centre: str, cluster: str, max_centres: int, dim: int
+) -> list[tuple[int, list[float]]]:
+    limit = model_row_limit(max_centres, dim)
+    rows = centres.select(cluster, centre).limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(
+            f"more than {limit} centres (max_centres {max_centres}, dimension {dim},"
+            f" at most {DEFAULT_MAX_MODEL_VALUES} model values); raise max_centres to allow it"
+        )
     return sorted((r[0], [float(x) for x in r[1]]) for r in rows)
 
 
@@ -157,7 +164,8 @@ def assign_nearest(
             .withColumn(out, nearest)
             .drop("_p", "_centres")
         )
-    cents = _collect_centres(centres, centre, cluster, max_centres)
+    # The points' dimension (one row read) bounds the collected k x d centres.
+    cents = _collect_centres(centres, centre, cluster, max_centres, vector_dim(points, point))
     if not cents:
         return points.withColumn(out, F.lit(None).cast("int"))
     dim = len(cents[0][1])

@@ -32,6 +32,14 @@ from pyspark.sql import functions as F
 from sheaf.functions.random import seeded_uniform
 
 DEFAULT_MAX_CLUSTERS = 100_000
+# A k x d model (cluster means, centres) reaches the driver and every
+# executor, so its total size is bounded too, not only k: 2^24 doubles (128 MiB).
+DEFAULT_MAX_MODEL_VALUES = 1 << 24
+
+
+def model_row_limit(max_rows: int, dim: int | None, max_values: int = DEFAULT_MAX_MODEL_VALUES) -> int:
+    """How many rows of a k x ``dim`` model may be collected: at most ``max_rows`` and ``max_values`` values."""
+    return max_rows if not dim else min(max_rows, max(1, max_values // dim))
 
 
 def cluster_sizes(points: DataFrame, cluster: str = "cluster") -> DataFrame:

@@ -57,7 +57,13 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.vectors import silhouette_value
 from sheaf.operators.joins import materialize
-from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, bounded, stratified_sample
+from sheaf.operators.sampling import (
+    DEFAULT_MAX_CLUSTERS,
+    DEFAULT_MAX_MODEL_VALUES,
+    bounded,
+    model_row_limit,
+    stratified_sample,
+)
 
 NORMALIZERS = ("expected", "actual")
 METHODS = ("auto", "codegen", "arrow", "lambda")
@@ -129,8 +135,10 @@ def collect_moments(
     norm: Column,
     cluster: str = "cluster",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    dim: int | None = None,
 ) -> list[Moments]:
-    """Bring the k moment rows to the driver after checking k <= max_clusters."""
+    """Bring the k moment rows to the driver after checking k <= max_clusters and k * dim."""
+    limit = model_row_limit(max_clusters, dim)
     rows = (
         moments.select(
             F.col(cluster).alias("cluster"),
@@ -139,11 +147,14 @@ def collect_moments(
             F.col("m2").cast("double").alias("m2"),
             norm.cast("double").alias("norm"),
         )
-        .limit(max_clusters + 1)
+        .limit(limit + 1)
         .collect()
     )
-    if len(rows) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters; raise max_clusters to allow it")
+    if len(rows) > limit:
+        raise ValueError(
+            f"more than {limit} clusters (max_clusters {max_clusters}, dimension {dim},"
+            f" at most {DEFAULT_MAX_MODEL_VALUES} model values); raise max_clusters to allow it"
+        )
     out = [Moments(r["cluster"], r["n"], tuple(r["mean"]), r["m2"], r["norm"]) for r in rows]
     return sorted(out, key=lambda m: m.cluster)
 
@@ -282,7 +293,7 @@ def silhouette_scores(
         lookup = moments_lookup(moments, norm, cluster, max_clusters)
         scored = _scores_lambda(points, lookup, dim, point, cluster)
     else:
-        rows = collect_moments(moments, norm, cluster, max_clusters)
+        rows = collect_moments(moments, norm, cluster, max_clusters, dim)
         if method == "auto":
             method = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
         if not rows:
@@ -350,7 +361,7 @@ def distance_sums_by_cluster(
         staged = points.withColumn("_p", checked.otherwise(p)).withColumn("_mom", lookup)
         staged = staged.withColumn("_e", F.explode(sums))
         return staged.select(*[F.col(c) for c in points.columns], "_e.sample_cluster", "_e.dist_sum")
-    rows = collect_moments(moments, F.col("n"), cluster, max_clusters)
+    rows = collect_moments(moments, F.col("n"), cluster, max_clusters, dim)
     if not rows:
         return points.select("*", F.lit(None).cast("int").alias("sample_cluster"),
                              F.lit(None).cast("double").alias("dist_sum")).where(F.lit(False))

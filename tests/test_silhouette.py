@@ -191,3 +191,20 @@ def test_cap_per_cluster_above_window_group_limit_threshold(spark):
     want = sorted((int(c), int(i)) for c, i in pdf.groupby("cluster").head(t)[["cluster", "id"]].itertuples(index=False))
     assert got == want
     assert SM.sample_cluster_sizes(capped).where("cluster = 0").first().sample_size == t
+
+
+def test_model_size_bound_counts_values_not_only_clusters(spark, monkeypatch):
+    from sheaf.operators import clustering as CL
+
+    assert SM.model_row_limit(100_000, 768) == (1 << 24) // 768
+    assert SM.model_row_limit(10, 768) == 10
+    assert SM.model_row_limit(10, None) == 10
+    rows = [(i, [float(i), float(i % 3)], i % 3) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, point array<double>, cluster int")
+    small = lambda rows, dim: SM.model_row_limit(rows, dim, max_values=4)  # 2 clusters of dimension 2
+    monkeypatch.setattr(S, "model_row_limit", small)
+    with pytest.raises(ValueError, match="model values"):
+        S.exact_silhouette(df)
+    monkeypatch.setattr(CL, "model_row_limit", small)
+    with pytest.raises(ValueError, match="model values"):
+        CL.assign_nearest(df, CL.centroids(df, 2))

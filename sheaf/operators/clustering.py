@@ -116,11 +116,13 @@ def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
     return nearest
 
 
-def _nearest_lambda(centres: DataFrame, centre: str, cluster: str, max_centres: int) -> tuple[Column, Column]:
+def _nearest_lambda(
+    centres: DataFrame, centre: str, cluster: str, max_centres: int, dim: int
+) -> tuple[Column, Column]:
     packed = centres.agg(
         F.collect_list(F.struct(F.col(centre).alias("centre"), F.col(cluster).alias("cluster"))).alias("c")
     )
-    lookup = packed.select(bounded(F.col("c"), max_centres, "centres")).scalar()
+    lookup = packed.select(bounded(F.col("c"), model_row_limit(max_centres, dim), "centres")).scalar()
     p = F.col("_p")
     dist = F.transform(
         F.col("_centres"),
@@ -156,16 +158,17 @@ def assign_nearest(
     otherwise, or lazily with array lambdas), so no point-centre pair is
     ever a row and the points are not shuffled.
     """
+    # The points' dimension (one row read) bounds the k x d centres on every path.
+    dim = vector_dim(points, point)
     if method == "lambda":
-        lookup, nearest = _nearest_lambda(centres, centre, cluster, max_centres)
+        lookup, nearest = _nearest_lambda(centres, centre, cluster, max_centres, dim)
         return (
             points.withColumn("_p", F.col(point))
             .withColumn("_centres", lookup)
             .withColumn(out, nearest)
             .drop("_p", "_centres")
         )
-    # The points' dimension (one row read) bounds the collected k x d centres.
-    cents = _collect_centres(centres, centre, cluster, max_centres, vector_dim(points, point))
+    cents = _collect_centres(centres, centre, cluster, max_centres, dim)
     if not cents:
         return points.withColumn(out, F.lit(None).cast("int"))
     dim = len(cents[0][1])

@@ -239,6 +239,7 @@ def moments_lookup(
     norm: Column,
     cluster: str = "cluster",
     max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    dim: int | None = None,
 ) -> Column:
     """Scalar-subquery column: the k moment rows as one checked array (lazy)."""
     entry = F.struct(
@@ -249,7 +250,7 @@ def moments_lookup(
         norm.cast("double").alias("norm"),
     )
     packed = moments.agg(F.array_sort(F.collect_list(entry)).alias("c"))
-    return packed.select(bounded(F.col("c"), max_clusters, "cluster moments")).scalar()
+    return packed.select(bounded(F.col("c"), model_row_limit(max_clusters, dim), "cluster moments")).scalar()
 
 
 def _scores_lambda(points: DataFrame, lookup: Column, dim: int, point: str, cluster: str) -> DataFrame:
@@ -290,7 +291,7 @@ def silhouette_scores(
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     if method == "lambda":
-        lookup = moments_lookup(moments, norm, cluster, max_clusters)
+        lookup = moments_lookup(moments, norm, cluster, max_clusters, dim)
         scored = _scores_lambda(points, lookup, dim, point, cluster)
     else:
         rows = collect_moments(moments, norm, cluster, max_clusters, dim)
@@ -349,7 +350,7 @@ def distance_sums_by_cluster(
     p = F.col(point)
     checked = F.when(F.size(p) != dim, _dim_error(dim))
     if method == "lambda":
-        lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters)
+        lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters, dim)
         sums = F.transform(
             F.col("_mom"),
             lambda e: F.struct(

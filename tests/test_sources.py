@@ -33,12 +33,17 @@ def test_parse_labeled_points(spark):
     assert [(r.point, r.cluster) for r in rows] == [([40.7267, -74.0345], 1), ([1.0, 2.0], 3)]
 
 
-@pytest.mark.parametrize("bad", ["1.0  2.0", "1.0 x"])
+@pytest.mark.parametrize("bad", ["1.0  2.0", "1.0 x", "1.0 NaN"])
 def test_parse_points_rejects_empty_or_bad_tokens(spark, bad):
     with pytest.raises(PySparkException):
         parse_points(_lines(spark, [bad])).collect()
 
 
+def test_parse_labeled_points_rejects_nan(spark):
+    with pytest.raises(PySparkException, match="NaN coordinate"):
+        parse_labeled_points(_lines(spark, ["1.0,NaN,2"])).collect()
+
+
 def test_parse_points(spark):
     assert parse_points(_lines(spark, ["1.5 -2 3e2"])).first().point == [1.5, -2.0, 300.0]
 

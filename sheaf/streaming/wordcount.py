@@ -4,7 +4,9 @@ The same tokeniser and one-round aggregate as the batch word count,
 applied to ``readStream.text``: each new file's lines are documents, and
 the running (word, n) table is kept in the state store.  The state is one
 row per distinct word, and partial aggregation happens before the state
-shuffle.  The checkpoint goes under the session's reliable checkpoint
+shuffle.  Each micro-batch emits only the words it changed (``update``
+mode) to Parquet, so no trigger ships the whole vocabulary through the
+driver.  The checkpoint goes under the session's reliable checkpoint
 directory, so a restarted query resumes where it stopped.
 """
 
@@ -28,26 +30,54 @@ def stream_word_count(spark: SparkSession, path: str, max_files_per_trigger: int
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _batch_writer(output: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # Overwrite, so a micro-batch replayed after a failure rewrites the same folder.
+        batch.write.mode("overwrite").parquet(f"{output.rstrip('/')}/batch_id={batch_id}")
+
+    return write
+
+
 def start_word_count(
     spark: SparkSession,
     path: str,
     query_name: str,
-    sink: str = "memory",
+    sink: str = "parquet",
     checkpoint: str | None = None,
+    output: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the streaming word count in ``complete`` mode.
+    """Start the streaming word count.
+
+    ``sink="parquet"`` (default): ``update`` mode; each micro-batch's changed
+    (word, n) rows are written as Parquet under ``output`` (default: next to
+    the checkpoint), read back with ``read_word_counts``.  ``sink="memory"``:
+    ``complete`` mode into an in-memory table named ``query_name`` on the
+    driver, for tests and small vocabularies only.
 
     ``available_now`` processes what is in ``path`` and stops, the batch-like
     trigger; otherwise it keeps running on new files.
     """
-    location = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-    writer = (
-        stream_word_count(spark, path)
-        .writeStream.outputMode("complete")
-        .format(sink)
-        .queryName(query_name)
-        .option("checkpointLocation", location)
-    )
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
+    location = checkpoint or f"{base}/checkpoint"
+    counts = stream_word_count(spark, path)
+    if sink == "memory":
+        writer = counts.writeStream.outputMode("complete").format("memory").queryName(query_name)
+    elif sink == "parquet":
+        writer = counts.writeStream.outputMode("update").foreachBatch(_batch_writer(output or f"{base}/out"))
+        writer = writer.queryName(query_name)
+    else:
+        raise ValueError("sink must be 'parquet' or 'memory'")
+    writer = writer.option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
+
+
+def word_counts_output(spark: SparkSession, query_name: str) -> str:
+    """Default output folder of ``start_word_count(..., sink="parquet")``."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}/out"
+
+
+def read_word_counts(spark: SparkSession, output: str) -> DataFrame:
+    """Current (word, n) from the update batches: a word's count only grows, so its latest is its maximum."""
+    return spark.read.parquet(output).groupBy("word").agg(F.max("n").alias("n"))

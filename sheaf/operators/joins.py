@@ -32,6 +32,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def drop_materialized(spark) -> bool:
+    """Delete the tables ``materialize`` wrote for this application.
+
+    They live in the application's own subfolder of the checkpoint
+    directory; call this once the results that read them are written
+    (a DataFrame still reading them fails afterwards).  Works on any
+    Hadoop-compatible file system.  True when something was deleted.
+    """
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-tables")
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """(side to join with, whether it is broadcast).
 

@@ -47,3 +47,16 @@ def test_checkpoint_dir_from_session_and_no_local_fallback_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(_FakeSession("spark://master:7077"))
     assert ensure_checkpoint_dir(_FakeSession("local[2]")).startswith(("/tmp", "/"))
+
+
+def test_drop_materialized_removes_the_application_tables(spark):
+    import os
+
+    from sheaf.operators.joins import drop_materialized
+
+    out = materialize(spark.range(10))
+    folder = os.path.dirname(out.inputFiles()[0].split(":", 1)[-1])
+    assert os.path.isdir(folder)
+    assert drop_materialized(spark)
+    assert not os.path.exists(folder)
+    assert not drop_materialized(spark)  # nothing left

@@ -208,3 +208,18 @@ def test_model_size_bound_counts_values_not_only_clusters(spark, monkeypatch):
     monkeypatch.setattr(CL, "model_row_limit", small)
     with pytest.raises(ValueError, match="model values"):
         CL.assign_nearest(df, CL.centroids(df, 2))
+
+
+def test_empty_inputs_give_empty_or_null_results(spark):
+    from sheaf.operators import ratings as R
+
+    pts = spark.createDataFrame([], "id long, point array<double>, cluster int")
+    for df in (S.exact_silhouette(pts), S.approx_silhouette(pts, 5, 1), S.exact_silhouette_sample(pts, 5, 1)):
+        row = df.first()
+        assert row.n_points == 0 and row.silhouette is None
+    assert SM.stratified_sample(pts, 5, 1).count() == 0
+    assert SM.cluster_sizes(pts).count() == 0
+    rt = spark.createDataFrame([], "product_id string, user_id string, rating float")
+    assert R.top_normalized_ratings(rt, 5).collect() == []
+    assert R.user_mean_rating(rt).count() == 0
+    assert R.center_ratings_by_user(rt).count() == 0

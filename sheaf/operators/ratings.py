@@ -215,3 +215,18 @@ def top_normalized_ratings(
         ratings, user=user, rating=rating, strategy=strategy, broadcast_max_rows=broadcast_max_rows
     )
     return top_products(max_norm_rating(centred, product=product), t, product=product)
+
+
+# The wording of the reference's printed report line.
+REPORT_PRODUCT = "Product "
+REPORT_VALUE = " maxNormRating "
+
+
+def report_lines(top: DataFrame, product: str = "product_id", value: str = "max_norm_rating") -> DataFrame:
+    """(rank, line) with ``line = "Product <id> maxNormRating <value>"``, the printed report.
+
+    Casting a float to string gives Java's ``Float.toString`` form, as the
+    reference's string concatenation does.
+    """
+    line = F.concat(F.lit(REPORT_PRODUCT), F.col(product).cast("string"), F.lit(REPORT_VALUE), F.col(value).cast("string"))
+    return top.select("rank", line.alias("line"))

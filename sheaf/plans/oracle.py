@@ -159,6 +159,11 @@ ORACLE: dict[str, str] = {
     "top_products": _with(RATINGS, CENTRED, MAXIMA)
     + " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
     f" product_id, max_norm_rating FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T}",
+    # Java's Float.toString and DuckDB's cast agree for |v| in [1e-3, 1e7), where the top maxima lie.
+    "report_top_products": _with(RATINGS, CENTRED, MAXIMA)
+    + f", t AS (SELECT * FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T})"
+    " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
+    " 'Product ' || CAST(product_id AS VARCHAR) || ' maxNormRating ' || CAST(max_norm_rating AS VARCHAR) AS line FROM t",
     # word count
     "java_split": _with(LINES.format(table=DOCS))
     + " SELECT doc_id, line_no, CAST(len(" + SPLIT.format(c="line") + ") AS INTEGER) AS n_tokens FROM lines",

@@ -104,6 +104,10 @@ def q_top_normalized_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return ratings.top_normalized_ratings(tables.ratings(spark, sf), TOP_T, materialize_input=True)
 
 
+def q_report_top_products(spark: SparkSession, sf: str) -> DataFrame:
+    return ratings.report_lines(q_top_normalized_ratings(spark, sf))
+
+
 # ------------------------------------------------------------- word count
 def _tokens(spark: SparkSession, sf: str, with_pos: bool = False) -> DataFrame:
     return wordcount.tokenize(lines_from_column(tables.documents(spark, sf)), with_pos=with_pos)

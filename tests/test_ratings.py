@@ -118,3 +118,15 @@ def test_hot_user_split(spark):
         for c, v in saved.items():
             spark.conf.unset(c) if v is None else spark.conf.set(c, v)
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_report_lines_use_java_float_text(spark):
+    top = spark.createDataFrame(
+        [(1, "p9", 31.666666), (2, "p1", 2.0), (3, "p3", 1.0e-4)], "rank int, product_id string, max_norm_rating float"
+    )
+    lines = [r.line for r in R.report_lines(top).orderBy("rank").collect()]
+    assert lines == [
+        "Product p9 maxNormRating 31.666666",
+        "Product p1 maxNormRating 2.0",
+        "Product p3 maxNormRating 1.0E-4",
+    ]

@@ -10,10 +10,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.strings import text_to_lines
+from sheaf.operators.joins import broadcast_if_small
 from sheaf.session import ensure_checkpoint_dir
 
 
@@ -27,19 +28,43 @@ def read_text_lines(
 
     ``num_partitions`` is the optional round-robin repartition of the
     input (only worth it when the input has fewer splits than cores).
-    ``with_ids`` numbers the lines right at the scan, before any shuffle:
-    a split is always read by the same partition in the same order, so a
-    retried task gives every line the same id (the seeded sampling relies
-    on that).
+    ``with_ids`` adds ``id``, the 0-based position of the line in the input
+    (files in path order), see ``number_lines``.
     """
     if isinstance(paths, str):
         paths = [p for p in paths.split(",") if p]
     df = spark.read.text(list(paths))
     if with_ids:
-        df = df.select(F.monotonically_increasing_id().alias("id"), "value")
+        df = number_lines(df)
     return df.repartition(num_partitions) if num_partitions else df
 
 
+def number_lines(scan: DataFrame) -> DataFrame:
+    """(id, value): ``id`` is the line's position in the input, files in path order.
+
+    A split is read by one task, line after line, so the place of a line
+    inside its split is its distance from the split's first row number in
+    the task.  A table with one row per split (as many rows as the splits
+    the driver already plans) gives the lines before each split through a
+    running sum, and is joined back behind the broadcast size check.  The
+    id is thus a function of the files alone: the same after a retry, in a
+    re-run, and with any split size, which the seeded sampling relies on.
+    """
+    rows = scan.select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+        "value",
+    )
+    splits = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    side, _ = broadcast_if_small(splits)
+    return rows.join(side, ["_file", "_block"]).select(
+        (F.col("_before") + F.col("_row") - F.col("_first")).alias("id"), "value"
+    )
+
+
 def lines_from_column(
     df: DataFrame,
     text: str = "text",

@@ -71,3 +71,24 @@ def test_line_ids_are_unique_and_stable(spark):
 def test_malformed_point_fails(spark, bad):
     with pytest.raises(Exception):
         parse_labeled_points(read_text_lines(spark, _write([bad]))).collect()
+
+
+def test_line_ids_are_positions_whatever_the_split_size(spark):
+    folder = tempfile.mkdtemp(prefix="sheaf-ids-")
+    expected = {}
+    for f in range(3):
+        lines = [f"file {f} line {i} " + "x" * (i % 13) for i in range(400)]
+        with open(os.path.join(folder, f"part-{f}.txt"), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        expected.update({line: f * 400 + i for i, line in enumerate(lines)})
+    default = {r.value: r.id for r in read_text_lines(spark, folder, with_ids=True).collect()}
+    key = "spark.sql.files.maxPartitionBytes"
+    saved = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "1024")  # many splits per file, lines cut across split borders
+        small = read_text_lines(spark, folder, with_ids=True)
+        assert small.rdd.getNumPartitions() > 10
+        tiny = {r.value: r.id for r in small.collect()}
+    finally:
+        spark.conf.set(key, saved)
+    assert default == expected and tiny == expected

@@ -1,4 +1,4 @@
-"""Measure task skew when one user holds a third of all ratings.
+"""Measure task skew when one key holds a third of all rows.
 
 Usage: python scripts/skew_check.py [rows]
 
@@ -7,9 +7,12 @@ fixture (one "hot" user owns a third of the rows): with the default
 ``join`` strategy (hot users split off and broadcast, the rest shuffle
 joined) and with ``lazy_join`` (a plain shuffle join).  Broadcast joins
 of the means are disabled and the broadcast bound is set low, as they
-would be with a billion users.  Spark's event log (written to a fresh
-scratch folder) gives the records each task read; the script prints, per
-job, the largest share of a stage's records that a single task handled.
+would be with a billion users.  Then a word count where one word is a
+third of all tokens, and a stratified sample where one cluster holds a
+third of the points.  Spark's event log (written to a fresh scratch
+folder) gives the records each task read; the script prints, per job, the
+largest share of a full-data stage that a single task handled, and how
+many rows crossed a shuffle.
 """
 
 from __future__ import annotations
@@ -26,13 +29,16 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from sheaf.operators import ratings as R  # noqa: E402
+from sheaf.operators import sampling as SM  # noqa: E402
+from sheaf.operators import wordcount as W  # noqa: E402
 from sheaf.session import build_session  # noqa: E402
 
 
-def _task_records(log_dir: str) -> dict[int, dict[int, list[int]]]:
-    """job group -> stage -> records read per task (input + shuffle)."""
+def _task_records(log_dir: str) -> tuple[dict, dict]:
+    """job group -> stage -> records read per task (input + shuffle); job group -> shuffle records read."""
     stage_group: dict[int, int] = {}
     out: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+    shuffled: dict[int, int] = defaultdict(int)
     paths = [p for p in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True) if os.path.isfile(p)]
     for path in sorted(paths):  # Spark 4 writes rolling files inside one folder per application
         with open(path) as fh:
@@ -45,11 +51,12 @@ def _task_records(log_dir: str) -> dict[int, dict[int, list[int]]]:
                         stage_group[sid] = group
                 elif kind == "SparkListenerTaskEnd":
                     m = ev.get("Task Metrics") or {}
-                    n = (m.get("Input Metrics") or {}).get("Records Read", 0)
-                    n += (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+                    read = (m.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+                    n = (m.get("Input Metrics") or {}).get("Records Read", 0) + read
                     sid = ev["Stage ID"]
                     out[stage_group.get(sid, -1)][sid].append(n)
-    return out
+                    shuffled[stage_group.get(sid, -1)] += read
+    return out, shuffled
 
 
 def main() -> None:
@@ -73,22 +80,40 @@ def main() -> None:
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 100_000).alias("user_id"),
         (F.col("id") % 7).cast("float").alias("rating"),
     )
-    runs = {"join (hot users split off)": 1, "lazy_join (plain shuffle join)": 2}
-    for name, group in runs.items():
-        strategy = "join" if group == 1 else "lazy_join"
-        spark.sparkContext.setJobGroup(str(group), name)
+    # A third of all tokens are one word; a third of all points are one cluster.
+    tokens = spark.range(rows, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("the")).otherwise((F.col("id") % 50_000).cast("string")).alias("word")
+    )
+    points = spark.range(rows, numPartitions=16).select(
+        "id",
+        F.array((F.col("id") % 97).cast("double"), (F.col("id") % 89).cast("double")).alias("point"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(1 + F.col("id") % 50).cast("int").alias("cluster"),
+    )
+
+    def ratings_job(strategy: str):
         centred = R.center_ratings_by_user(df, strategy=strategy, broadcast_max_rows=1000)
-        R.max_norm_rating(centred).write.format("noop").mode("overwrite").save()
+        return R.max_norm_rating(centred)
+
+    runs = {
+        "ratings, join (hot users split off)": lambda: ratings_job("join"),
+        "ratings, lazy_join (plain shuffle join)": lambda: ratings_job("lazy_join"),
+        "word count, hot word": lambda: W.word_count(tokens),
+        "stratified sample t=20, hot cluster": lambda: SM.stratified_sample(points, 20, 7),
+    }
+    for group, (name, build) in enumerate(runs.items(), start=1):
+        spark.sparkContext.setJobGroup(str(group), name)
+        build().write.format("noop").mode("overwrite").save()
     spark.stop()
 
-    records = _task_records(log_dir)
-    for name, group in runs.items():
+    records, shuffled = _task_records(log_dir)
+    for group, name in enumerate(runs, start=1):
         worst = 0.0
         for tasks in records.get(group, {}).values():
             total = sum(tasks)
-            if total >= rows // 2 and len(tasks) > 1:  # stages that move the ratings themselves
+            if total >= rows // 2 and len(tasks) > 1:  # stages that move the input rows themselves
                 worst = max(worst, max(tasks) / total)
-        print(f"{name}: largest single-task share of a ratings stage = {worst:.1%}")
+        print(f"{name}: largest single-task share of a full-data stage {worst:.1%},"
+              f" rows shuffled {shuffled.get(group, 0):,} of {rows:,}")
 
 
 if __name__ == "__main__":

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from sheaf.operators import ratings as R  # noqa: E402
 from sheaf.operators import sampling as SM  # noqa: E402
+from sheaf.operators import silhouette as S  # noqa: E402
 from sheaf.operators import wordcount as W  # noqa: E402
 from sheaf.session import build_session  # noqa: E402
 
@@ -99,6 +100,7 @@ def main() -> None:
         "ratings, lazy_join (plain shuffle join)": lambda: ratings_job("lazy_join"),
         "word count, hot word": lambda: W.word_count(tokens),
         "stratified sample t=20, hot cluster": lambda: SM.stratified_sample(points, 20, 7),
+        "exact silhouette, hot cluster": lambda: S.exact_silhouette(points),
     }
     for group, (name, build) in enumerate(runs.items(), start=1):
         spark.sparkContext.setJobGroup(str(group), name)

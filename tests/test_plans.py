@@ -63,3 +63,28 @@ def test_scans_are_pruned(spark):
     assert rating_scans == ["struct<l_orderkey:bigint,l_quantity:double>", "struct<o_orderkey:bigint,o_custkey:bigint>"]
     point_scans = _scan_schemas(_plan(q["cluster_sizes"](spark, SF0001)))
     assert point_scans == ["struct<label:int>"]
+
+
+def test_hot_keys_never_land_in_one_task():
+    """Runs scripts/skew_check.py (own Spark process, event log) on 600k rows per fixture."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    rows = 600_000
+    out = subprocess.run(
+        [sys.executable, os.path.join(root, "scripts", "skew_check.py"), str(rows)],
+        capture_output=True, text=True, timeout=900, check=True,
+    ).stdout
+    found = {}
+    for line in out.splitlines():
+        m = re.match(r"(.*): largest single-task share of a full-data stage ([\d.]+)%, rows shuffled ([\d,]+) of", line)
+        if m:
+            found[m.group(1)] = (float(m.group(2)) / 100, int(m.group(3).replace(",", "")))
+    assert len(found) == 5, out
+    assert found["ratings, join (hot users split off)"][0] < 0.10
+    assert found["ratings, lazy_join (plain shuffle join)"][0] > 0.20  # the failure mode the split avoids
+    assert found["word count, hot word"][0] < 0.10
+    assert found["stratified sample t=20, hot cluster"][1] < 5_000
+    assert found["exact silhouette, hot cluster"][1] < 5_000

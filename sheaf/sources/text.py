@@ -49,6 +49,9 @@ def number_lines(scan: DataFrame) -> DataFrame:
     running sum, and is joined back behind the broadcast size check.  The
     id is thus a function of the files alone: the same after a retry, in a
     re-run, and with any split size, which the seeded sampling relies on.
+    The split table is written when this is called and the lines are
+    scanned at the action, so the session's file-split options
+    (``spark.sql.files.*``) must not change in between.
     """
     rows = scan.select(
         F.col("_metadata.file_path").alias("_file"),

@@ -4,6 +4,8 @@ import math
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sheaf.operators import sampling as SM
@@ -223,3 +225,28 @@ def test_empty_inputs_give_empty_or_null_results(spark):
     assert R.top_normalized_ratings(rt, 5).collect() == []
     assert R.user_mean_rating(rt).count() == 0
     assert R.center_ratings_by_user(rt).count() == 0
+
+
+@settings(max_examples=12, deadline=None)
+@given(
+    rows=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 4)), min_size=0, max_size=60
+    ),
+    t=st.integers(1, 6),
+)
+def test_per_task_cut_equals_the_window_limit(spark, rows, t):
+    # Threshold 0 forces the explicit mapInPandas cut for every t; ties in u are broken by id.
+    data = [(i, c, float(u)) for i, (c, u) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id long, cluster int, u double").repartition(3)
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    saved = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "0")
+        got = sorted(r.id for r in SM.cap_per_cluster(df, t).collect())
+    finally:
+        spark.conf.set(key, saved)
+    groups = {}
+    for i, c, u in sorted(data, key=lambda r: (r[2], r[0])):
+        groups.setdefault(c, []).append(i)
+    want = sorted(i for ids in groups.values() for i in ids[:t])
+    assert got == want

@@ -32,8 +32,12 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
+SCRATCH_FOLDERS = ("sheaf-tables", "sheaf-text")
+
+
 def drop_materialized(spark) -> bool:
-    """Delete the tables ``materialize`` wrote for this application.
+    """Delete what this application wrote to scratch: the tables of
+    ``materialize`` and the text files of ``write_text_lines`` without a path.
 
     They live in the application's own subfolder of the checkpoint
     directory; call this once the results that read them are written
@@ -41,9 +45,13 @@ def drop_materialized(spark) -> bool:
     Hadoop-compatible file system.  True when something was deleted.
     """
     sc = spark.sparkContext
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/sheaf-tables")
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
-    return bool(fs.delete(path, True))
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    deleted = False
+    for folder in SCRATCH_FOLDERS:
+        path = sc._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        deleted = bool(fs.delete(path, True)) or deleted
+    return deleted
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:

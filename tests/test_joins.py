@@ -54,9 +54,12 @@ def test_drop_materialized_removes_the_application_tables(spark):
 
     from sheaf.operators.joins import drop_materialized
 
+    from sheaf.sources.text import write_text_lines
+
     out = materialize(spark.range(10))
     folder = os.path.dirname(out.inputFiles()[0].split(":", 1)[-1])
-    assert os.path.isdir(folder)
+    text = write_text_lines(spark.range(3).selectExpr("CAST(id AS STRING) AS line")).split(":", 1)[-1]
+    assert os.path.isdir(folder) and os.path.isdir(text)
     assert drop_materialized(spark)
-    assert not os.path.exists(folder)
+    assert not os.path.exists(folder) and not os.path.exists(text)
     assert not drop_materialized(spark)  # nothing left

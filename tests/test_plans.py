@@ -32,6 +32,11 @@ def test_no_pair_joins_and_no_row_at_a_time_python(spark, key):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan  # Python only as Arrow batches (ArrowEvalPython / MapInPandas)
+    # Whatever is gathered into one partition is already reduced: one partial aggregate row per task.
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in lines[i + 1], lines[i + 1]
 
 
 @needs(SF0001)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import packing, rans, sharding
+from sheaf.llm import oddsketch, packing, rans, sharding
 from sheaf.llm.common import documents
 from sheaf.llm.tokens import default_tokenizer_path
 
@@ -31,6 +31,10 @@ def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op9_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    return oddsketch.near_duplicates(documents(spark, sf), threshold=0.85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)
 }

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import oddsketch, packing, rans, sharding
-from sheaf.llm.common import documents
+from sheaf.llm import decontam, oddsketch, packing, rans, sharding
+from sheaf.llm.common import documents, table
+from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
 
 SHARDS = 24
@@ -35,8 +36,11 @@ def op9_odd_sketch(spark: SparkSession, sf: str) -> DataFrame:
     return oddsketch.near_duplicates(documents(spark, sf), threshold=0.85)
 
 
+def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.contamination(documents(spark, sf), table(spark, sf, "benchmark"), width=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)
 }
-#: DuckDB SQL where it can express the query.
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

@@ -41,9 +41,9 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, *keep: str) -> DataFrame:
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), F.hex(F.xxhash64("text")))
-    return docs.select("doc_id", "text", key.alias("_key"))
+    return docs.select("doc_id", "text", key.alias("_key"), *keep)
 
 
 def test_windows(benchmark: DataFrame, width: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -153,3 +153,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> Dat
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
+    """The rows of ``docs``, all columns, without a phrase match."""
+    matches, _ = find_matches(docs, benchmark, width)
+    hit = _small(write_scratch(matches.select(F.col("_key").alias("_hit")).distinct(), "hit-keys"))
+    rows = _keyed(docs.select("doc_id", "text", F.struct("*").alias("_row")), "_row")
+    return rows.join(hit, F.col("_key") == F.col("_hit"), "left_anti").select("_row.*")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontam, oddsketch, packing, rans, sharding
+from sheaf.llm import decontam, fuzzylines, oddsketch, outliers, packing, rans, sharding
 from sheaf.llm.common import documents, table
 from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
@@ -19,11 +19,25 @@ def op2_rans(spark: SparkSession, sf: str) -> DataFrame:
     return rans.token_digest(documents(spark, sf), default_tokenizer_path(), end_id=2)
 
 
+def op3_outliers(spark: SparkSession, sf: str) -> DataFrame:
+    return outliers.judge(documents(spark, sf)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
+    )
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf), default_tokenizer_path(), end_id=0, capacity=2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    out = fuzzylines.dedup_lines(documents(spark, sf).select("doc_id", "text"), similarity=0.9)
+    return out.select(
+        "doc_id", "n_lines", "n_dropped", F.char_length("text").cast("long").alias("n_chars"),
+        F.crc32(F.col("text").cast("binary")).alias("text_crc32"),
+    )
+
+
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard_by_size(documents(spark, sf), SHARDS)
     return placed.select(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontam, fuzzylines, oddsketch, outliers, packing, rans, sharding
+from sheaf.llm import decontam, eftrie, fuzzylines, oddsketch, outliers, packing, rans, sharding
 from sheaf.llm.common import documents, table
 from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
@@ -25,6 +25,11 @@ def op3_outliers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op4_ef_trie(spark: SparkSession, sf: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    return eftrie.score_documents(documents(spark, sf), held)
+
+
 def op5_packing(spark: SparkSession, sf: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf), default_tokenizer_path(), end_id=0, capacity=2048)
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontam, eftrie, fuzzylines, oddsketch, outliers, packing, rans, sharding
+from sheaf.llm import decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, rans, sharding, toxicity
 from sheaf.llm.common import documents, table
 from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
@@ -15,6 +15,10 @@ from sheaf.llm.tokens import default_tokenizer_path
 SHARDS = 24
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf), table(spark, sf, "labels"))
+
+
 def op2_rans(spark: SparkSession, sf: str) -> DataFrame:
     return rans.token_digest(documents(spark, sf), default_tokenizer_path(), end_id=2)
 
@@ -43,6 +47,10 @@ def op6_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_html_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return htmltree.extract(table(spark, sf, "pages"))
+
+
 def op8_sharding(spark: SparkSession, sf: str) -> DataFrame:
     placed = sharding.shard_by_size(documents(spark, sf), SHARDS)
     return placed.select(

@@ -231,9 +231,9 @@ def fit_counts(counts: dict[str, float]) -> Model:
     for e in names | set(prior):
         p1, p0 = prior.get(e, (1.0, 1.0))
         odds = math.log((counts.get(f"1|{e}", 0) + p1) / total[1]) - math.log((counts.get(f"0|{e}", 0) + p0) / total[0])
-        unary[e] = max(-5.0, min(5.0, odds))
+        unary[e] = max(-5.0, min(3.0, odds))
     pair = np.zeros((2, 2))
-    start = np.array([[20.0, 2.0], [1.0, 20.0]])
+    start = np.array([[400.0, 4.0], [4.0, 400.0]])
     for a in (0, 1):
         row = [counts.get(f"p:{a}{b}", 0) + start[a, b] for b in (0, 1)]
         pair[a] = np.log(np.array(row) / sum(row))

@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from sheaf.llm.common import write_scratch
 
 #: Text bytes of a batch and shuffled packet bytes a shard aims at.
-BATCH_BYTES = 24_000_000
-SHARD_BYTES = 24_000_000
+BATCH_BYTES = 10_000_000
+SHARD_BYTES = 16_000_000
 #: Weight of the unigram estimate, in tokens.
 PRIOR = 40.0
 #: Quantised logarithm: steps per octave; 0 stands for an absent bigram.

@@ -72,13 +72,17 @@ def quantise(counts: np.ndarray, bits: int = TABLE_BITS) -> np.ndarray:
 
 def encode_segment(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[dict]]:
     """(symbols uint32, freqs uint32, blocks) of a non-empty id array."""
-    symbols, coded, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    freq = quantise(counts)
+    counts = np.bincount(ids)
+    symbols = np.flatnonzero(counts)
+    freq = quantise(counts[symbols])
+    rank = np.zeros(len(counts), dtype=np.int32)
+    rank[symbols] = np.arange(len(symbols), dtype=np.int32)
+    coded = rank[ids]
     start = np.concatenate([[0], np.cumsum(freq)[:-1]])
     n = len(ids)
     blocks = -(-n // BLOCK)
     steps_last = -(-(n - (blocks - 1) * BLOCK) // LANES)
-    grid = np.zeros(blocks * BLOCK, dtype=np.int64)
+    grid = np.zeros(blocks * BLOCK, dtype=np.int32)
     grid[:n] = coded
     grid[n:] = int(np.argmax(freq))  # fills the last step; dropped by n
     grid = grid.reshape(blocks, STEPS, LANES).transpose(1, 0, 2).reshape(STEPS, blocks * LANES)

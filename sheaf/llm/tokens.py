@@ -114,14 +114,17 @@ class ChunkEncoder:
         missing: set[str] = set()
         first: set[str] = set()
         known = self.spaced.__contains__
-        for n, p in enumerate(split):
+        for p in split:
             if p is not None:
-                new = set(filterfalse(known, p[1:]))
-                if any(not c or c[0].isspace() or c[-1].isspace() for c in new) or not p[0] or p[0][0].isspace() or p[0][-1].isspace():
-                    split[n] = [texts[n]]  # encoded below in safe cuts
-                    continue
-                missing |= new
+                missing.update(filterfalse(known, p[1:]))
                 first.add(p[0])
+        bad = {c for c in missing | first if not c or c[0].isspace() or c[-1].isspace()}
+        if bad:
+            for n, p in enumerate(split):
+                if p is not None and not bad.isdisjoint(p):
+                    split[n] = [texts[n]]  # encoded below in safe cuts
+            missing -= bad
+            first -= bad
         self._know(first, self.bare, "")
         if missing:
             self._learn(missing, self.spaced, " ")
@@ -130,7 +133,7 @@ class ChunkEncoder:
         for t, p in zip(texts, split):
             if p is None:
                 packed = b""
-            elif len(p) == 1 and p[0] not in bare:
+            elif p[0] not in bare:
                 packed = b"".join(map(self._ids, _SAFE_CUT.split(t)))
             else:
                 packed = bare[p[0]] + b"".join(map(get, p[1:]))

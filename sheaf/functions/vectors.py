@@ -8,22 +8,10 @@ from pyspark.sql import functions as F
 from sheaf.functions._util import as_col
 
 
-def to_double_array(col: Column | str) -> Column:
-    return as_col(col).cast("array<double>")
-
-
 def _sum(arr: Column) -> Column:
     return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def sq_norm(p: Column | str) -> Column:
-    return _sum(F.transform(as_col(p), lambda x: x * x))
-
-
-def dot(p: Column | str, q: Column | str) -> Column:
-    return _sum(F.zip_with(as_col(p), as_col(q), lambda x, y: x * y))
-
-
 def sqdist(p: Column | str, q: Column | str) -> Column:
     """Squared Euclidean distance; raises when the lengths differ."""
     p, q = as_col(p), as_col(q)

@@ -94,23 +94,27 @@ def _nearest_codegen(p: Column, cents: list[tuple[int, list[float]]], dim: int)
 def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
     ids = np.array([cid for cid, _ in cents], dtype=np.int64)
     mat = np.array([c for _, c in cents], dtype=np.float64).reshape(len(cents), dim)
-    shift = mat.mean(axis=0)
-    mat_c = mat - shift
-    model = spark.sparkContext.broadcast((ids, mat_c, (mat_c * mat_c).sum(axis=1), shift))
+    model = spark.sparkContext.broadcast((ids, mat))
     block = max(1, 4_000_000 // max(len(cents), dim, 1))
 
     @F.pandas_udf("int")
     def nearest(points: pd.Series) -> pd.Series:
-        cid, cen, cen_sq, sh = model.value
+        cid, cen = model.value
         if len(points) == 0:
             return pd.Series([], dtype="int32")
         if (points.map(len).to_numpy() != dim).any():
             raise ValueError(f"points must all have {dim} coordinates")
         out = np.empty(len(points), dtype=np.int32)
         for lo in range(0, len(points), block):
-            pc = np.stack(points.iloc[lo:lo + block].to_numpy()).astype(np.float64) - sh
-            d = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :]
-            out[lo:lo + len(pc)] = cid[np.argmin(d, axis=1)]  # first minimum: the smaller id
+            p = np.stack(points.iloc[lo:lo + block].to_numpy()).astype(np.float64)
+            best, where = np.full(len(p), np.inf), np.zeros(len(p), dtype=np.int64)
+            with np.errstate(over="ignore", invalid="ignore"):
+                for j in range(len(cen)):
+                    diff = p - cen[j]  # differences, no expansion: nothing cancels
+                    d = (diff * diff).sum(axis=1)
+                    closer = d < best  # ties and non-finite distances stay with the smaller id
+                    best[closer], where[closer] = d[closer], j
+            out[lo:lo + len(p)] = cid[where]
         return pd.Series(out)
 
     return nearest

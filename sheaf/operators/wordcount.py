@@ -100,11 +100,12 @@ def word_count_salted_pairs(
 
 
 def word_count_partitionwise(tokens: DataFrame, weight: str | None = None) -> DataFrame:
-    """(word, n): per-partition counts first, then one sum per word."""
-    partial = tokens.groupBy(F.spark_partition_id().alias("part"), "word").agg(
-        _tally(weight).alias("n")
-    )
-    return _second_round(partial)
+    """(word, n): per-partition counts first, then one sum per word.
+
+    The first round is the aggregate's map side, which never leaves its
+    partition; one exchange carries the partial counts to the second.
+    """
+    return word_count(tokens, weight)
 
 
 STRATEGIES = {
@@ -146,8 +147,9 @@ def avg_word_length(counts: DataFrame) -> DataFrame:
 def word_count_report(
     docs: DataFrame, tokens: DataFrame, n_salts: int = 16, doc_keys: Iterable[str] = DOC_KEYS
 ) -> DataFrame:
-    """(metric, value) rows: number of documents, vocabulary size by each of
-    the four strategies (they must agree), and the average word length.
+    """(metric, value) rows: number of documents, vocabulary size and token
+    total by each of the four strategies (they must agree), and the average
+    word length.
 
     The per-document term counts, the common input of all four strategies,
     are computed once and written to the checkpoint folder; the strategies
@@ -163,9 +165,11 @@ def word_count_report(
             counts = fn(pairs, n_salts, doc_keys=keys, weight="n")
         else:
             counts = fn(pairs, weight="n")
-        parts.append(vocabulary_size(counts).select(
-            F.lit(f"vocabulary_size_{name}").alias("metric"), F.col("vocabulary_size").alias("value")
-        ))
+        # the token total keeps each strategy's counts alive in the optimised plan
+        both = counts.agg(F.count(F.lit(1)).alias("words"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("tokens"))
+        parts.append(both.select(F.explode(F.create_map(
+            F.lit(f"vocabulary_size_{name}"), "words", F.lit(f"n_tokens_{name}"), "tokens"
+        )).alias("metric", "value")))
     parts.append(avg_word_length(word_count(pairs, weight="n")).select(
         F.lit("avg_word_length").alias("metric"), F.col("avg_word_length").alias("value")
     ))

@@ -179,9 +179,13 @@ ORACLE: dict[str, str] = {
     + ", v AS (SELECT count(DISTINCT word) AS n FROM tokens)"
     " SELECT 'n_documents' AS metric, (SELECT count(*) FROM lines) AS value"
     " UNION ALL SELECT 'vocabulary_size_one_round', n FROM v"
+    " UNION ALL SELECT 'n_tokens_one_round', count(*) FROM tokens"
     " UNION ALL SELECT 'vocabulary_size_salted', n FROM v"
+    " UNION ALL SELECT 'n_tokens_salted', count(*) FROM tokens"
     " UNION ALL SELECT 'vocabulary_size_salted_pairs', n FROM v"
+    " UNION ALL SELECT 'n_tokens_salted_pairs', count(*) FROM tokens"
     " UNION ALL SELECT 'vocabulary_size_partitionwise', n FROM v"
+    " UNION ALL SELECT 'n_tokens_partitionwise', count(*) FROM tokens"
     f" UNION ALL SELECT 'avg_word_length', CAST(sum({UTF16_LEN}) AS BIGINT) // count(*)"
     " FROM (SELECT DISTINCT word FROM tokens)",
     "count_documents": _with(LINES.format(table=DOCS)) + " SELECT count(*) AS n_documents FROM lines",

@@ -14,10 +14,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.strings import text_to_lines
-from sheaf.operators.joins import broadcast_if_small
+from sheaf.operators.joins import broadcast_if_small, materialize
 from sheaf.session import ensure_checkpoint_dir
 
 
+def split_paths(paths: str) -> list[str]:
+    """Cut at commas that stand outside braces (``in/{a,b}.txt`` is one glob)."""
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(paths):
+        depth += (c == "{") - (c == "}")
+        if c == "," and depth <= 0:
+            out.append(paths[start:i])
+            start = i + 1
+    return [p for p in (*out, paths[start:]) if p]
+
+
 def read_text_lines(
     spark: SparkSession,
     paths: str | Iterable[str],
@@ -32,7 +43,7 @@ def read_text_lines(
     (files in path order), see ``number_lines``.
     """
     if isinstance(paths, str):
-        paths = [p for p in paths.split(",") if p]
+        paths = split_paths(paths)
     df = spark.read.text(list(paths))
     if with_ids:
         df = number_lines(df)
@@ -42,30 +53,37 @@ def read_text_lines(
 def number_lines(scan: DataFrame) -> DataFrame:
     """(id, value): ``id`` is the line's position in the input, files in path order.
 
-    A split is read by one task, line after line, so the place of a line
-    inside its split is its distance from the split's first row number in
-    the task.  A table with one row per split (as many rows as the splits
-    the driver already plans) gives the lines before each split through a
-    running sum, and is joined back behind the broadcast size check.  The
-    id is thus a function of the files alone: the same after a retry, in a
-    re-run, and with any split size, which the seeded sampling relies on.
-    The split table is written when this is called and the lines are
-    scanned at the action, so the session's file-split options
-    (``spark.sql.files.*``) must not change in between.
+    The files are read once: every line is written with its file, the start
+    of its split and its row number, and all further steps read that table,
+    so a change of cores or split settings, a retry or a lost executor
+    between them cannot lose or move a line.  A split is read by one task,
+    line after line, so a line's place in it is the distance from the
+    split's first row number; the lines before a split are a running sum
+    within its file, those before a file a sum over the files, which the
+    driver lists anyway (one name and one count each).
     """
-    rows = scan.select(
+    spark = scan.sparkSession
+    rows = materialize(scan.select(
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
         "value",
-    )
+    ))
     splits = rows.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    side, _ = broadcast_if_small(splits)
-    return rows.join(side, ["_file", "_block"]).select(
-        (F.col("_before") + F.col("_row") - F.col("_first")).alias("id"), "value"
+    splits = materialize(splits)
+    total, before = 0, []
+    for name, n in sorted(tuple(r) for r in splits.groupBy("_file").agg(F.sum("_n")).collect()):
+        before.append((name, total))
+        total += n
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    files = spark.createDataFrame(before, "_file string, _files_before bigint")
+    splits = splits.join(files, "_file").select(
+        "_file", "_block", (F.col("_files_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")).alias("_shift")
     )
+    side, _ = broadcast_if_small(splits)
+    found = rows.join(side, ["_file", "_block"], "left")
+    shift = F.coalesce("_shift", F.raise_error(F.lit("a line without its split")).cast("bigint"))
+    return found.select((F.col("_row") + shift).alias("id"), "value")
 
 
 def lines_from_column(

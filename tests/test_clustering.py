@@ -71,3 +71,15 @@ def test_k_sweep_rejects_t_zero(spark):
     df, _ = _blobs(spark, k=2, n_per=5)
     with pytest.raises(ValueError):
         k_sweep_silhouette(df, k_start=2, h=2, max_iter=2, m=2)
+
+
+def test_far_centres_have_one_answer_on_every_path(spark):
+    centres = spark.createDataFrame([(0, [1e8]), (1, [1e8 + 1e-3]), (2, [-3e8])], "cluster int, centre array<double>")
+    pts = [(i, [1e8 + 1e-3 * (i + 0.25) / 200]) for i in range(200)] + [(200, [1e160]), (201, [float("inf")])]
+    points = spark.createDataFrame(pts, "id int, point array<double>")
+    from sheaf.operators.clustering import assign_nearest
+
+    got = [
+        {r.id: r.nearest for r in assign_nearest(points, centres, method=m).collect()} for m in ("codegen", "arrow", "lambda")
+    ]
+    assert got[0] == got[1] == got[2]

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import math
-import os
-import tempfile
 
 import duckdb
 import pytest
@@ -72,54 +70,3 @@ def test_query_matches_oracle(spark, duck, key):
 @pytest.mark.parametrize("key", sorted(NO_ORACLE))
 def test_rows_only_queries_run(spark, key):
     assert E.queries()[key](spark, SF0001).count() > 0
-
-
-def test_streaming_word_count(spark):
-    from sheaf.streaming.wordcount import start_word_count
-
-    folder = tempfile.mkdtemp(prefix="sheaf-stream-")
-    with open(os.path.join(folder, "a.txt"), "w") as fh:
-        fh.write("hello world hello\nworld  x\n")
-    query = start_word_count(
-        spark, folder, "wc_test", sink="memory", checkpoint=tempfile.mkdtemp(prefix="sheaf-ckpt-")
-    )
-    query.awaitTermination(60)
-    got = {r.word: r.n for r in spark.sql("SELECT * FROM wc_test").collect()}
-    assert got == {"hello": 2, "world": 2, "": 1, "x": 1}
-
-
-def test_streaming_word_count_accumulates_across_triggers(spark):
-    from sheaf.streaming.wordcount import start_word_count
-
-    folder = tempfile.mkdtemp(prefix="sheaf-stream-")
-    ckpt = tempfile.mkdtemp(prefix="sheaf-ckpt-")
-    with open(os.path.join(folder, "1.txt"), "w") as fh:
-        fh.write("a b a\n")
-    q = start_word_count(spark, folder, "wc_acc1", sink="memory", checkpoint=ckpt)
-    q.awaitTermination(60)
-    first = {r.word: r.n for r in spark.sql("SELECT * FROM wc_acc1").collect()}
-    with open(os.path.join(folder, "2.txt"), "w") as fh:
-        fh.write("b c\n")
-    q = start_word_count(spark, folder, "wc_acc2", sink="memory", checkpoint=ckpt)  # resumes from the checkpoint
-    q.awaitTermination(60)
-    second = {r.word: r.n for r in spark.sql("SELECT * FROM wc_acc2").collect()}
-    assert first == {"a": 2, "b": 1}
-    assert second == {"a": 2, "b": 2, "c": 1}
-
-
-def test_streaming_word_count_parquet_update_batches(spark):
-    from sheaf.streaming.wordcount import read_word_counts, start_word_count
-
-    folder = tempfile.mkdtemp(prefix="sheaf-stream-")
-    ckpt = tempfile.mkdtemp(prefix="sheaf-ckpt-")
-    out = os.path.join(tempfile.mkdtemp(prefix="sheaf-out-"), "counts")
-    with open(os.path.join(folder, "1.txt"), "w") as fh:
-        fh.write("a b a\n")
-    start_word_count(spark, folder, "wc_pq1", checkpoint=ckpt, output=out).awaitTermination(60)
-    assert {r.word: r.n for r in read_word_counts(spark, out).collect()} == {"a": 2, "b": 1}
-    with open(os.path.join(folder, "2.txt"), "w") as fh:
-        fh.write("b c\n")
-    start_word_count(spark, folder, "wc_pq2", checkpoint=ckpt, output=out).awaitTermination(60)
-    batches = spark.read.parquet(out)
-    assert {r.word for r in batches.where("batch_id = 1").collect()} == {"b", "c"}  # only the changed words
-    assert {r.word: r.n for r in read_word_counts(spark, out).collect()} == {"a": 2, "b": 2, "c": 1}

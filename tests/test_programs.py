@@ -92,3 +92,27 @@ def test_line_ids_are_positions_whatever_the_split_size(spark):
     finally:
         spark.conf.set(key, saved)
     assert default == expected and tiny == expected
+
+
+def test_no_line_is_lost_when_the_cores_change(spark):
+    """The split size follows the parallelism; ids are taken under one and read under another."""
+    lines = [f"{i} " + "y" * (i % 61) for i in range(600_000)]
+    path = _write(lines)
+    key = "spark.sql.leafNodeDefaultParallelism"
+    try:
+        spark.conf.set(key, "4")
+        numbered = read_text_lines(spark, path, with_ids=True)
+        spark.conf.set(key, "9")
+        got = numbered.selectExpr("count(*) AS n", "count(DISTINCT id) AS d", "max(id) AS m", "sum(int(id = int(split(value, ' ')[0]))) AS same").first()
+    finally:
+        spark.conf.unset(key)
+    assert tuple(got) == (600_000, 600_000, 599_999, 600_000)
+
+
+def test_brace_globs(spark):
+    folder = tempfile.mkdtemp(prefix="sheaf-brace-")
+    for name in "abc":
+        with open(os.path.join(folder, f"{name}.txt"), "w") as fh:
+            fh.write(name + "\n")
+    got = read_text_lines(spark, f"{folder}/{{a,b}}.txt,{folder}/c.txt").collect()
+    assert sorted(r.value for r in got) == ["a", "b", "c"]

@@ -25,6 +25,8 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import mmap
 import tempfile
 from collections.abc import Iterator
@@ -41,7 +43,7 @@ from pyspark.sql import functions as F
 from sheaf.llm.common import write_scratch
 
 #: Text bytes of a batch and shuffled packet bytes a shard aims at.
-BATCH_BYTES = 10_000_000
+BATCH_BYTES = 8_000_000
 SHARD_BYTES = 16_000_000
 #: Weight of the unigram estimate, in tokens.
 PRIOR = 40.0
@@ -205,19 +207,19 @@ _ROW = pa.schema([("kind", pa.string()), ("batch", pa.int64()), ("shard", pa.int
 _ROW_SQL = "kind string, batch bigint, shard int, data binary, doc_ids array<bigint>, held array<boolean>"
 
 
-def _batch_rows(batch: int, docs: list, held: list[bool], words: list[list[bytes]], shards: int, spread: dict[int, int]) -> Iterator[pa.RecordBatch]:
-    number: dict[bytes, int] = {b" end": 0}
-    lens = np.array([len(w) + 1 for w in words], dtype="<u4")
-    ids = np.zeros(int(lens.sum()), dtype="<u4")
-    at = 0
-    for w in words:
-        for x in w:
-            if x not in number:
-                number[x] = len(number)
-        ids[at : at + len(w)] = [number[x] for x in w]
-        at += len(w) + 1  # the end token is number 0
+def _release() -> None:
+    """Give freed memory back: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    if libc and hasattr(trim := ctypes.CDLL(libc), "malloc_trim"):
+        trim.malloc_trim(0)
+
+
+def _batch_rows(batch: int, docs: list, held: list[bool], number: dict[bytes, int], parts: list[np.ndarray], shards: int, spread: dict[int, int]) -> Iterator[pa.RecordBatch]:
+    lens = np.array([len(p) for p in parts], dtype="<u4")
+    ids = np.concatenate(parts)
     hashes = np.array([END, *[xxhash.xxh3_64_intdigest(x) for x in list(number)[1:]]], dtype=np.uint64)
-    del number
+    number.clear()
     train = np.repeat(~np.array(held, dtype=bool), lens)
     counts = np.bincount(ids[train], minlength=len(hashes)).astype("<u4")
     previous = np.concatenate([[0], ids[:-1]]).astype(np.uint64)  # a text starts after an end token
@@ -249,20 +251,26 @@ def _batches(records: Iterator[pa.RecordBatch], shards: int, spread: dict[int, i
     batch = TaskContext.get().partitionId() << 24
     docs: list = []
     held: list[bool] = []
-    words: list[list[bytes]] = []
+    number: dict[bytes, int] = {b" end": 0}
+    parts: list[np.ndarray] = []
     size = 0
     for record in records:
-        for doc, out, text in zip(*(record.column(c).to_pylist() for c in ("doc_id", "held", "text"))):
-            raw = (text or "").encode("utf-8", "surrogatepass")
-            docs.append(doc)
-            held.append(out)
-            words.append(raw.lower().split())
+        ids, out, text = (record.column(c) for c in ("doc_id", "held", "text"))
+        for k in range(record.num_rows):
+            raw = (text[k].as_py() or "").encode("utf-8", "surrogatepass")
+            docs.append(ids[k].as_py())
+            held.append(out[k].as_py())
+            # new words take the next number; the end token is number 0
+            parts.append(np.array([number.setdefault(w, len(number)) for w in raw.lower().split()] + [0], dtype="<u4"))
             size += len(raw)
             if size >= BATCH_BYTES:
-                yield from _batch_rows(batch, docs, held, words, shards, spread)
-                docs, held, words, size, batch = [], [], [], 0, batch + 1
+                yield from _batch_rows(batch, docs, held, number, parts, shards, spread)
+                docs, held, number, parts, size, batch = [], [], {b" end": 0}, [], 0, batch + 1
+                _release()
     if docs:
-        yield from _batch_rows(batch, docs, held, words, shards, spread)
+        yield from _batch_rows(batch, docs, held, number, parts, shards, spread)
+    del docs, held, number, parts
+    _release()
 
 
 # ------------------------------------------------------------------ shards
@@ -305,6 +313,8 @@ def _answer_shard(frame: pd.DataFrame) -> pd.DataFrame:
         at, found = trie.word(context)
         logs = trie.pair(np.repeat(at, runs), np.repeat(found, runs), follower)
         rows.append((int(batch), int(frame["shard"].iloc[0]), _pack(word_counts, logs), 0, 0))
+    del packets, trie
+    _release()
     return pd.DataFrame(rows, columns=["batch", "shard", "data", "v", "n"])
 
 

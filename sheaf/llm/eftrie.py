@@ -178,7 +178,7 @@ def restored(logs: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------ batches, packets
 def _pack(*arrays: np.ndarray) -> bytes:
     head = np.array([len(arrays), *[len(a) for a in arrays]], dtype="<u8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=9).compress(head + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(data: bytes, *kinds: str) -> list[np.ndarray]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions._util import as_col
 
-_TWO_POW_32 = float(2**32)
+_TWO_POW_52 = float(2**52)
 _TWO_POW_53 = float(2**53)
 DRAWS = ("xxhash64", "md5")
 
@@ -21,7 +21,7 @@ def seeded_uniform(key: Column | str, seed: int, draw: str = "xxhash64") -> Colu
     """Uniform double in [0, 1) from a seeded hash of ``key``.
 
     ``xxhash64`` (default): the low 53 bits of Spark's 64-bit xxHash of
-    (seed, key), practically free per row.  ``md5``: the first 32 bits of
+    (seed, key), practically free per row.  ``md5``: the first 52 bits of
     md5("seed:key"), about 1 microsecond per row but reproducible in any SQL
     engine with ``md5`` (the DuckDB oracle uses it).
     """
@@ -30,8 +30,8 @@ def seeded_uniform(key: Column | str, seed: int, draw: str = "xxhash64") -> Colu
         return bits.cast("double") / F.lit(_TWO_POW_53)
     if draw == "md5":
         text = F.concat(F.lit(f"{int(seed)}:"), as_col(key).cast("string"))
-        top32 = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-        return top32.cast("double") / F.lit(_TWO_POW_32)
+        top52 = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("bigint")
+        return top52.cast("double") / F.lit(_TWO_POW_52)
     raise ValueError(f"draw must be one of {DRAWS}")
 
 

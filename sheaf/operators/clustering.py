@@ -7,22 +7,29 @@ driver.  ``ml`` rejects k = 1, which is the mean vector, handled here.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheaf.operators.sampling import DEFAULT_MAX_CLUSTERS, DEFAULT_MAX_MODEL_VALUES, bounded, model_row_limit
-from sheaf.operators.silhouette import vector_dim
+from sheaf.operators.joins import materialize
+from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows
+from sheaf.operators.silhouette import CODEGEN_MAX_TERMS, point_matrix, scaled_distance, vector_dim
 
 
 @dataclass
 class SingleCluster:
-    """The k = 1 model: every point in cluster 0."""
+    """The k = 1 model: every point in cluster 0, whose centre is their mean (empty for no points)."""
+
+    centre: tuple[float, ...] = ()
 
     def transform(self, df: DataFrame, prediction: str = "cluster") -> DataFrame:
         return df.withColumn(prediction, F.lit(0))
@@ -35,13 +42,25 @@ def kmeans_fit(
     seed: int = 1,
     point: str = "point",
 ):
-    """Fit k-means on an ``array<double>`` column; returns a model with ``transform``."""
+    """Fit k-means on an ``array<double>`` or vector column; returns a model with ``transform``.
+
+    A persisted frame with a vector column is fitted as it is: Spark ML then
+    keeps only the norms and no second copy of the points.
+    """
     if k < 1:
         raise ValueError("k must be >= 1")
+    if not _is_vector(points, point):
+        points, point = points.select(array_to_vector(point).alias("features")), "features"
     if k == 1:
-        return SingleCluster()
-    features = points.select(array_to_vector(point).alias("features"))
-    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol="features").fit(features)
+        if points.isEmpty():
+            return SingleCluster()
+        mean = points.select(Summarizer.mean(F.col(point)).alias("mean")).first()["mean"]
+        return SingleCluster(tuple(float(x) for x in mean))
+    return KMeans(k=k, maxIter=max_iter, seed=seed, featuresCol=point).fit(points)
+
+
+def _is_vector(points: DataFrame, point: str) -> bool:
+    return isinstance(points.schema[point].dataType, VectorUDT)
 
 
 def kmeans_assign(model, points: DataFrame, point: str = "point", prediction: str = "cluster") -> DataFrame:
@@ -49,15 +68,15 @@ def kmeans_assign(model, points: DataFrame, point: str = "point", prediction: st
     if isinstance(model, SingleCluster):
         return model.transform(points, prediction)
     model = model.copy().setPredictionCol("_prediction").setFeaturesCol("_features")
-    out = model.transform(points.withColumn("_features", array_to_vector(point)))
+    features = F.col(point) if _is_vector(points, point) else array_to_vector(point)
+    out = model.transform(points.withColumn("_features", features))
     return out.withColumn(prediction, F.col("_prediction").cast("int")).drop("_features", "_prediction")
 
 
 def kmeans_centres(spark, model) -> DataFrame:
     """(cluster, centre) of a fitted model: its k centres, already on the driver."""
-    if isinstance(model, SingleCluster):
-        raise ValueError("the k = 1 model keeps no centre; it is the mean vector of the points")
-    rows = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
+    centres = [model.centre] if isinstance(model, SingleCluster) else model.clusterCenters()
+    rows = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]
     return spark.createDataFrame(rows, "cluster int, centre array<double>")
 
 
@@ -68,17 +87,12 @@ def centroids(points: DataFrame, dim: int, point: str = "point", cluster: str =
     return m.select(cluster, F.array(*[F.col(f"_c{i}") for i in range(dim)]).alias("centre"))
 
 
-def _collect_centres(
-    centres: DataFrame, centre: str, cluster: str, max_centres: int, dim: int
-) -> list[tuple[int, list[float]]]:
-    limit = model_row_limit(max_centres, dim)
-    rows = centres.select(cluster, centre).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(
-            f"more than {limit} centres (max_centres {max_centres}, dimension {dim},"
-            f" at most {DEFAULT_MAX_MODEL_VALUES} model values); raise max_centres to allow it"
-        )
-    return sorted((r[0], [float(x) for x in r[1]]) for r in rows)
+def _centre_blocks(centres: DataFrame, block_rows: int) -> Iterator[list[tuple[int, list[float]]]]:
+    """The centres in blocks of at most ``block_rows`` rows, by ascending id within a block."""
+    rows = centres.limit(block_rows + 1).collect()
+    source = iter(rows) if len(rows) <= block_rows else materialize(centres).toLocalIterator()
+    while block := list(islice(source, block_rows)):
+        yield sorted((r[0], [float(x) for x in r[1]]) for r in block)
 
 
 def _nearest_codegen(p: Column, cents: list[tuple[int, list[float]]], dim: int) -> Column:
@@ -87,61 +101,43 @@ def _nearest_codegen(p: Column, cents: list[tuple[int, list[float]]], dim: int)
         terms = [(p[i] - F.lit(c[i])) * (p[i] - F.lit(c[i])) for i in range(dim)]
         while len(terms) > 1:
             terms = [terms[i] + terms[i + 1] if i + 1 < len(terms) else terms[i] for i in range(0, len(terms), 2)]
-        entries.append(F.struct(terms[0].alias("d"), F.lit(cid).alias("cluster")))
-    return F.array_min(F.array(*entries))["cluster"]
+        entries.append(F.struct(terms[0].alias("d"), F.lit(cid).cast("int").alias("cluster")))
+    return F.array_min(F.array(*entries))
 
 
 def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
-    ids = np.array([cid for cid, _ in cents], dtype=np.int64)
+    ids = np.array([cid for cid, _ in cents], dtype=np.int32)
     mat = np.array([c for _, c in cents], dtype=np.float64).reshape(len(cents), dim)
     model = spark.sparkContext.broadcast((ids, mat))
-    block = max(1, 4_000_000 // max(len(cents), dim, 1))
 
-    @F.pandas_udf("int")
-    def nearest(points: pd.Series) -> pd.Series:
+    @F.arrow_udf("d double, cluster int")
+    def nearest(points: pa.Array) -> pa.Array:
         cid, cen = model.value
-        if len(points) == 0:
-            return pd.Series([], dtype="int32")
-        if (points.map(len).to_numpy() != dim).any():
-            raise ValueError(f"points must all have {dim} coordinates")
-        out = np.empty(len(points), dtype=np.int32)
-        for lo in range(0, len(points), block):
-            p = np.stack(points.iloc[lo:lo + block].to_numpy()).astype(np.float64)
-            best, where = np.full(len(p), np.inf), np.zeros(len(p), dtype=np.int64)
-            with np.errstate(over="ignore", invalid="ignore"):
-                for j in range(len(cen)):
-                    diff = p - cen[j]  # differences, no expansion: nothing cancels
-                    d = (diff * diff).sum(axis=1)
-                    closer = d < best  # ties and non-finite distances stay with the smaller id
-                    best[closer], where[closer] = d[closer], j
-            out[lo:lo + len(p)] = cid[where]
-        return pd.Series(out)
+        p = point_matrix(points, dim)
+        best, where = np.full(len(p), np.nan), np.zeros(len(p), dtype=np.int64)
+        for j in range(len(cen)):
+            d = scaled_distance(p, cen[j], 1.0, 0.0)
+            closer = (d < best) | (np.isnan(best) & ~np.isnan(d))  # NaN is above every number; ties stay
+            best[closer], where[closer] = d[closer], j
+        return pa.StructArray.from_arrays([pa.array(best), pa.array(cid[where])], names=["d", "cluster"])
 
     return nearest
 
 
-def _nearest_lambda(
-    centres: DataFrame, centre: str, cluster: str, max_centres: int, dim: int
-) -> tuple[Column, Column]:
-    packed = centres.agg(
-        F.collect_list(F.struct(F.col(centre).alias("centre"), F.col(cluster).alias("cluster"))).alias("c")
-    )
-    lookup = packed.select(bounded(F.col("c"), model_row_limit(max_centres, dim), "centres")).scalar()
-    p = F.col("_p")
+def _nearest_lambda(p: Column, cents: list[tuple[int, list[float]]]) -> Column:
+    lookup = F.array(*[
+        F.struct(F.array(*map(F.lit, c)).alias("centre"), F.lit(cid).cast("int").alias("cluster")) for cid, c in cents
+    ])
     dist = F.transform(
-        F.col("_centres"),
+        lookup,
         lambda e: F.struct(
-            F.when(F.size(p) != F.size(e["centre"]), F.raise_error(F.lit("point and centre differ in length")))
-            .otherwise(
-                F.aggregate(
-                    F.zip_with(p, e["centre"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, v: a + v
-                )
-            )
-            .alias("d"),
+            F.aggregate(
+                F.zip_with(p, e["centre"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, v: a + v
+            ).alias("d"),
             e["cluster"].alias("cluster"),
         ),
     )
-    return lookup, F.array_min(dist)["cluster"]
+    return F.array_min(dist)
 
 
 def assign_nearest(
@@ -151,37 +147,41 @@ def assign_nearest(
     centre: str = "centre",
     cluster: str = "cluster",
     out: str = "nearest",
-    max_centres: int = DEFAULT_MAX_CLUSTERS,
+    block_centres: int = DEFAULT_BLOCK_CLUSTERS,
     method: str = "auto",
 ) -> DataFrame:
-    """Add the id of the closest centre (squared Euclidean; ties to the smaller id).
+    """Add the id of the closest centre (squared Euclidean by differences; ties to the smaller id).
 
-    The k centres are model-sized: their number is checked before they reach
-    the driver, and each point computes k distances in one projection
-    (generated code for small k*d, an Arrow-batched matrix product
-    otherwise, or lazily with array lambdas), so no point-centre pair is
+    The centres reach the driver and the tasks in blocks (``block_centres``
+    rows, 2^24 values); between two blocks the points with their best centre
+    so far are written, so any number of centres works.  Each point computes
+    its distances in one projection per block (generated code for small k*d,
+    Arrow batches otherwise, or array lambdas), so no point-centre pair is
     ever a row and the points are not shuffled.
     """
-    # The points' dimension (one row read) bounds the k x d centres on every path.
     dim = vector_dim(points, point)
-    if method == "lambda":
-        lookup, nearest = _nearest_lambda(centres, centre, cluster, max_centres, dim)
-        return (
-            points.withColumn("_p", F.col(point))
-            .withColumn("_centres", lookup)
-            .withColumn(out, nearest)
-            .drop("_p", "_centres")
-        )
-    cents = _collect_centres(centres, centre, cluster, max_centres, dim)
-    if not cents:
+    best = None
+    for cents in _centre_blocks(centres.select(cluster, centre), model_block_rows(block_centres, dim)):
+        dim = len(cents[0][1])
+        if any(len(c) != dim for _, c in cents):
+            raise ValueError("centres differ in length")
+        way = method
+        if way == "auto":
+            way = "codegen" if len(cents) * dim <= CODEGEN_MAX_TERMS else "arrow"
+        p = F.col(point)
+        checked = F.when(F.size(p) != dim, F.raise_error(F.lit(f"points must all have {dim} coordinates")))
+        if way == "codegen":
+            found = checked.otherwise(_nearest_codegen(p, cents, dim))
+        elif way == "lambda":
+            found = checked.otherwise(_nearest_lambda(p, cents))
+        else:
+            found = _nearest_arrow(points.sparkSession, cents, dim)(p)
+        if best is None:
+            best = points.withColumn("_best", found)
+        else:
+            # written before the next block, so that one block is in memory at a time
+            step = materialize(best).withColumn("_next", found)
+            best = step.withColumn("_best", F.least("_best", "_next")).drop("_next")
+    if best is None:
         return points.withColumn(out, F.lit(None).cast("int"))
-    dim = len(cents[0][1])
-    if any(len(c) != dim for _, c in cents):
-        raise ValueError("centres differ in length")
-    if method == "auto":
-        method = "codegen" if len(cents) * dim <= 64 else "arrow"
-    p = F.col(point)
-    checked = F.when(F.size(p) != dim, F.raise_error(F.lit(f"points must all have {dim} coordinates")))
-    if method == "codegen":
-        return points.withColumn(out, checked.otherwise(_nearest_codegen(p, cents, dim)).cast("int"))
-    return points.withColumn(out, _nearest_arrow(points.sparkSession, cents, dim)(p))
+    return best.select(*points.columns, F.col("_best.cluster").cast("int").alias(out))

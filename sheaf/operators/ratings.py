@@ -12,9 +12,9 @@ task.  It is then joined back on the user key:
 * ``join`` (default): the means (one row per user, with its rating count)
   are written once to the checkpoint folder and broadcast only when a
   bounded count shows at most ``broadcast_max_rows`` users, so the ratings
-  are never shuffled.  Above the bound, hot users (more than
-  ``hot_fraction`` of all ratings, hence at most 1/hot_fraction of them)
-  are broadcast and joined map-side, and only the other users' ratings go
+  are never shuffled.  Above the bound, hot users (more than twice the even
+  share of a shuffle partition, or ``hot_fraction`` of all ratings) are
+  broadcast and joined map-side, and only the other users' ratings go
   through a shuffle join, in which no key can hold more than that share.
 * ``lazy_join``: the same join with no job at plan time; AQE converts it
   to a broadcast join from measured sizes, after both sides were shuffled.
@@ -29,11 +29,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, broadcast_if_small, materialize
+from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, hot_share, join_group_values, materialize
+from sheaf.operators.ordering import number_in_order
 
 STRATEGIES = ("join", "lazy_join")
-# A user with more than this share of all ratings is "hot" (at most 1/share of them).
-DEFAULT_HOT_FRACTION = 0.01
 
 
 def _mean_of(rating: str) -> Column:
@@ -48,11 +47,12 @@ def user_mean_rating(
     return ratings.groupBy(user).agg(_mean_of(rating).alias("mean_rating"))
 
 
-def _user_key(ratings: DataFrame, user: str) -> list[Column] | None:
+def _user_key(ratings: DataFrame, user: str) -> list[Column]:
     """A null-free join key (user with a type default, user is null).
 
     Plain equality on it lets the means aggregate's hash partitioning serve
-    the join directly, while null users still form their own group.
+    the join directly, while null users still form their own group.  Types
+    without a plain default are wrapped in a struct, which is never null.
     """
     dtype = ratings.schema[user].dataType
     if isinstance(dtype, T.StringType):
@@ -60,7 +60,7 @@ def _user_key(ratings: DataFrame, user: str) -> list[Column] | None:
     elif isinstance(dtype, (T.IntegralType, T.FractionalType)):
         default = F.lit(0).cast(dtype)
     else:
-        return None
+        return [F.struct(F.col(user)).alias("_uk"), F.col(user).isNull().alias("_un")]
     return [F.coalesce(F.col(user), default).alias("_uk"), F.col(user).isNull().alias("_un")]
 
 
@@ -70,7 +70,7 @@ def attach_user_mean(
     rating: str = "rating",
     strategy: str = "join",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    hot_fraction: float = DEFAULT_HOT_FRACTION,
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Add ``mean_rating`` (float), the mean rating of the row's user; every row kept.
 
@@ -80,19 +80,13 @@ def attach_user_mean(
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    key = _user_key(ratings, user)
-    if key is None:  # other key types: null-safe equality
-        means = ratings.groupBy(F.col(user).alias("_user")).agg(_mean_of(rating).alias("_mean"))
-        if strategy == "join":
-            means, _ = broadcast_if_small(means, broadcast_max_rows)
-        joined = ratings.join(means, ratings[user].eqNullSafe(means["_user"]))
+    hot_share(ratings.sparkSession, hot_fraction)  # refuse a bad fraction on every path
+    keyed = ratings.select("*", *_user_key(ratings, user))
+    means = keyed.groupBy("_uk", "_un").agg(_mean_of(rating).alias("_mean"), F.count(F.lit(1)).alias("_n"))
+    if strategy == "lazy_join":
+        joined = keyed.join(means.drop("_n"), ["_uk", "_un"])
     else:
-        keyed = ratings.select("*", *key)
-        means = keyed.groupBy("_uk", "_un").agg(_mean_of(rating).alias("_mean"), F.count(F.lit(1)).alias("_n"))
-        if strategy == "lazy_join":
-            joined = keyed.join(means.drop("_n"), ["_uk", "_un"])
-        else:
-            joined = _join_means_split_hot(keyed, means, broadcast_max_rows, hot_fraction)
+        joined = join_group_values(keyed, means, ["_uk", "_un"], "_n", broadcast_max_rows, hot_fraction)
     return joined.select(*[F.col(c) for c in ratings.columns], F.col("_mean").alias("mean_rating"))
 
 
@@ -102,7 +96,7 @@ def center_ratings_by_user(
     rating: str = "rating",
     strategy: str = "join",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    hot_fraction: float = DEFAULT_HOT_FRACTION,
+    hot_fraction: float | None = None,
 ) -> DataFrame:
     """Add ``norm_rating = rating - mean rating of the user`` (float); every row kept."""
     with_mean = attach_user_mean(ratings, user, rating, strategy, broadcast_max_rows, hot_fraction)
@@ -112,29 +106,6 @@ def center_ratings_by_user(
     )
 
 
-def _join_means_split_hot(
-    keyed: DataFrame, means: DataFrame, broadcast_max_rows: int, hot_fraction: float
-) -> DataFrame:
-    """Join the means back; hot users never meet in one shuffle partition.
-
-    All means are broadcast when their count is within the bound.  Beyond
-    it, users holding more than ``hot_fraction`` of all ratings (so at most
-    ``1 / hot_fraction`` of them) are broadcast and joined map-side, and the
-    other users go through a shuffle join in which no key holds more than
-    that fraction of the rows.
-    """
-    keys = ["_uk", "_un"]
-    means, small = broadcast_if_small(means, broadcast_max_rows)
-    if small:
-        return keyed.join(means.drop("_n"), keys)
-    limit = means.agg(F.sum("_n").cast("double").alias("t")).scalar() * F.lit(float(hot_fraction))
-    hot = F.broadcast(means.where(F.col("_n") > limit).drop("_n"))
-    cold = means.where(F.col("_n") <= limit).drop("_n")
-    hot_rows = keyed.join(hot, keys)
-    cold_rows = keyed.join(hot.select(*keys), keys, "left_anti").join(cold, keys)
-    return hot_rows.unionByName(cold_rows)
-
-
 def rating_deviation(ratings: DataFrame, **kwargs) -> DataFrame:
     """(product_id, norm_rating) pairs, the reference's intermediate RDD."""
     return center_ratings_by_user(ratings, **kwargs).select("product_id", "norm_rating")
@@ -147,6 +118,13 @@ def max_norm_rating(
     return centred.groupBy(product).agg(F.max(value).alias("max_norm_rating"))
 
 
+def max_of_partials(
+    partials: DataFrame, product: str = "product_id", value: str = "partial_max_norm_rating"
+) -> DataFrame:
+    """Round 2 of the two-round maximum: (product_id, max_norm_rating) from the partial maxima."""
+    return max_norm_rating(partials, product, value)
+
+
 def partial_max_by_partition(
     centred: DataFrame, product: str = "product_id", value: str = "norm_rating"
 ) -> DataFrame:
@@ -170,11 +148,12 @@ def _rank_order(value: str, key: str) -> list[Column]:
 def rank_products(
     maxima: DataFrame, product: str = "product_id", value: str = "max_norm_rating"
 ) -> DataFrame:
-    """All products sorted by value descending (NaN last), then product id.
+    """All products with their 1-based ``rank`` (bigint): value descending (NaN last), then product id.
 
-    A distributed range-partitioned sort; the position is the rank.
+    A range-partitioned sort, written once, plus the rows of the partitions before each one.
     """
-    return maxima.orderBy(*_rank_order(value, product))
+    ranked = number_in_order(maxima.select(product, value), _rank_order(value, product))
+    return ranked.select("rank", product, value)
 
 
 def top_products(

@@ -4,41 +4,39 @@ A point of cluster C is kept with probability ``min(t / |C|, 1)``, then at
 most ``t`` points per cluster are kept.  When ``t >= |C|`` the whole
 cluster is kept, so the sample is deterministic there.
 
-Scale notes.  Cluster sizes are one partial aggregate (k rows), collected
-with a bound (``max_clusters``) and broadcast: a hash lookup per point, no
-shuffle of the points by cluster, so a cluster holding a third of the
-points costs nothing extra.  (A map literal looked up with ``element_at``
-scans its keys linearly: 19 s against 2 s for the broadcast join at
-k = 100 000 on 600 000 points.)  The cap is ``row_number() <= t`` over the cluster window;
-Spark plans it with a ``WindowGroupLimit`` on the map side, so each task
-ships at most ``t`` rows per cluster into the shuffle.  Spark does so only
-while ``t`` is within ``spark.sql.optimizer.windowGroupLimitThreshold``
-(1000 by default); above it, an Arrow-batched ``mapInPandas`` makes the
-same per-task cut (first ``t`` rows per cluster in the same order), so the
-bound holds for any ``t``.  Because the
-Bernoulli filter runs first and keeps a cluster's rows with probability
-``t/|C|``, a window group holds about ``t`` rows (a cluster of at most
-``t`` points is kept whole), never a whole large cluster: the group size is
-bounded by the sample-size parameter, not by the data.  The number of
-clusters is checked against ``max_clusters`` before it is shipped.
+Scale notes.  Cluster sizes are one partial aggregate (one row per
+cluster).  They are broadcast while a count shows them within the bound:
+a hash lookup per point, no shuffle of the points.  Beyond it, the sizes
+of hot clusters are broadcast and the other points go through a shuffle
+join in which no cluster is hot; any number of clusters works.
+
+The cap is ``row_number() <= t`` over the cluster window, which Spark plans
+with a ``WindowGroupLimit`` on the map side (at most ``t`` rows per cluster
+and task are shuffled) while ``t`` is within
+``spark.sql.optimizer.windowGroupLimitThreshold`` (1000 by default).  For a
+larger ``t`` the place of a row in its cluster comes from a range-partitioned
+sort (``ordering.number_in_order``), so no task holds a whole cluster.
+
+A null cluster label fails the query, here and in the silhouettes.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheaf.functions.random import seeded_uniform
+from sheaf.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, join_group_values
+from sheaf.operators.ordering import number_in_order
 
-DEFAULT_MAX_CLUSTERS = 100_000
-# A k x d model (cluster means, centres) reaches the driver and every
-# executor, so its total size is bounded too, not only k: 2^24 doubles (128 MiB).
-DEFAULT_MAX_MODEL_VALUES = 1 << 24
+# Rows and values of a k x d model (cluster means, centres) that reach the driver
+# and the executors at a time; a larger model is evaluated block by block.
+DEFAULT_BLOCK_CLUSTERS = 100_000
+DEFAULT_BLOCK_VALUES = 1 << 24
 
 
-def model_row_limit(max_rows: int, dim: int | None, max_values: int = DEFAULT_MAX_MODEL_VALUES) -> int:
-    """How many rows of a k x ``dim`` model may be collected: at most ``max_rows`` and ``max_values`` values."""
+def model_block_rows(max_rows: int, dim: int | None, max_values: int = DEFAULT_BLOCK_VALUES) -> int:
+    """Rows of a k x ``dim`` model in one block: at most ``max_rows`` and ``max_values`` values."""
     return max_rows if not dim else min(max_rows, max(1, max_values // dim))
 
 
@@ -47,36 +45,29 @@ def cluster_sizes(points: DataFrame, cluster: str = "cluster") -> DataFrame:
     return points.groupBy(cluster).agg(F.count(F.lit(1)).alias("size"))
 
 
-def bounded(arr: Column, max_len: int, what: str) -> Column:
-    """``arr`` unchanged, or a query error when it has more than ``max_len`` entries."""
-    return F.when(
-        F.size(arr) > F.lit(max_len),
-        F.raise_error(F.lit(f"{what}: more than {max_len} entries")),
-    ).otherwise(arr)
+def _no_null(cluster: str, value: Column) -> Column:
+    return F.when(F.col(cluster).isNull(), F.raise_error(F.lit(f"null label in {cluster}"))).otherwise(value)
 
 
 def attach_cluster_size(
-    points: DataFrame, cluster: str = "cluster", max_clusters: int = DEFAULT_MAX_CLUSTERS
+    points: DataFrame, cluster: str = "cluster", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 ) -> DataFrame:
-    """Add ``cluster_size`` (the size of the point's own cluster).
+    """Add ``cluster_size`` (the size of the point's own cluster); a null label fails the query.
 
-    The sizes (k rows) are collected with a bound (``max_clusters``) and
-    broadcast: a hash lookup per point inside the generated code, with no
-    shuffle of the points.
+    A hash lookup per point while the sizes are within the broadcast bound,
+    else a shuffle join with hot clusters split off.
     """
-    sizes = cluster_sizes(points, cluster).withColumnRenamed("size", "cluster_size")
-    rows = sizes.limit(max_clusters + 1).collect()
-    if len(rows) > max_clusters:
-        raise ValueError(f"more than {max_clusters} clusters; raise max_clusters to allow it")
-    side = F.broadcast(points.sparkSession.createDataFrame(rows, sizes.schema))
-    return points.join(side, cluster, "left").select(*points.columns, "cluster_size")
+    checked = points.withColumn(cluster, _no_null(cluster, F.col(cluster)))
+    sizes = cluster_sizes(checked, cluster).withColumnRenamed("size", "cluster_size")
+    joined = join_group_values(checked, sizes, [cluster], "cluster_size", broadcast_max_rows)
+    return joined.select(*points.columns, "cluster_size")
 
 
 def attach_normalizer(
-    points: DataFrame, t: int, cluster: str = "cluster", max_clusters: int = DEFAULT_MAX_CLUSTERS
+    points: DataFrame, t: int, cluster: str = "cluster", broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS
 ) -> DataFrame:
-    """Add ``norm = min(t, size of the point's cluster)`` through the same bounded broadcast lookup."""
-    sized = attach_cluster_size(points, cluster, max_clusters)
+    """Add ``norm = min(t, size of the point's cluster)`` through the same lookup."""
+    sized = attach_cluster_size(points, cluster, broadcast_max_rows)
     norm = F.least(F.lit(int(t)).cast("bigint"), F.col("cluster_size")).alias("norm")
     return sized.select(*points.columns, norm)
 
@@ -94,37 +85,16 @@ def bernoulli_sample(
     return points.withColumn("u", seeded_uniform(id_col, seed, draw)).where(F.col("u") < keep)
 
 
-def first_t_per_task(
-    df: DataFrame, t: int, cluster: str = "cluster", order: tuple[str, ...] = ("u", "id")
-) -> DataFrame:
-    """Each task keeps at most ``t`` rows per cluster, the first ones in ``order``.
-
-    The map-side half of a per-group limit, with no shuffle; what is kept
-    per task is bounded by ``t`` times the clusters present in the task.
-    """
-    keys = [cluster, *order]
-
-    def cut(batches):
-        kept = None
-        for pdf in batches:
-            kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            kept = kept.sort_values(keys, na_position="first", kind="mergesort")
-            kept = kept.groupby(cluster, dropna=False, sort=False).head(t)
-        if kept is not None and len(kept):
-            yield kept
-
-    return df.mapInPandas(cut, df.schema)
-
-
 def cap_per_cluster(
     df: DataFrame, t: int, cluster: str = "cluster", order: tuple[str, ...] = ("u", "id")
 ) -> DataFrame:
     """At most ``t`` rows per cluster, the first ones in ``order`` (ascending, nulls first)."""
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-    if t > threshold:  # Spark plans no map-side WindowGroupLimit here: make the cut explicitly
-        df = first_t_per_task(df, t, cluster, order)
-    w = Window.partitionBy(cluster).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= t).drop("_rn")
+    if t > threshold:  # Spark plans no map-side limit here, and a group could fill a task
+        numbered = number_in_order(df, list(order), cluster, "_rn")
+    else:
+        numbered = df.withColumn("_rn", F.row_number().over(Window.partitionBy(cluster).orderBy(*order)))
+    return numbered.where(F.col("_rn") <= t).select(*df.columns)
 
 
 def stratified_sample(
@@ -133,7 +103,7 @@ def stratified_sample(
     seed: int,
     id_col: str = "id",
     cluster: str = "cluster",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
     draw: str = "xxhash64",
 ) -> DataFrame:
     """Bernoulli at ``min(t/|C|, 1)`` per cluster, then capped at ``t`` per cluster.
@@ -145,7 +115,7 @@ def stratified_sample(
     """
     if t < 1:
         raise ValueError("sample size t must be >= 1")
-    sized = attach_cluster_size(points, cluster, max_clusters)
+    sized = attach_cluster_size(points, cluster, broadcast_max_rows)
     return cap_per_cluster(bernoulli_sample(sized, t, seed, id_col, draw=draw), t, cluster, ("u", id_col))
 
 

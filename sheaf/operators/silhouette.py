@@ -18,10 +18,12 @@ point itself included in its own cluster's sum).  It is *not*
 Plan shape.  One grouped aggregate reduces the (sample) points to k rows
 of moments: a partial aggregate per task, so a cluster holding a third of
 the points costs one buffer per task.  The k rows are model-sized (k
-centres of d coordinates, like a k-means model), their number is checked
-against ``max_clusters`` with a bounded ``limit`` before they reach the
-driver, and they are shipped to the tasks inside the plan.  Every point
-then needs k*d arithmetic and no join, no shuffle and no pair of points
+centres of d coordinates, like a k-means model) and are shipped to the
+tasks inside the plan.  A model larger than one block (``block_clusters``
+rows, 2^24 values) is read back and applied block by block, the points
+with their running a and b being written between two blocks, so neither
+the driver nor a task ever holds more than one block.  Every point
+needs k*d arithmetic and no join, no shuffle and no pair of points
 is ever formed; the mean is a partial + final ``avg``.  Work is linear in
 the number of points, so the exact silhouette of all points costs one
 more pass than the approximate one.
@@ -30,11 +32,15 @@ Per-point evaluation methods (``method``):
 
 * ``codegen`` – the moments become literals of plain arithmetic
   expressions, compiled by whole-stage codegen (best for small k*d);
-* ``arrow`` – an Arrow-batched pandas UDF computing the k distances of a
-  whole batch with one matrix product (best when k*d is large, where the
+* ``arrow`` – an Arrow UDF computing the distances of a whole batch to one
+  cluster mean after the other (best when k*d is large, where the
   generated code would outgrow a JVM method);
-* ``lambda`` – array higher-order functions over a scalar subquery, fully
-  lazy (no job at plan time), interpreted per element; a cross-check.
+* ``lambda`` – array higher-order functions over the moments as one array
+  literal column, interpreted per element; a cross-check for small models.
+
+All three take differences to the mean before squaring, and keep infinite
+and NaN distances (NaN above every number).  A point without an own or
+another sampled cluster has a = 0 or b = 0.
 
 Normalisers: ``expected`` = min(t, |C|) (the reference's approximate
 silhouette), ``actual`` = number of sampled points of the cluster (the
@@ -44,12 +50,14 @@ everything).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 from operator import add
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -57,13 +65,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.vectors import silhouette_value
 from sheaf.operators.joins import materialize
-from sheaf.operators.sampling import (
-    DEFAULT_MAX_CLUSTERS,
-    DEFAULT_MAX_MODEL_VALUES,
-    bounded,
-    model_row_limit,
-    stratified_sample,
-)
+from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows, stratified_sample
 
 NORMALIZERS = ("expected", "actual")
 METHODS = ("auto", "codegen", "arrow", "lambda")
@@ -72,6 +74,8 @@ METHODS = ("auto", "codegen", "arrow", "lambda")
 WIDE_MAX_DIM = 16
 # Up to this many (cluster, coordinate) terms per point, generated code.
 CODEGEN_MAX_TERMS = 64
+# Clusters per block of distance sums: an Arrow batch holds this many sums per point.
+SUMS_BLOCK = 1024
 
 
 def vector_dim(points: DataFrame, point: str = "point") -> int:
@@ -99,7 +103,8 @@ def cluster_moments(
     p = F.col(point)
     extra = [F.max(size_col).alias("size")] if size_col else []
     if dim is not None and dim <= WIDE_MAX_DIM:
-        aggs = [F.count(F.lit(1)).alias("n"), F.min(F.size(p)).alias("_dmin"), F.max(F.size(p)).alias("_dmax")]
+        whole = F.size(F.array_compact(p))  # a null coordinate counts as a missing one
+        aggs = [F.count(F.lit(1)).alias("n"), F.min(whole).alias("_dmin"), F.max(F.size(p)).alias("_dmax")]
         aggs += [F.avg(p[i]).alias(f"_mu{i}") for i in range(dim)]
         aggs += [F.var_pop(p[i]).alias(f"_var{i}") for i in range(dim)]
         m = df.groupBy(cluster).agg(*aggs, *extra)
@@ -130,33 +135,30 @@ class Moments:
     norm: float
 
 
-def collect_moments(
+def moment_blocks(
     moments: DataFrame,
     norm: Column,
     cluster: str = "cluster",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
     dim: int | None = None,
-) -> list[Moments]:
-    """Bring the k moment rows to the driver after checking k <= max_clusters and k * dim."""
-    limit = model_row_limit(max_clusters, dim)
-    rows = (
-        moments.select(
-            F.col(cluster).alias("cluster"),
-            F.col("n").cast("double").alias("n"),
-            F.col("mean"),
-            F.col("m2").cast("double").alias("m2"),
-            norm.cast("double").alias("norm"),
-        )
-        .limit(limit + 1)
-        .collect()
+) -> Iterator[list[Moments]]:
+    """The k moment rows in blocks that the driver may hold, by ascending cluster within a block."""
+    limit = model_block_rows(block_clusters, dim)
+    table = moments.select(
+        F.col(cluster).alias("cluster"),
+        F.col("n").cast("double").alias("n"),
+        F.col("mean"),
+        F.col("m2").cast("double").alias("m2"),
+        norm.cast("double").alias("norm"),
     )
-    if len(rows) > limit:
-        raise ValueError(
-            f"more than {limit} clusters (max_clusters {max_clusters}, dimension {dim},"
-            f" at most {DEFAULT_MAX_MODEL_VALUES} model values); raise max_clusters to allow it"
-        )
-    out = [Moments(r["cluster"], r["n"], tuple(r["mean"]), r["m2"], r["norm"]) for r in rows]
-    return sorted(out, key=lambda m: m.cluster)
+    rows = table.limit(limit + 1).collect()
+    # a model of more than one block is written once and read back a partition at a time
+    source = iter(rows) if len(rows) <= limit else materialize(table).toLocalIterator()
+    while block := list(islice(source, limit)):
+        if any(r["cluster"] is None for r in block):
+            raise ValueError(f"null label in {cluster}")
+        out = [Moments(r["cluster"], r["n"], tuple(r["mean"]), r["m2"], r["norm"]) for r in block]
+        yield sorted(out, key=lambda m: m.cluster)
 
 
 def _tree_sum(terms: list[Column]) -> Column:
@@ -179,51 +181,51 @@ def _scores_codegen(points: DataFrame, moments: list[Moments], dim: int, point:
     b = others[0] if len(others) == 1 else F.least(*others)
     return staged.select(
         *[F.col(c) for c in points.columns],
-        F.coalesce(F.get(ds, own), F.lit(0.0)).alias("a"),
-        F.coalesce(b, F.lit(0.0)).alias("b"),
+        F.get(ds, own).alias("a"),
+        b.alias("b"),
     )
 
 
-# Rows per numpy block in the Arrow path: keeps the (rows x k) distance
-# block near 4M doubles whatever the number of clusters.
-_ARROW_BLOCK_VALUES = 4_000_000
+def point_matrix(points: pa.Array, dim: int) -> np.ndarray:
+    """Rows x dim doubles of an Arrow list column; other lengths fail."""
+    sizes = points.value_lengths()
+    if points.null_count or sizes.to_numpy(zero_copy_only=False).tolist().count(dim) != len(points):
+        raise ValueError(f"points must all have {dim} coordinates")
+    return points.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(points), dim)
 
 
-def _ab_udf(spark, moments: list[Moments], dim: int):
-    clusters = np.array([m.cluster for m in moments], dtype=np.int64)
+def scaled_distance(p: np.ndarray, mean: np.ndarray, n: float, m2: float) -> np.ndarray:
+    """n * ||p - mean||^2 + m2 by differences: nothing cancels, non-finite values stay."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        diff = p - mean
+        return n * (diff * diff).sum(axis=1) + m2
+
+
+def _arrays(moments: list[Moments], dim: int, scaled: bool) -> tuple:
     mu = np.array([m.mean for m in moments], dtype=np.float64).reshape(len(moments), dim)
-    n = np.array([m.n for m in moments])
-    w = n / np.array([m.norm for m in moments])
-    c = np.array([m.m2 for m in moments]) / np.array([m.norm for m in moments])
-    # Centre on the pooled mean: the expansion ||p||^2 - 2 p.mu + ||mu||^2 is
-    # then free of the cancellation that large offsets would cause.
-    centre = (n[:, None] * mu).sum(axis=0) / max(n.sum(), 1.0)
-    mu_c = mu - centre
-    # The k x d model travels once per executor as a broadcast variable.
-    model = spark.sparkContext.broadcast((clusters, mu_c, (mu_c * mu_c).sum(axis=1), w, c, centre))
-    block = max(1, _ARROW_BLOCK_VALUES // max(len(moments), dim, 1))
-
-    @F.pandas_udf("a double, b double")
-    def ab(points: pd.Series, labels: pd.Series) -> pd.DataFrame:
-        ids, cen, cen_sq, wt, off, shift = model.value
-        if len(points) == 0:
-            return pd.DataFrame({"a": [], "b": []})
-        if (points.map(len).to_numpy() != dim).any():
-            raise ValueError(f"points must all have {dim} coordinates")
-        labels_np = labels.to_numpy()
-        a_out = np.empty(len(points))
-        b_out = np.empty(len(points))
-        for lo in range(0, len(points), block):
-            hi = min(lo + block, len(points))
-            pc = np.stack(points.iloc[lo:hi].to_numpy()).astype(np.float64) - shift
-            sq = (pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :]
-            d = wt[None, :] * np.maximum(sq, 0.0) + off[None, :]
-            own = labels_np[lo:hi, None] == ids[None, :]
-            a = np.where(own, d, -np.inf).max(axis=1, initial=-np.inf)
-            b = np.where(own, np.inf, d).min(axis=1, initial=np.inf)
-            a_out[lo:hi] = np.where(np.isfinite(a), a, 0.0)
-            b_out[lo:hi] = np.where(np.isfinite(b), b, 0.0)
-        return pd.DataFrame({"a": a_out, "b": b_out})
+    norm = np.array([m.norm if scaled else 1.0 for m in moments])
+    weight = np.array([m.n for m in moments]) / norm
+    return [m.cluster for m in moments], mu, weight, np.array([m.m2 for m in moments]) / norm
+
+
+def _ab_udf(spark, moments: list[Moments], dim: int):
+    # The block of the model travels once per executor as a broadcast variable.
+    model = spark.sparkContext.broadcast(_arrays(moments, dim, scaled=True))
+
+    @F.arrow_udf("a double, b double")
+    def ab(points: pa.Array, labels: pa.Array) -> pa.Array:
+        ids, mu, weight, offset = model.value
+        p, own_id = point_matrix(points, dim), labels.to_numpy(zero_copy_only=False)
+        a, b = np.full(len(p), np.nan), np.full(len(p), np.nan)
+        has_a, has_b = np.zeros(len(p), dtype=bool), np.zeros(len(p), dtype=bool)
+        for j, cluster in enumerate(ids):
+            d, own = scaled_distance(p, mu[j], weight[j], offset[j]), own_id == cluster
+            a[own] = d[own]
+            b[~own] = np.fmin(b[~own], d[~own])  # NaN is above every number
+            has_a |= own
+            has_b |= ~own
+        columns = [pa.array(a, mask=~has_a), pa.array(b, mask=~has_b)]
+        return pa.StructArray.from_arrays(columns, names=["a", "b"])
 
     return ab
 
@@ -234,26 +236,19 @@ def _scores_arrow(points: DataFrame, moments: list[Moments], dim: int, point: st
     return staged.select(*[F.col(c) for c in points.columns], F.col("_ab.a").alias("a"), F.col("_ab.b").alias("b"))
 
 
-def moments_lookup(
-    moments: DataFrame,
-    norm: Column,
-    cluster: str = "cluster",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
-    dim: int | None = None,
-) -> Column:
-    """Scalar-subquery column: the k moment rows as one checked array (lazy)."""
-    entry = F.struct(
-        F.col(cluster).alias("cluster"),
-        F.col("n").cast("double").alias("n"),
-        F.col("mean").alias("mean"),
-        F.col("m2").alias("m2"),
-        norm.cast("double").alias("norm"),
-    )
-    packed = moments.agg(F.array_sort(F.collect_list(entry)).alias("c"))
-    return packed.select(bounded(F.col("c"), model_row_limit(max_clusters, dim), "cluster moments")).scalar()
+def _lookup(moments: list[Moments]) -> Column:
+    """The moments as one array literal."""
+    entries = [
+        F.struct(
+            F.lit(m.cluster).alias("cluster"), F.lit(m.n).alias("n"), F.array(*map(F.lit, m.mean)).alias("mean"),
+            F.lit(m.m2).alias("m2"), F.lit(m.norm).alias("norm"),
+        )
+        for m in moments
+    ]
+    return F.array(*entries)
 
 
-def _scores_lambda(points: DataFrame, lookup: Column, dim: int, point: str, cluster: str) -> DataFrame:
+def _scores_lambda(points: DataFrame, moments: list[Moments], dim: int, point: str, cluster: str) -> DataFrame:
     p, c = F.col(point), F.col(cluster)
 
     def sqdist(q: Column) -> Column:
@@ -269,10 +264,10 @@ def _scores_lambda(points: DataFrame, lookup: Column, dim: int, point: str, clus
     other = F.array_min(F.transform(F.filter(F.col("_ad"), lambda e: e["cluster"] != c), lambda e: e["d"]))
     return (
         points.withColumn("_p", F.when(F.size(p) != dim, _dim_error(dim)).otherwise(p))
-        .withColumn("_mom", lookup)
+        .withColumn("_mom", _lookup(moments))
         .withColumn("_ad", avg_dist)
-        .withColumn("a", F.coalesce(own, F.lit(0.0)))
-        .withColumn("b", F.coalesce(other, F.lit(0.0)))
+        .withColumn("a", own)
+        .withColumn("b", other)
         .drop("_p", "_mom", "_ad")
     )
 
@@ -285,45 +280,43 @@ def silhouette_scores(
     point: str = "point",
     cluster: str = "cluster",
     method: str = "auto",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
 ) -> DataFrame:
     """Add ``a``, ``b`` and ``s`` to every point, given the sample moments."""
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
-    if method == "lambda":
-        lookup = moments_lookup(moments, norm, cluster, max_clusters, dim)
-        scored = _scores_lambda(points, lookup, dim, point, cluster)
-    else:
-        rows = collect_moments(moments, norm, cluster, max_clusters, dim)
-        if method == "auto":
-            method = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
-        if not rows:
-            scored = points.withColumn("a", F.lit(0.0)).withColumn("b", F.lit(0.0))
-        elif method == "codegen":
-            scored = _scores_codegen(points, rows, dim, point, cluster)
-        else:
-            scored = _scores_arrow(points, rows, dim, point, cluster)
+    scored = None
+    for block in moment_blocks(moments, norm, cluster, block_clusters, dim):
+        way = method
+        if way == "auto":
+            way = "codegen" if len(block) * dim <= CODEGEN_MAX_TERMS else "arrow"
+        score = {"codegen": _scores_codegen, "arrow": _scores_arrow, "lambda": _scores_lambda}[way]
+        if scored is None:
+            scored = score(points, block, dim, point, cluster)
+            continue
+        # written before the next block, so that one block is in memory at a time
+        before = materialize(scored).withColumnsRenamed({"a": "_a", "b": "_b"})
+        both = score(before, block, dim, point, cluster)
+        a, b = F.greatest("a", "_a"), F.least("b", "_b")  # both pass over nulls
+        scored = both.select(*[F.col(c) for c in points.columns], a.alias("a"), b.alias("b"))
+    if scored is None:
+        scored = points.withColumns({c: F.lit(None).cast("double") for c in ("a", "b")})
+    scored = scored.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("a", "b")})
     return scored.withColumn("s", silhouette_value("a", "b"))
 
 
 def _sums_udf(spark, moments: list[Moments], dim: int):
-    mu = np.array([m.mean for m in moments], dtype=np.float64).reshape(len(moments), dim)
-    n = np.array([m.n for m in moments])
-    m2 = np.array([m.m2 for m in moments])
-    centre = (n[:, None] * mu).sum(axis=0) / max(n.sum(), 1.0)
-    mu_c = mu - centre
-    model = spark.sparkContext.broadcast((mu_c, (mu_c * mu_c).sum(axis=1), n, m2, centre))
-
-    @F.pandas_udf("array<double>")
-    def sums(points: pd.Series) -> pd.Series:
-        cen, cen_sq, cnt, scatter, shift = model.value
-        if len(points) == 0:
-            return pd.Series([], dtype=object)
-        if (points.map(len).to_numpy() != dim).any():
-            raise ValueError(f"points must all have {dim} coordinates")
-        pc = np.stack(points.to_numpy()).astype(np.float64) - shift
-        sq = np.maximum((pc * pc).sum(axis=1)[:, None] - 2.0 * (pc @ cen.T) + cen_sq[None, :], 0.0)
-        return pd.Series(list(cnt[None, :] * sq + scatter[None, :]))
+    model = spark.sparkContext.broadcast(_arrays(moments, dim, scaled=False))
+
+    @F.arrow_udf("array<double>")
+    def sums(points: pa.Array) -> pa.Array:
+        ids, mu, weight, offset = model.value
+        p = point_matrix(points, dim)
+        out = np.empty((len(p), len(ids)))
+        for j in range(len(ids)):
+            out[:, j] = scaled_distance(p, mu[j], weight[j], offset[j])
+        starts = np.arange(len(p) + 1, dtype=np.int32) * len(ids)
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(out.ravel()))
 
     return sums
 
@@ -334,52 +327,48 @@ def distance_sums_by_cluster(
     dim: int,
     point: str = "point",
     cluster: str = "cluster",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
     method: str = "auto",
 ) -> DataFrame:
     """One row per (point, sampled cluster): ``dist_sum`` = sum of squared
     distances from the point to that cluster's sample points.
 
     k rows per point (never one per pair of points); the input columns are
-    kept.  The k moment rows are bounded and shipped in the plan; the k sums
-    of a point come from generated code (small k*d), an Arrow batch matrix
-    product, or array lambdas over a scalar subquery (``lambda``).
+    kept.  The moment rows are shipped in the plan in blocks of at most
+    ``SUMS_BLOCK`` clusters (the k sums of a batch of points lie in memory
+    together): generated code for small k*d, else Arrow batches.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     p = F.col(point)
     checked = F.when(F.size(p) != dim, _dim_error(dim))
-    if method == "lambda":
-        lookup = moments_lookup(moments, F.col("n"), cluster, max_clusters, dim)
-        sums = F.transform(
-            F.col("_mom"),
-            lambda e: F.struct(
-                e["cluster"].alias("sample_cluster"),
-                (e["n"] * F.aggregate(F.zip_with(F.col("_p"), e["mean"], lambda x, y: (x - y) * (x - y)),
-                                      F.lit(0.0), lambda acc, v: acc + v) + e["m2"]).alias("dist_sum"),
-            ),
+    parts = []
+    for rows in moment_blocks(moments, F.col("n"), cluster, min(block_clusters, SUMS_BLOCK), dim):
+        way = method
+        if way == "auto":
+            way = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
+        if way == "lambda":
+            one = lambda e: e["n"] * F.aggregate(
+                F.zip_with(p, e["mean"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v
+            ) + e["m2"]
+            arr = checked.otherwise(F.transform(_lookup(rows), one))
+        elif way == "codegen":
+            arr = checked.otherwise(F.array(*[
+                F.lit(m.n) * _tree_sum([(p[i] - F.lit(m.mean[i])) * (p[i] - F.lit(m.mean[i])) for i in range(dim)])
+                + F.lit(m.m2)
+                for m in rows
+            ]))
+        else:
+            arr = _sums_udf(points.sparkSession, rows, dim)(p)
+        ids = F.array(*[F.lit(m.cluster) for m in rows])
+        staged = points.select("*", F.posexplode(arr).alias("_j", "dist_sum"))
+        parts.append(
+            staged.select(*[F.col(c) for c in points.columns], ids[F.col("_j")].alias("sample_cluster"), "dist_sum")
         )
-        staged = points.withColumn("_p", checked.otherwise(p)).withColumn("_mom", lookup)
-        staged = staged.withColumn("_e", F.explode(sums))
-        return staged.select(*[F.col(c) for c in points.columns], "_e.sample_cluster", "_e.dist_sum")
-    rows = collect_moments(moments, F.col("n"), cluster, max_clusters, dim)
-    if not rows:
+    if not parts:
         return points.select("*", F.lit(None).cast("int").alias("sample_cluster"),
                              F.lit(None).cast("double").alias("dist_sum")).where(F.lit(False))
-    if method == "auto":
-        method = "codegen" if len(rows) * dim <= CODEGEN_MAX_TERMS else "arrow"
-    if method == "codegen":
-        arr = F.array(*[
-            F.lit(m.n) * _tree_sum([(p[i] - F.lit(m.mean[i])) * (p[i] - F.lit(m.mean[i])) for i in range(dim)])
-            + F.lit(m.m2)
-            for m in rows
-        ])
-        arr = checked.otherwise(arr)
-    else:
-        arr = _sums_udf(points.sparkSession, rows, dim)(p)
-    ids = F.array(*[F.lit(m.cluster) for m in rows])
-    staged = points.select("*", F.posexplode(arr).alias("_j", "dist_sum"))
-    return staged.select(*[F.col(c) for c in points.columns], ids[F.col("_j")].alias("sample_cluster"), "dist_sum")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def mean_silhouette(scored: DataFrame, name: str = "silhouette") -> DataFrame:
@@ -393,12 +382,12 @@ def exact_silhouette_scores(
     point: str = "point",
     cluster: str = "cluster",
     method: str = "auto",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
 ) -> DataFrame:
     """a, b, s for every point against all points (sample = everything)."""
     dim = vector_dim(points, point) if dim is None else dim
     moments = cluster_moments(points, dim, point, cluster)
-    return silhouette_scores(points, moments, F.col("n"), dim, point, cluster, method, max_clusters)
+    return silhouette_scores(points, moments, F.col("n"), dim, point, cluster, method, block_clusters)
 
 
 def approx_silhouette_scores(
@@ -411,21 +400,21 @@ def approx_silhouette_scores(
     point: str = "point",
     cluster: str = "cluster",
     method: str = "auto",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
     draw: str = "xxhash64",
 ) -> DataFrame:
     """a, b, s for every point against a stratified sample of at most t per cluster."""
     if normalizer not in NORMALIZERS:
         raise ValueError(f"normalizer must be one of {NORMALIZERS}")
     dim = vector_dim(points, point) if dim is None else dim
-    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters, draw)
+    sample = stratified_sample(points, t, seed, id_col, cluster, draw=draw)
     if normalizer == "expected":
         moments = cluster_moments(sample, dim, point, cluster, size_col="cluster_size")
         norm = F.least(F.lit(float(t)), F.col("size").cast("double"))
     else:
         moments = cluster_moments(sample, dim, point, cluster)
         norm = F.col("n")
-    return silhouette_scores(points, moments, norm, dim, point, cluster, method, max_clusters)
+    return silhouette_scores(points, moments, norm, dim, point, cluster, method, block_clusters)
 
 
 def sample_silhouette_scores(
@@ -437,7 +426,7 @@ def sample_silhouette_scores(
     point: str = "point",
     cluster: str = "cluster",
     method: str = "auto",
-    max_clusters: int = DEFAULT_MAX_CLUSTERS,
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
     draw: str = "xxhash64",
 ) -> DataFrame:
     """a, b, s for every *sampled* point against the sample (actual sizes).
@@ -447,10 +436,10 @@ def sample_silhouette_scores(
     table instead of re-running the full-data sampling passes.
     """
     dim = vector_dim(points, point) if dim is None else dim
-    sample = stratified_sample(points, t, seed, id_col, cluster, max_clusters, draw)
+    sample = stratified_sample(points, t, seed, id_col, cluster, draw=draw)
     sample = materialize(sample.select(*points.columns))
     moments = cluster_moments(sample, dim, point, cluster)
-    return silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, max_clusters)
+    return silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, block_clusters)
 
 
 def exact_silhouette(points: DataFrame, **kwargs) -> DataFrame:

@@ -5,8 +5,10 @@ iterative distributed job; everything inside one k is distributed.  The
 values of k are independent, so up to ``parallel_k`` of them are submitted
 as concurrent Spark jobs over the same persisted points: a k-means
 iteration ends in a driver-side step, and other k's tasks fill the
-executors meanwhile.  The points are persisted (memory, spilling to disk)
-for the sweep and released afterwards; a lost executor only costs
+executors meanwhile.  The points are persisted once as vectors (memory,
+spilling to disk), on which k-means runs as they are; the labelled points
+of one k are persisted while it is scored, so labels are predicted once
+per k.  Both are released afterwards; a lost executor only costs
 recomputing its partitions from the Parquet scan, so no lineage has to be
 cut.
 """
@@ -17,6 +19,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -58,20 +61,24 @@ def k_sweep_silhouette(
     base = points.select(id_col, point)
     if num_partitions:
         base = base.repartition(num_partitions)
-    base = base.persist(StorageLevel.MEMORY_AND_DISK)
+    dim = vector_dim(base, point)
+    base = base.select(id_col, array_to_vector(point).alias(point)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         base.count()  # fill the cache once, before concurrent jobs read it
-        dim = vector_dim(base, point)
 
         def one_k(k: int) -> tuple:
             started = time.perf_counter()
             model = kmeans_fit(base, k, max_iter, seed=seed, point=point)
             fitted = time.perf_counter()
-            clustered = kmeans_assign(model, base, point=point, prediction="cluster")
             t = m // k
-            result = approx_silhouette(
-                clustered, t, seed, normalizer=normalizer, dim=dim, id_col=id_col, point=point, draw=draw
-            ).first()
+            clustered = kmeans_assign(model, base, point=point, prediction="cluster")
+            clustered = clustered.withColumn(point, vector_to_array(point)).persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                result = approx_silhouette(
+                    clustered, t, seed, normalizer=normalizer, dim=dim, id_col=id_col, point=point, draw=draw
+                ).first()
+            finally:
+                clustered.unpersist()
             done = time.perf_counter()
             return (k, t, result["silhouette"], result["n_points"], fitted - started, done - fitted)
 

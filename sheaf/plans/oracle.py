@@ -1,17 +1,17 @@
 """DuckDB oracle SQL for the registered queries.
 
 Each statement is an independent formulation over the plain tables (the
-Spark side parses text it formatted itself, uses arrays and scalar
-subqueries; the SQL side works on long-form rows).  The silhouettes use
-the same moments identity in a long form: one row per (point, cluster)
-with the squared distance to the cluster mean, never one row per pair
-of points.  Keys missing here (k-means fit and assignment, per-partition maxima) are
-checked by row count only.
+Spark side parses text it formatted itself and uses arrays; the SQL side
+works on long-form rows).  The silhouettes of the embeddings sum the
+squared distances of every (point, sample point) pair, as they are
+defined, where the Spark side uses cluster moments; only the lineitem
+points, too many for pairs, use the moments here too.  k-means is checked
+by what any fit must satisfy.
 """
 
 from __future__ import annotations
 
-from sheaf.plans.queries import ROUND, SAMPLE_SEED, SAMPLE_T, TOP_T
+from sheaf.plans.queries import ROUND, SAMPLE_SEED, SAMPLE_T, SWEEP, TOP_T
 
 # --- common table expressions -------------------------------------------
 
@@ -35,7 +35,7 @@ tokens AS (
 )"""
 
 DOCS = "documents"
-CONVERSATIONS = "(SELECT conv_id * 1000000 + turn AS doc_id, text FROM conversations)"
+CONVERSATIONS = "(SELECT conv_id AS doc_id, text FROM conversations)"
 
 RATINGS = """
 r AS (
@@ -69,8 +69,8 @@ pts AS MATERIALIZED (
 SAMPLE = f"""
 sized AS (
   SELECT id, point, cluster, count(*) OVER (PARTITION BY cluster) AS cluster_size,
-         CAST(CAST(concat('0x', substr(md5(concat('{SAMPLE_SEED}:', CAST(id AS VARCHAR))), 1, 8)) AS BIGINT) AS DOUBLE)
-           / 4294967296.0 AS u
+         CAST(CAST(concat('0x', substr(md5(concat('{SAMPLE_SEED}:', CAST(id AS VARCHAR))), 1, 13)) AS BIGINT) AS DOUBLE)
+           / 4503599627370496.0 AS u
   FROM pts
 ),
 kept AS (SELECT * FROM sized WHERE u < least({SAMPLE_T}.0 / cluster_size, 1.0)),
@@ -81,30 +81,43 @@ sample AS (
 )"""
 
 
-def _silhouette_ctes(points: str, sample: str, norm: str) -> str:
-    """a, b, s per point of ``points`` against the moments of ``sample``.
+PAIR_SUMS = """
+sc AS (SELECT cluster, count(*) AS n, max(cluster_size) AS size FROM {sample} GROUP BY cluster),
+pc AS (
+  SELECT p.id, p.cluster AS own, q.cluster AS c, sum((p.x - q.x) * (p.x - q.x)) AS dist_sum
+  FROM pdims p JOIN sdims q ON p.i = q.i GROUP BY p.id, p.cluster, q.cluster
+)"""
 
-    ``norm`` is an expression over the per-cluster aggregate ``mc``
-    (columns n, size).
-    """
-    return f"""
-pdims AS (SELECT id, cluster, o AS i, x FROM {points}, unnest(point) WITH ORDINALITY AS u(x, o)),
-sdims AS (SELECT cluster, cluster_size, o AS i, x FROM {sample}, unnest(point) WITH ORDINALITY AS u(x, o)),
+MOMENT_SUMS = """
 mom AS (
   SELECT cluster, i, count(*) AS n, avg(x) AS mu, var_pop(x) AS v, max(cluster_size) AS size
   FROM sdims GROUP BY cluster, i
 ),
-mc AS (
+sc AS (
   SELECT cluster, max(n) AS n, max(n) * sum(v) AS m2, max(size) AS size FROM mom GROUP BY cluster
 ),
-pc AS (
+pm AS (
   SELECT d.id, d.cluster AS own, m.cluster AS c, sum((d.x - m.mu) * (d.x - m.mu)) AS dsq
   FROM pdims d JOIN mom m ON d.i = m.i
   GROUP BY d.id, d.cluster, m.cluster
 ),
+pc AS (
+  SELECT pm.id, pm.own, pm.c, sc.n * pm.dsq + sc.m2 AS dist_sum FROM pm JOIN sc ON pm.c = sc.cluster
+)"""
+
+
+def _silhouette_ctes(points: str, sample: str, norm: str, sums: str = PAIR_SUMS) -> str:
+    """a, b, s per point of ``points`` against ``sample``.
+
+    ``norm`` is an expression over the sampled clusters ``sc`` (columns n,
+    size); ``sums`` gives the distance sums per (point, sampled cluster).
+    """
+    return f"""
+pdims AS (SELECT id, cluster, o AS i, x FROM {points}, unnest(point) WITH ORDINALITY AS u(x, o)),
+sdims AS (SELECT cluster, cluster_size, o AS i, x FROM {sample}, unnest(point) WITH ORDINALITY AS u(x, o)),
+{sums.format(sample=sample)},
 ad AS (
-  SELECT pc.id, pc.own, pc.c, (mc.n * pc.dsq + mc.m2) / ({norm}) AS d
-  FROM pc JOIN mc ON pc.c = mc.cluster
+  SELECT pc.id, pc.own, pc.c, pc.dist_sum / ({norm}) AS d FROM pc JOIN sc ON pc.c = sc.cluster
 ),
 ab AS (
   SELECT id, own AS cluster,
@@ -127,8 +140,8 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
-EXPECTED_NORM = f"least({SAMPLE_T}.0, CAST(mc.size AS DOUBLE))"
-ACTUAL_NORM = "CAST(mc.n AS DOUBLE)"
+EXPECTED_NORM = f"least({SAMPLE_T}.0, CAST(sc.size AS DOUBLE))"
+ACTUAL_NORM = "CAST(sc.n AS DOUBLE)"
 
 WORD_COUNT = "SELECT word, count(*) AS n FROM tokens GROUP BY word"
 UTF16_LEN = "CAST(length(word) + length(regexp_replace(word, '[\\x{0000}-\\x{FFFF}]', '', 'g')) AS INTEGER)"
@@ -152,7 +165,8 @@ ORACLE: dict[str, str] = {
     "center_ratings_by_user": _with(RATINGS, CENTRED) + " SELECT product_id, user_id, rating, norm_rating FROM c",
     "rating_deviation": _with(RATINGS, CENTRED) + " SELECT product_id, norm_rating FROM c",
     "max_norm_rating": _with(RATINGS, CENTRED, MAXIMA) + " SELECT product_id, max_norm_rating FROM m",
-    "rank_products": _with(RATINGS, CENTRED, MAXIMA) + " SELECT product_id, max_norm_rating FROM m",
+    "rank_products": _with(RATINGS, CENTRED, MAXIMA) + " SELECT row_number() OVER (ORDER BY -max_norm_rating, product_id) AS rank, product_id, max_norm_rating FROM m",
+    "partial_max_by_partition": _with(RATINGS, CENTRED, MAXIMA) + " SELECT product_id, max_norm_rating FROM m",
     "top_normalized_ratings": _with(RATINGS, CENTRED, MAXIMA)
     + " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
     f" product_id, max_norm_rating FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T}",
@@ -226,8 +240,7 @@ ORACLE: dict[str, str] = {
     "nearest_cluster_distance": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT id, cluster, round(b, {ROUND}) AS b FROM s",
     "distance_sums_by_cluster": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", ACTUAL_NORM))
-    + f" SELECT pc.id, pc.own AS cluster, pc.c AS sample_cluster, round(mc.n * pc.dsq + mc.m2, {ROUND}) AS dist_sum"
-    " FROM pc JOIN mc ON pc.c = mc.cluster",
+    + f" SELECT pc.id, pc.own AS cluster, pc.c AS sample_cluster, round(pc.dist_sum, {ROUND}) AS dist_sum FROM pc",
     "approx_silhouette_full": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", EXPECTED_NORM))
     + f" SELECT round(avg(s), {ROUND}) AS approx_silhouette, count(*) AS n_points FROM s",
     "approx_silhouette_actual": _with(POINTS, SAMPLE, _silhouette_ctes("pts", "sample", ACTUAL_NORM))
@@ -241,10 +254,17 @@ ORACLE: dict[str, str] = {
     "exact_silhouette_lineitem": _with(
         LINEITEM_POINTS,
         "allpts AS (SELECT *, 0 AS cluster_size FROM pts)",
-        _silhouette_ctes("pts", "allpts", ACTUAL_NORM),
+        _silhouette_ctes("pts", "allpts", ACTUAL_NORM, MOMENT_SUMS),
     )
     + f" SELECT round(avg(s), {ROUND}) AS silhouette, count(*) AS n_points FROM s",
     # clustering
+    "kmeans_fit": _with(POINTS, "d AS (SELECT o AS i, x FROM pts, unnest(point) WITH ORDINALITY AS u(x, o))")
+    + f" SELECT CAST(i - 1 AS INTEGER) AS pos, round(avg(x), {ROUND}) AS single_centre,"
+    " CAST(0 AS BIGINT) AS n_off, CAST(4 AS BIGINT) AS k FROM d GROUP BY i",
+    "kmeans_assign": "SELECT vec_id AS id, true AS is_nearest FROM embeddings",
+    "k_sweep_silhouette": f"SELECT CAST(k AS INTEGER) AS k, CAST({SWEEP['m']} // k AS INTEGER) AS t, n_points,"
+    " true AS in_range, CASE WHEN k = 1 THEN CAST(-1 AS DOUBLE) END AS single_silhouette"
+    f" FROM range({SWEEP['k_start']}, {SWEEP['k_start'] + SWEEP['h']}) ks(k), (SELECT count(*) AS n_points FROM embeddings)",
     "sqdist": _with(
         POINTS,
         "pdims AS (SELECT id, cluster, o AS i, x FROM pts, unnest(point) WITH ORDINALITY AS u(x, o))",

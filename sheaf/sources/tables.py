@@ -98,8 +98,6 @@ def documents(spark: SparkSession, sf_dir: str, num_partitions: int | None = Non
 
 
 def conversation_texts(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
-    """Second corpus: one text per conversation turn (doc_id = conv_id * 10^6 + turn)."""
-    df = read_table(spark, sf_dir, "conversations").select(
-        (F.col("conv_id") * F.lit(1_000_000) + F.col("turn")).alias("doc_id"), "text"
-    )
+    """Second corpus: one text per conversation turn (conv_id, turn, text)."""
+    df = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     return df.repartition(num_partitions) if num_partitions else df

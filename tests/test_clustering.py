@@ -34,6 +34,9 @@ def test_k_equals_one(spark):
     df, _ = _blobs(spark, k=2)
     model = C.kmeans_fit(df, 1, max_iter=5)
     assert {r.cluster for r in C.kmeans_assign(model, df).collect()} == {0}
+    mean = np.mean([r.point for r in df.collect()], axis=0)
+    assert C.kmeans_centres(spark, model).first().centre == pytest.approx(mean.tolist())
+    assert C.kmeans_centres(spark, C.kmeans_fit(df.limit(0), 1, max_iter=5)).first().centre == []
 
 
 def test_duplicates_with_more_centres_than_points(spark):

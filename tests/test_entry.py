@@ -12,8 +12,6 @@ from sheaf.sources.tables import TABLES
 
 from .conftest import SF0001, needs
 
-NO_ORACLE = {"kmeans_fit", "kmeans_assign", "k_sweep_silhouette", "partial_max_by_partition"}
-
 
 def _own(names):
     """The keys of the optional subpackage have tests of their own."""
@@ -23,7 +21,7 @@ def _own(names):
 def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert _own(q) - _own(o) == NO_ORACLE
+    assert _own(q) == _own(o)
 
 
 @needs(SF0001)
@@ -64,9 +62,3 @@ def test_query_matches_oracle(spark, duck, key):
     want = duck.execute(E.oracle_sql()[key]).df()
     assert len(got) == len(want)
     assert _rows(got) == _rows(want)
-
-
-@needs(SF0001)
-@pytest.mark.parametrize("key", sorted(NO_ORACLE))
-def test_rows_only_queries_run(spark, key):
-    assert E.queries()[key](spark, SF0001).count() > 0

@@ -61,7 +61,7 @@ def test_seeded_uniform_is_md5_prefix(spark):
     df = spark.createDataFrame([(i,) for i in range(50)], "id long")
     rows = df.select("id", seeded_uniform("id", 7, "md5").alias("u")).orderBy("id").collect()
     for r in rows:
-        expected = int(hashlib.md5(f"7:{r['id']}".encode()).hexdigest()[:8], 16) / 2**32
+        expected = int(hashlib.md5(f"7:{r['id']}".encode()).hexdigest()[:13], 16) / 2**52
         assert r["u"] == expected
         assert 0.0 <= r["u"] < 1.0
 

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from sheaf.operators import ratings as R
 from sheaf.sources import tables
@@ -46,6 +47,29 @@ def test_top_products_edge_cases(spark):
     assert math.isnan(allrows[-1].max_norm_rating)
 
 
+def test_rank_products_with_nan_and_ties(spark):
+    maxima = spark.createDataFrame(
+        [("d", 1.0), ("a", 2.0), ("c", float("nan")), ("b", 2.0), ("e", None)], "product_id string, max_norm_rating float"
+    )
+    ranked = {r["rank"]: r.product_id for r in R.rank_products(maxima.repartition(3)).collect()}
+    assert ranked == {1: "a", 2: "b", 3: "d", 4: "c", 5: "e"}
+    assert R.rank_products(maxima.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("fraction", [0, -0.1, 1.5])
+def test_hot_fraction_is_validated(spark, fraction):
+    with pytest.raises(ValueError):
+        R.attach_user_mean(_ratings(spark, [("p", "u", 1.0)]), hot_fraction=fraction)
+
+
+def test_user_keys_of_other_types_are_split_too(spark):
+    rows = [("p", i % 3 == 0 and None or f"2024-01-{1 + i % 5:02d}", float(i % 4)) for i in range(60)]
+    df = _ratings(spark, rows).withColumn("user_id", F.to_date("user_id"))
+    want = R.attach_user_mean(df, strategy="lazy_join").collect()
+    assert sorted(R.attach_user_mean(df, broadcast_max_rows=1).collect(), key=str) == sorted(want, key=str)
+    assert len(want) == 60
+
+
 def test_strategies_agree_and_partitioning_does_not_matter(spark):
     rows = [(f"p{i % 7}", f"u{i % 5}", float(i % 11)) for i in range(200)]
     df = _ratings(spark, rows)
@@ -89,8 +113,6 @@ def test_broadcast_only_within_the_bound(spark):
 
 
 def test_hot_user_split(spark):
-    from pyspark.sql import functions as F
-
     n = 3000
     df = spark.range(n).select(
         (F.col("id") % 97).cast("string").alias("product_id"),

@@ -124,10 +124,16 @@ def test_stratified_sample_rules(spark):
         SM.stratified_sample(df, 0, seed=3)
 
 
-def test_too_many_clusters_is_refused(spark):
-    df = spark.createDataFrame([(i, [float(i)], i) for i in range(5)], SCHEMA)
-    with pytest.raises(ValueError):
-        S.exact_silhouette(df, max_clusters=3)
+def test_null_labels_and_null_coordinates_fail_everywhere(spark):
+    rows = [(0, [0.0, 1.0], 0), (1, [1.0, 1.0], None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for run in (lambda: S.exact_silhouette(df).collect(), lambda: SM.stratified_sample(df, 5, 1).collect()):
+        with pytest.raises(Exception, match="null label"):
+            run()
+    holes = spark.createDataFrame([(0, [0.0, None], 0), (1, [1.0, 4.0], 0), (2, [2.0, 6.0], 0)], SCHEMA)
+    for dim in (2, None):
+        with pytest.raises(Exception):
+            S.cluster_moments(holes, dim).collect()
 
 
 def test_unequal_dimensions_fail(spark):
@@ -145,13 +151,12 @@ def test_golden_embeddings_sf001(spark):
     assert SM.stratified_sample(pts, 20, 7, draw="md5").count() == 177
 
 
-def test_arrow_blocks_and_many_clusters(spark, monkeypatch):
+def test_arrow_blocks_and_many_clusters(spark):
     rng = np.random.default_rng(11)
     pts = rng.normal(0, 3, size=(400, 5))
     cl = rng.integers(0, 60, size=400)
     df = _df(spark, pts, cl)
-    monkeypatch.setattr(S, "_ARROW_BLOCK_VALUES", 7)  # a few rows per numpy block
-    arrow = S.exact_silhouette(df, method="arrow").first().silhouette
+    arrow = S.exact_silhouette(df, method="arrow", block_clusters=25).first().silhouette  # three blocks
     lam = S.exact_silhouette(df, method="lambda").first().silhouette
     sizes = {c: int((cl == c).sum()) for c in np.unique(cl)}
     want, _ = brute_force(pts, cl, np.arange(len(pts)), sizes)
@@ -187,7 +192,8 @@ def test_cap_per_cluster_above_window_group_limit_threshold(spark):
     t = 1200
     capped = SM.cap_per_cluster(df, t)
     plan = capped._jdf.queryExecution().executedPlan().toString()
-    assert "MapInPandas" in plan or "PythonMapInArrow" in plan
+    assert "Python" not in plan and "MapIn" not in plan and "WindowExec" not in plan
+    assert SM.cap_per_cluster(df, n).count() == n  # t >= |C|: whole clusters
     got = sorted((r.cluster, r.id) for r in capped.collect())
     pdf = df.toPandas().sort_values(["cluster", "u", "id"])
     want = sorted((int(c), int(i)) for c, i in pdf.groupby("cluster").head(t)[["cluster", "id"]].itertuples(index=False))
@@ -195,21 +201,53 @@ def test_cap_per_cluster_above_window_group_limit_threshold(spark):
     assert SM.sample_cluster_sizes(capped).where("cluster = 0").first().sample_size == t
 
 
-def test_model_size_bound_counts_values_not_only_clusters(spark, monkeypatch):
+def test_models_above_a_block_are_evaluated_block_by_block(spark, monkeypatch):
     from sheaf.operators import clustering as CL
 
-    assert SM.model_row_limit(100_000, 768) == (1 << 24) // 768
-    assert SM.model_row_limit(10, 768) == 10
-    assert SM.model_row_limit(10, None) == 10
-    rows = [(i, [float(i), float(i % 3)], i % 3) for i in range(30)]
+    assert SM.model_block_rows(100_000, 768) == (1 << 24) // 768
+    assert SM.model_block_rows(10, 768) == 10
+    assert SM.model_block_rows(10, None) == 10
+    rows = [(i, [float(i), float(i % 3)], i % 7) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, point array<double>, cluster int")
-    small = lambda rows, dim: SM.model_row_limit(rows, dim, max_values=4)  # 2 clusters of dimension 2
-    monkeypatch.setattr(S, "model_row_limit", small)
-    with pytest.raises(ValueError, match="model values"):
-        S.exact_silhouette(df)
-    monkeypatch.setattr(CL, "model_row_limit", small)
-    with pytest.raises(ValueError, match="model values"):
-        CL.assign_nearest(df, CL.centroids(df, 2))
+    scores = lambda **kw: [(r.id, r.a, r.b, r.s) for r in S.exact_silhouette_scores(df, **kw).orderBy("id").collect()]
+    near = lambda **kw: [(r.id, r.nearest) for r in CL.assign_nearest(df, CL.centroids(df, 2), **kw).orderBy("id").collect()]
+    sums = lambda **kw: sorted(
+        (r.id, r.sample_cluster, r.dist_sum) for r in S.distance_sums_by_cluster(df, S.cluster_moments(df, 2), 2, **kw).collect()
+    )
+    whole, nearest, dist = scores(), near(), sums()
+    small = lambda rows, dim: SM.model_block_rows(rows, dim, max_values=4)  # two clusters of dimension 2 per block
+    monkeypatch.setattr(S, "model_block_rows", small)
+    monkeypatch.setattr(CL, "model_block_rows", small)
+    for method in ("codegen", "arrow", "lambda"):
+        np.testing.assert_allclose(scores(method=method), whole, rtol=1e-12)
+        assert near(method=method) == nearest
+        np.testing.assert_allclose(sums(method=method), dist, rtol=1e-12)
+
+
+def test_more_than_a_hundred_thousand_clusters(spark):
+    n = 100_001
+    df = spark.range(2 * n).select(
+        "id", F.array((F.col("id") % n).cast("double")).alias("point"), (F.col("id") % n).cast("int").alias("cluster")
+    )
+    sized = SM.attach_cluster_size(df, broadcast_max_rows=1000)  # beyond the broadcast bound
+    assert sized.agg(F.min("cluster_size"), F.max("cluster_size"), F.count("*")).first() == (2, 2, 2 * n)
+    blocks = list(S.moment_blocks(S.cluster_moments(df, 1), F.col("n"), block_clusters=60_000, dim=1))
+    assert [len(b) for b in blocks] == [60_000, 40_001]
+    few = df.where("id < 3")
+    scored = S.silhouette_scores(few, S.cluster_moments(df, 1), F.col("n"), 1)  # every cluster against three points
+    assert [(r.a, r.b, r.s) for r in scored.orderBy("id").collect()] == [(0.0, 1.0, 1.0)] * 3
+
+
+def test_distances_far_from_the_origin_agree_on_every_path(spark):
+    rows = [(0, [1e8], 0), (1, [1e8 + 1e-3], 1), (2, [-3e8], 2), (3, [1e160], 0), (4, [float("inf")], 1)]
+    pts = spark.createDataFrame(rows, "id long, point array<double>, cluster int")
+    moments = S.cluster_moments(pts.where("id < 3"), 1)
+    got = [
+        [(r.id, r.a, r.b, str(r.s)) for r in S.silhouette_scores(pts, moments, F.col("n"), 1, method=m).orderBy("id").collect()]
+        for m in ("codegen", "arrow", "lambda")
+    ]
+    assert got[0] == got[1] == got[2]
+    assert got[0][3][1] == float("inf") and 0 < got[0][0][2] < 1e-5
 
 
 def test_empty_inputs_give_empty_or_null_results(spark):
@@ -234,8 +272,8 @@ def test_empty_inputs_give_empty_or_null_results(spark):
     ),
     t=st.integers(1, 6),
 )
-def test_per_task_cut_equals_the_window_limit(spark, rows, t):
-    # Threshold 0 forces the explicit mapInPandas cut for every t; ties in u are broken by id.
+def test_places_in_order_equal_the_window_limit(spark, rows, t):
+    # Threshold 0 forces the range-partitioned places for every t; ties in u are broken by id.
     data = [(i, c, float(u)) for i, (c, u) in enumerate(rows)]
     df = spark.createDataFrame(data, "id long, cluster int, u double").repartition(3)
     key = "spark.sql.optimizer.windowGroupLimitThreshold"

@@ -116,7 +116,7 @@ def q_report_top_products(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------- word count
 def _tokens(spark: SparkSession, sf: str, with_pos: bool = False) -> DataFrame:
-    return wordcount.tokenize(lines_from_column(tables.documents(spark, sf)), with_pos=with_pos)
+    return wordcount.tokenize(lines_from_column(tables.spread(tables.documents(spark, sf))), with_pos=with_pos)
 
 
 def q_java_split(spark: SparkSession, sf: str) -> DataFrame:

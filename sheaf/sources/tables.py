@@ -91,6 +91,16 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the session has cores.
+
+    A table of few row groups would keep tokenising in as few tasks; one
+    with enough splits already is left alone, so nothing large is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str, num_partitions: int | None = None) -> DataFrame:
     """Documents (doc_id, text); optional round-robin repartition (X1)."""
     df = read_table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -107,7 +107,7 @@ def odd_sketch(samples: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def _features(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.RecordBatch]:
+def _features(batches: Iterator[pa.RecordBatch], bands: int, carried: tuple[str, ...] = ()) -> Iterator[pa.RecordBatch]:
     uid = TaskContext.get().partitionId() << 40
     place = np.arange(bands, dtype=np.uint64)
     for batch in batches:
@@ -126,7 +126,8 @@ def _features(batches: Iterator[pa.RecordBatch], bands: int) -> Iterator[pa.Reco
         names = ["uid", "doc_id", "n_shingles", "set_key", "bands", "sketch"]
         types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), types)], names=names)
+            made = [pa.array(list(c), t) for c, t in zip(zip(*rows), types)]
+            yield pa.RecordBatch.from_arrays(made + [batch.column(c) for c in carried], names=[*names, *carried])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,27 +253,44 @@ class _Search:
         return connected_components(self.links)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def _components(docs: DataFrame, threshold: float, *carried: str) -> DataFrame:
+    """(doc_id, n_shingles, comp, ``carried`` long columns), one row per row of ``docs``; empty sets have no comp."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carried)
     bands = n_bands(threshold)
+    schema = "uid bigint, doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
     features = write_scratch(
-        docs.mapInArrow(
-            lambda it: _features(it, bands),
-            "uid bigint, doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>",
-        ),
+        docs.mapInArrow(lambda it: _features(it, bands, carried), ", ".join([schema, *[f"{c} bigint" for c in carried]])),
         "features",
     )
     search = _Search(docs, features, threshold)
     comps = search.run()
-    # classes -> components -> the smallest doc_id of each
     keyed = search.classes.join(comps, F.col("cid") == F.col("node"), "left").select(
         "set_key", F.coalesce("comp", "cid").alias("comp")
     )
-    rows = write_scratch(
-        features.select("doc_id", "n_shingles", "set_key").join(keyed, "set_key", "left"), "doc-comps"
+    return write_scratch(
+        features.select("doc_id", "n_shingles", "set_key", *carried).join(keyed, "set_key", "left"), "doc-comps"
     )
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``."""
+    rows = _components(docs, threshold)
+    # components -> the smallest doc_id of each
     least = rows.where("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     out = rows.join(least, "comp", "left")
     component = F.when(F.col("comp").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies: exactly one row of each
+    component stays, by doc_id (nulls last), text hash and place in a written table.
+    Rows with empty sets stay."""
+    table = write_scratch(docs.select(F.struct("*").alias("_row"), F.monotonically_increasing_id().alias("_place")), "numbered")
+    read = table.select("_row.doc_id", "_row.text", F.xxhash64("_row.text").alias("_hash"), "_place")
+    rows = _components(read, threshold, "_hash", "_place").where("comp is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash", "_place"))
+    stay = rows.groupBy("comp").agg(first.alias("f")).select(F.col("f._place").alias("_place"))
+    gone = write_scratch(rows.select("_place").join(stay, "_place", "left_anti"), "near-gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return table.join(gone, "_place", "left_anti").select("_row.*")

@@ -295,6 +295,20 @@ def test_near_duplicates_in_a_chain(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(data, 85)
 
 
+def test_near_stage_decides_per_row(spark):
+    """Null and repeated doc_ids: clean rows stay, one row of each group stays."""
+    reach_workers(spark)
+    a, b, c, d, e, f, g = (prose(200 + k, 90) for k in range(7))
+    data = [(1, a), (None, a + " more"), (None, b), (2, c), (2, a + " end"), (None, d), (None, d), (None, d + " x"), (3, e), (3, e), (4, f), (None, f), (None, None), (None, "")]
+    df = spark.createDataFrame([(i, t, g) for i, t in data], "doc_id long, text string, extra string").repartition(3)
+    out = corpus_pipeline.near(spark, df, "")
+    got = Counter((r.doc_id, r.text) for r in out.collect())
+    assert out.columns == df.columns
+    (third,) = [t for i, t in got if i is None and t and t.startswith(d)]
+    assert third in (d, d + " x")
+    assert got == Counter([(1, a), (None, b), (2, c), (None, third), (3, e), (4, f), (None, None), (None, "")])
+
+
 # --------------------------------------------------- decontamination, op 10
 def words10(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))

@@ -218,6 +218,38 @@ def test_fuzzy_lines(spark, docs, none):
     assert fuzzylines.dedup_lines(none).collect() == []
 
 
+def edits(x, y):
+    row = list(range(len(y) + 1))
+    for i, a in enumerate(x, 1):
+        last, row[0] = row[0], i
+        for j, b in enumerate(y, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (a != b))
+    return row[-1]
+
+
+def test_lines_with_changed_words_are_candidates(spark):
+    """Recall against all pairs: short lines with a changed word and long ones with up to a twentieth of their words changed."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 9)))
+    lines = []
+    for k in range(90):
+        base = [word() for _ in range([9, 14, 20, 35][k % 4])]
+        copy = list(base)
+        for at in rng.choice(len(base), max(1, len(base) // 20), replace=False):
+            copy[at] = copy[at][:1] + word()[: max(1, len(copy[at]) - 1)]
+        lines += [" ".join(base), " ".join(copy)]
+    near = lambda x, y: abs(len(x) - len(y)) * 10 <= max(len(x), len(y)) and edits(x, y) * 10 <= max(len(x), len(y))
+    # different bases have nothing in common: links stay within a base and its copy
+    assert not any(near(x, y) for x in lines[:8:2] for y in lines[8:16])
+    want = [k for k in range(0, len(lines), 2) if lines[k] != lines[k + 1] and near(lines[k], lines[k + 1])]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in fuzzylines.dedup_lines(df).collect()}
+    assert len(want) >= 60
+    found = [k for k in want if got[k + 1]]
+    assert len(found) >= 0.95 * len(want)
+    assert not any(n for k, n in got.items() if k % 2 == 0 or k - 1 not in want and lines[k] != lines[k - 1])
+
+
 def test_simhash_of_long_and_short_lines(spark):
     lines = ["a b c d e f g h i", "w " * 20_000 + "x", prose(3, 70)]
     df = spark.createDataFrame(list(enumerate(lines)), "k int, norm string").select("k", F.trim("norm").alias("norm"))

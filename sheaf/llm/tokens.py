@@ -6,7 +6,8 @@ pre-token (`` ?\\p{L}+`` and its siblings take one space in front, no
 pattern takes one behind).  So the ids of a text are the ids of its
 space-separated chunks, and each distinct chunk is encoded once per
 worker.  Texts with other white space at a chunk's edge are cut only at
-the spaces for which this holds.
+the spaces for which this holds.  Added tokens (``<|endoftext|>``) have
+their own ids, as in the library: texts are cut at them first.
 """
 
 from __future__ import annotations
@@ -34,20 +35,24 @@ def default_tokenizer_path() -> str:
 
 
 class ChunkEncoder:
-    """Encodes whole texts; ``add_special_tokens=False``, special strings are ordinary text."""
+    """Encodes whole texts; ``add_special_tokens=False``, as the library does."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("the memo packs ids into 16 bits")
         #: chunk -> ids as little-endian uint16 bytes, with and without a space in front.
         self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
         self.marks = {c: self._ids(c) for c in ".,\n"}
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = {t.content: array("H", [k]).tobytes() for k, t in added.items()}
+        self.added_cut = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")")
+        #: Added tokens that take nothing from their surroundings: a text may be cut at them.
+        self.added_plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized and self.tokenizer.normalizer for t in added.values())
         #: The byte alphabet of byte-level BPE: printable bytes stand for themselves, the rest follow from U+0100.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         moved = [b for b in range(256) if b not in own]
@@ -107,6 +112,26 @@ class ChunkEncoder:
 
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint16 ids of each whole text; null is the empty text."""
+        special = [n for n, t in enumerate(texts) if t and any(c in t for c in self.added)]
+        if not special:
+            return self._encode_ordinary(texts)
+        cut = dict.fromkeys(special) if not self.added_plain else {n: self.added_cut.split(texts[n]) for n in special}
+        ordinary = [[t] if n not in cut else [] if cut[n] is None else cut[n][::2] for n, t in enumerate(texts)]
+        ids = iter(self._encode_ordinary([t for parts in ordinary for t in parts]))
+        out = []
+        for n, parts in enumerate(ordinary):
+            if n in cut and cut[n] is None:
+                out.append(np.frombuffer(self._ids(texts[n]), dtype="<u2"))
+                continue
+            pieces = [next(ids) for _ in parts]
+            if n in cut:
+                marks = [np.frombuffer(self.added[c], dtype="<u2") for c in cut[n][1::2]]
+                pieces = [x for pair in zip(pieces, marks) for x in pair] + pieces[-1:]
+            out.append(np.concatenate(pieces) if len(pieces) > 1 else pieces[0])
+        return out
+
+    def _encode_ordinary(self, texts: list[str | None]) -> list[np.ndarray]:
+        """``encode_many`` of texts without added tokens."""
         for memo in (self.spaced, self.bare):
             if len(memo) > MAX_MEMO:
                 memo.clear()

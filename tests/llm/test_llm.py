@@ -63,6 +63,17 @@ def test_encoder_equals_the_library():
         assert got.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_ids():
+    from tokenizers import Tokenizer
+
+    fresh, enc = Tokenizer.from_file(default_tokenizer_path()), ChunkEncoder(default_tokenizer_path())
+    e = "<|endoftext|>"
+    texts = ["plain text", e, e + e, f"{e} hi", f"a {e}b", f"a  {e}  b. c", f"x{e}y z\n{e}\n", None, "", "<|endoftext| >", *[r[1] for r in rows() if r[1]]]
+    for text, got in zip(texts, enc.encode_many(texts), strict=True):
+        assert got.tolist() == fresh.encode(text or "", add_special_tokens=False).ids
+    assert 50256 in enc.encode(f"a{e}")
+
+
 def tokens(text, end):
     enc = ChunkEncoder(default_tokenizer_path())
     return np.append(enc.encode(text), end).astype("<u4")

@@ -12,6 +12,10 @@ pages that name their article (``article``, ``main``, articleBody) label
 their own nodes; the counts start from fixed prior counts for well-known
 tags and class words, so pages of other make are judged too.
 
+An unclosed raw-text element takes the rest of the page, as in browsers.
+Other embedded elements go with all they hold when they are closed; an
+unclosed one is a node whose own text is not content, and the page goes on.
+
 Defined results: null and empty html give empty text; text outside any
 element counts as the body's; unclosed and stray tags are mended as
 browsers mostly do; null ids and repeated rows are pages like others; an
@@ -35,9 +39,11 @@ from pyspark.sql import functions as F
 #: Pages learned from, about.
 SAMPLE_PAGES = 400
 
-# HTML's void, raw-text and inline elements, and what a start tag closes.
+# HTML's void, raw-text, embedded (those that do not nest apart) and inline elements, and what a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title svg iframe math select button object audio video canvas".split())
+RAW = frozenset("script style noscript template textarea title iframe".split())
+HIDDEN = frozenset("svg math select button object audio video canvas".split())
+UNNESTED = frozenset("select button".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split()
 )
@@ -64,6 +70,8 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 CLASS_WORD = re.compile(r"[a-z]+")
+END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I | re.A) for t in RAW}
+TAGS = {t: re.compile(rf"<(/?){t}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I | re.A) for t in HIDDEN}
 
 
 @dataclass
@@ -75,17 +83,34 @@ class Node:
     linked: int = 0
 
 
+def closed(page: str, tag: str) -> dict[int, int]:
+    """Ends of the closed ``tag`` elements of a page, by where their start tags end."""
+    out: dict[int, int] = {}
+    open_: list[int] = []
+    for m in TAGS[tag].finditer(page):
+        if m.group(1):
+            if open_:
+                out[open_.pop()] = m.end()
+        elif not m.group().endswith("/>"):
+            if tag in UNNESTED:
+                open_.clear()
+            open_.append(m.end())
+    return out
+
+
 def parse(page: str) -> list[Node]:
     """Block elements in page order, parents first; inline elements belong to their block."""
     nodes = [Node("body", -1)]
     stack: list[tuple[str, int]] = []  # open elements: (tag, block node), inline ones too
     here, order, links, at = 0, 0, 0, 0
     pieces: list[str] = []
-    low = None
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal order, pieces
-        if pieces:
+        if pieces and nodes[here].tag in HIDDEN:
+            pieces = []
+        elif pieces:
             nodes[here].runs.append((order, "".join(pieces)))
             order += 1
             pieces = []
@@ -127,15 +152,17 @@ def parse(page: str) -> list[Node]:
             continue
         if tag in RAW:
             if not token.endswith("/>"):
-                low = page.lower() if low is None else low
-                end = low.find("</" + tag, at)
-                if end < 0:
-                    at = len(page)
-                else:
-                    stop = page.find(">", end)
-                    at = len(page) if stop < 0 else stop + 1
+                end = END[tag].search(page, at)
+                at = end.end() if end else len(page)
             pieces.append(" ")
             continue
+        if tag in HIDDEN:
+            if tag not in ends:
+                ends[tag] = closed(page, tag)
+            if token.endswith("/>") or at in ends[tag]:
+                at = ends[tag].get(at, at)
+                pieces.append(" ")
+                continue
         if tag in VOID:
             pieces.append(" ")
             continue

@@ -289,6 +289,25 @@ def test_html(spark):
     assert htmltree.extract(df.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "svg", "object", "video", "audio", "canvas", "math"])
+def test_html_goes_on_after_unclosed_elements(tag):
+    model = htmltree.fit_counts(htmltree.count_page(PAGE))
+    want = "Head & more First bold text, here. Next. Second one."
+    for start in (f"<{tag} x=1>hidden", f"<div><{tag}>hidden</div>", f"<{tag}>hidden<p></p></{tag.upper()} >", f"<{tag}/>", f"<{tag}><{tag}>hidden</{tag}>"):
+        assert htmltree.main_text(PAGE.replace("<article>", start + "<article>"), model) == want, start
+    if tag not in ("button", "select"):
+        inner = f"<{tag}><{tag}>hidden</{tag}><p>hidden too</p></{tag}>"
+        assert htmltree.main_text(PAGE.replace("<h1>", inner + "<h1>"), model) == want
+
+
+def test_html_raw_text_ends():
+    model = htmltree.fit_counts(htmltree.count_page(PAGE))
+    want = "Head & more First bold text, here. Next. Second one."
+    dotted = "<nav>" + "\u0130" * 40 + "</nav><SCRIPT>var a = '</scripted>';</Script>"
+    assert htmltree.main_text(PAGE.replace("<article>", dotted + "<article>"), model) == want
+    assert htmltree.main_text(PAGE.replace("<article>", "<script><article>"), model) == ""
+
+
 def test_marginals_are_exact():
     nodes = htmltree.parse(PAGE)[:9]
     model = htmltree.fit_counts(htmltree.count_page(PAGE))

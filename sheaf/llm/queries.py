@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, rans, sharding, toxicity
+from sheaf.llm import crosstok, decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, rans, sharding, toxicity
 from sheaf.llm.common import documents, table
 from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
@@ -67,6 +67,12 @@ def op10_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf), table(spark, sf, "benchmark"), width=10)
 
 
+def op13_crosstok(spark: SparkSession, sf: str) -> DataFrame:
+    return crosstok.alignment_report(documents(spark, sf)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: fn for name, fn in sorted(globals().items()) if name.startswith("op") and callable(fn)
 }

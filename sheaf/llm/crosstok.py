@@ -43,9 +43,9 @@ from sheaf.llm.common import write_scratch
 from sheaf.llm.tokens import default_tokenizer_path
 
 #: Chunks remembered per worker before the memory starts anew (about 400 bytes each).
-MAX_MEMO = 600_000
+MAX_MEMO = 250_000
 #: Bytes of text handled at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 #: Distinct pairs a task holds before it hands them on.
 MAX_HELD = 1 << 20
 

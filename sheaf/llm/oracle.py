@@ -24,4 +24,23 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-ORACLE = {"op10_decontamination": OP10}
+OP11 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS alike, b.vec_id AS id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM r a JOIN r b ON a.vec_id % 50 = 0 AND a.vec_id IS DISTINCT FROM b.vec_id AND len(a.q) = len(b.q)),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
+ORACLE = {"op10_decontamination": OP10, "op11_anchor_tree": OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import anchortree, crosstok, decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, rans, sharding, toxicity
+from sheaf.llm import anchortree, crosstok, decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, rans, sharding, suffixdedup, toxicity
 from sheaf.llm.common import documents, table
 from sheaf.llm.oracle import ORACLE
 from sheaf.llm.tokens import default_tokenizer_path
@@ -72,6 +72,10 @@ def op11_anchor_tree(spark: SparkSession, sf: str) -> DataFrame:
     return anchortree.hard_negatives(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, label)
 
 
+def op12_induced_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixdedup.removal_report(documents(spark, sf), width=400)
+
+
 def op13_crosstok(spark: SparkSession, sf: str) -> DataFrame:
     return crosstok.alignment_report(documents(spark, sf)).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"

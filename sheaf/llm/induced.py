@@ -187,7 +187,7 @@ class _Level:
         x = np.searchsorted(self.units, self.units[a] + lcp) if self.names else a + lcp
         y = np.searchsorted(self.units, self.units[b] + lcp) if self.names else b + lcp
         last = len(self.s) - 1
-        whole = (x <= last) & (y <= last)
+        whole = (x <= last) & (y <= last) & (lcp < self.cap)
         x, y = np.minimum(x, last), np.minimum(y, last)
         whole &= (self.units[x] - self.units[a] == lcp) & (self.units[y] - self.units[b] == lcp) & (self.s[x] == self.s[y])
         at = np.flatnonzero(whole)
@@ -196,7 +196,9 @@ class _Level:
         out = lcp.copy()
         out[at] = self.units[x + step] - self.units[a[at]]
         if self.names:
-            out[at] += self.names(self.s[x + step], self.s[y + step])
+            x, y = self.s[x + step], self.s[y + step]
+            other = np.flatnonzero(x != y)
+            out[at[other]] += self.names(x[other], y[other])
         return out
 
     def order(self, at: np.ndarray, rank: np.ndarray | None, common: RangeMin | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

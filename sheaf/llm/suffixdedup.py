@@ -12,9 +12,11 @@ stands (same text included; overlaps count; judged on the input).
 2. *Pre-aggregation.*  Keys are counted (combined in the tasks); only
    segments under repeated keys send their bytes on.  Equal segments become
    one with its number: their strings are repeated, without any sorting.
+   Different segments under one key are cut into ranges of ``FINE`` places
+   and go through the same once more, with keys of almost whole strings.
 3. *Induced sorting* (``induced.suffix_order``) of the different segments
-   that share a key, shard by shard: neighbours in suffix order with a common
-   prefix of ``width`` are repeated strings.
+   that still share a key, shard by shard: neighbours in suffix order with a
+   common prefix of ``width`` are repeated strings.
 4. Marks go back to the texts; covered bytes are removed.
 
 Texts are known by their SHA-256, so a text of any number of copies is
@@ -32,7 +34,7 @@ null ids stay null.  Other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +52,8 @@ SHARD_BYTES = 2 << 20
 HOT_SEGMENTS = 2048
 #: Places looked at as one block in a very long text (positions in a block take 24 bits).
 BLOCK = 1 << 22
+#: Places of a fine segment.
+FINE = 16
 _MASK = np.uint64((1 << 24) - 1)
 
 
@@ -64,7 +68,7 @@ class Shape:
         self.half = -(-self.grams // 2)
         self.core = width - self.half + 1
         rng = np.random.default_rng(9)  # fixed odd factors of the hashes
-        self.factors = rng.integers(0, 1 << 63, self.core // 8 + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.factors = rng.integers(0, 1 << 63, width // 8 + 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _words(buffer: np.ndarray) -> np.ndarray:
@@ -90,8 +94,19 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(right[:n], left[width - 1 : width - 1 + n])
 
 
-def segments(texts: list[bytes], shape: Shape) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(text, key, first place, last place) of the segments of some texts, in blocks."""
+def _key(words: np.ndarray, start: np.ndarray, length: int, seed: np.ndarray, shape: Shape) -> np.ndarray:
+    """Hash of ``length`` bytes (whole eights) from each start."""
+    key = seed.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    for k in range(length // 8):
+        key = _mix(key ^ (words[start + 8 * k] * shape.factors[k]))
+    return key
+
+
+def segments(texts: list[bytes], shape: Shape) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text, key, first place, last place, shift) of the segments of some texts, in blocks.
+
+    ``shift``: places of the segment's range before the first.
+    """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
     total = int(sizes.sum())
@@ -117,12 +132,27 @@ def segments(texts: list[bytes], shape: Shape) -> Iterator[tuple[np.ndarray, np.
         first, last = place[new], place[np.r_[new[1:], len(place)] - 1]
         # the bytes common to all strings of the range, from its last place on
         core = anchor[new] - side[new] * shape.half
-        key = side[new].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        for k in range(shape.core // 8):
-            key = _mix(key ^ (words[core + 8 * k] * shape.factors[k]))
+        key = _key(words, core, shape.core, side[new], shape)
         text = np.searchsorted(starts, first, side="right") - 1
         # texts of no bytes share a start with the next; the last of them is meant
-        yield text, key.view(np.int64), first - starts[text], last - starts[text]
+        yield text, key.view(np.int64), first - starts[text], last - starts[text], first - core + shape.half - 1
+
+
+def fine_segments(pieces: list[bytes], keys: np.ndarray, shifts: np.ndarray, shape: Shape, fine: int = FINE) -> Iterator[tuple[np.ndarray, ...]]:
+    """As ``segments``, of pieces that are segments themselves: the parts of ``fine`` places of their ranges."""
+    sizes = np.array([len(p) for p in pieces], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    words = _words(np.frombuffer(b"".join([*pieces, bytes(8)]), dtype=np.uint8))
+    strings = sizes - shape.width + 1
+    parts = (shifts + strings - 1) // fine - shifts // fine + 1
+    piece = np.repeat(np.arange(len(pieces)), parts)
+    part = np.arange(len(piece)) - np.repeat(np.cumsum(parts) - parts, parts) + (shifts // fine)[piece]
+    first = np.maximum(part * fine - shifts[piece], 0)
+    last = np.minimum(part * fine + fine - 1 - shifts[piece], strings[piece] - 1)
+    core = part * fine + fine - 1 - shifts[piece] + starts[piece]
+    seed = keys[piece].view(np.uint64) + part.astype(np.uint64)
+    key = _key(words, core, shape.width - fine + 1, seed, shape)
+    yield piece, key.view(np.int64), first, last, np.zeros(len(piece), dtype=np.int64)
 
 
 def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
@@ -136,39 +166,71 @@ def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield start, len(sizes)
 
 
-def find_segments(texts: DataFrame, shape: Shape) -> DataFrame:
-    """(key, h, first, last) of all segments of (h, data)."""
+LISTED = "key long, h binary, n long, first long, last long, shift long"
+
+
+def find_segments(texts: DataFrame, shape: Shape, fine: bool = False) -> DataFrame:
+    """(key, h, n, first, last, shift) of all segments of (h, data, n), or the fine ones of (h, data, n, key, shift)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = batch.column(1).to_pylist()
             for start, end in _slices([len(d) for d in data]):
-                own = batch.column(0).slice(start, end - start)
-                for text, key, first, last in segments(data[start:end], shape):
-                    cells = [pa.array(key), own.take(pa.array(text)), pa.array(first), pa.array(last)]
-                    yield pa.RecordBatch.from_arrays(cells, names=["key", "h", "first", "last"])
+                own = batch.slice(start, end - start)
+                if fine:
+                    found = fine_segments(data[start:end], own.column(3).to_numpy(), own.column(4).to_numpy(), shape)
+                else:
+                    found = segments(data[start:end], shape)
+                for text, key, *places in found:
+                    text = pa.array(text)
+                    cells = [pa.array(key), own.column(0).take(text), own.column(2).take(text), *map(pa.array, places)]
+                    yield pa.RecordBatch.from_arrays(cells, names=["key", "h", "n", "first", "last", "shift"])
 
-    return texts.select("h", "data").mapInArrow(run, "key long, h binary, first long, last long")
+    return texts.select("h", "data", "n", *(["key", "shift"] if fine else [])).mapInArrow(run, LISTED)
 
 
 def cut_segments(texts: DataFrame, width: int) -> DataFrame:
-    """(key, h, first, digest, piece) of the listed segments of (h, data, found)."""
+    """(key, h, n, first, shift, digest, piece) of the listed segments of (h, data, n, found)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, data, found in zip(*(batch.column(c).to_pylist() for c in ("h", "data", "found"))):
+            for h, data, n, found in zip(*(batch.column(c).to_pylist() for c in ("h", "data", "n", "found"))):
                 for k in range(0, len(found), 4096):
                     part = found[k : k + 4096]
                     pieces = [data[x["first"] : x["last"] + width] for x in part]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([x["key"] for x in part], pa.int64()), pa.array([h] * len(part), pa.binary()), pa.array([x["first"] for x in part], pa.int64()),
+                            pa.array([x["key"] for x in part], pa.int64()), pa.array([h] * len(part), pa.binary()), pa.array([n] * len(part), pa.int64()),
+                            *(pa.array([x[c] for x in part], pa.int64()) for c in ("first", "shift")),
                             pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in pieces], pa.binary()), pa.array(pieces, pa.binary()),
                         ],
-                        names=["key", "h", "first", "digest", "piece"],
+                        names=["key", "h", "n", "first", "shift", "digest", "piece"],
                     )
 
-    return texts.select("h", "data", "found").mapInArrow(run, "key long, h binary, first long, digest binary, piece binary")
+    schema = "key long, h binary, n long, first long, shift long, digest binary, piece binary"
+    return texts.select("h", "data", "n", "found").mapInArrow(run, schema)
+
+
+def repeated_places(texts: DataFrame, listed: DataFrame, width: int, rest: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(h, low, high): places of (h, data, n) whose strings are repeated, given the texts'
+    segments; and the texts that may have such places.
+
+    ``rest`` marks, as (digest, low, high), the different pieces (key, digest,
+    piece, n, shift, kinds) that share a key.
+    """
+    keys = listed.groupBy("key").agg(F.sum("n").alias("times")).where("times > 1").select("key")
+    listed = listed.join(keys, "key").groupBy("h").agg(F.collect_list(F.struct("key", "first", "last", "shift")).alias("found"))
+    texts = write_scratch(texts.join(listed, "h"), "holders")
+    cut = write_scratch(cut_segments(texts, width), "pieces")
+    distinct = cut.groupBy("key", "digest").agg(F.sum("n").alias("n"), F.first("shift").alias("shift"), F.first("piece").alias("piece"))
+    distinct = write_scratch(distinct, "distinct-pieces")
+    kinds = write_scratch(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "keys")
+    # one kind of segment under a key: all its strings are repeated, or none
+    alone = distinct.join(kinds, "key", "left_anti").where("n > 1")
+    alone = alone.select("digest", F.lit(0).cast("long").alias("low"), (F.octet_length("piece") - width).cast("long").alias("high"))
+    marks = write_scratch(alone.unionByName(rest(distinct.join(kinds, "key"))), "marks")
+    placed = cut.select("digest", "h", "first").join(marks, "digest")
+    return placed.select("h", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high")), texts
 
 
 def _runs(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,27 +339,22 @@ def repeated_strings(
     # one row of each text; only copied texts take part in the grouping, combined in the tasks
     singles = long_.join(copied.select("h"), "h", "left_anti")
     once = long_.join(copied.select("h"), "h", "left_semi").groupBy("h").agg(F.first("data").alias("data"))
-    texts = singles.unionByName(write_scratch(once, "copied-texts"))
-
-    found = write_scratch(find_segments(texts, shape), "segments")
-    keys = found.groupBy("key").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("key")
-    listed = found.join(keys, "key").groupBy("h").agg(F.collect_list(F.struct("key", "first", "last")).alias("found"))
-    texts = write_scratch(texts.join(listed, "h"), "texts-with-segments")
-
-    cut = write_scratch(cut_segments(texts, width), "pieces")
-    distinct = cut.groupBy("key", "digest").agg(F.count(F.lit(1)).alias("n"), F.first("piece").alias("piece"))
-    distinct = write_scratch(distinct, "distinct-pieces")
-    kinds = write_scratch(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "keys")
-    # one kind of segment under a key: all its strings are repeated, or none
-    alone = distinct.join(kinds, "key", "left_anti").where("n > 1")
-    alone = alone.select("digest", F.lit(0).cast("long").alias("low"), (F.octet_length("piece") - width).cast("long").alias("high"))
-    mixed = distinct.join(kinds, "key")
-    sorted_ = sort_shards(mixed.where(F.col("kinds") <= hot_segments), width, shard_bytes, queue_rows, scratch_path(spark, "queues"))
-    hot = combine_strings(mixed.where(F.col("kinds") > hot_segments), width)
-    marks = write_scratch(alone.unionByName(sorted_).unionByName(hot), "marks")
-
-    placed = cut.select("digest", "h", "first").join(marks, "digest")
-    placed = placed.select("h", (F.col("first") + F.col("low")).alias("low"), (F.col("first") + F.col("high")).alias("high"))
+    texts = singles.unionByName(write_scratch(once, "copied-texts")).withColumn("n", F.lit(1).cast("long"))
+
+    def sort_or_combine(mixed: DataFrame) -> DataFrame:
+        queues = scratch_path(spark, "queues")
+        ordered = sort_shards(mixed.where(F.col("kinds") <= hot_segments), width, shard_bytes, queue_rows, queues)
+        return ordered.unionByName(combine_strings(mixed.where(F.col("kinds") > hot_segments), width))
+
+    def refine(mixed: DataFrame) -> DataFrame:
+        # the same bytes have the same key and shift
+        pieces = mixed.select(F.col("digest").alias("h"), F.col("piece").alias("data"), "n", "key", "shift")
+        pieces = write_scratch(pieces, "mixed-pieces")
+        fine = write_scratch(find_segments(pieces, shape, fine=True), "fine-segments")
+        return repeated_places(pieces, fine, width, sort_or_combine)[0].withColumnRenamed("h", "digest")
+
+    listed = write_scratch(find_segments(texts, shape), "segments")
+    placed, texts = repeated_places(texts, listed, width, refine)
     placed = placed.groupBy("h").agg(F.collect_list(F.struct("low", "high")).alias("marks"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     lost = remove_marked(texts.join(copied.select("h"), "h", "left_anti").join(placed, "h"), width)

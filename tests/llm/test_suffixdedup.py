@@ -95,7 +95,7 @@ def test_blocks_of_long_texts(monkeypatch):
     def keys():
         """Key of the string at each place."""
         out = {}
-        for text, key, first, last in suffixdedup.segments(texts, shape):
+        for text, key, first, last, _ in suffixdedup.segments(texts, shape):
             for t, k, a, b in zip(text.tolist(), key.tolist(), first.tolist(), last.tolist()):
                 out |= {(t, p): k for p in range(a, b + 1)}
         return out

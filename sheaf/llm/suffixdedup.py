@@ -43,11 +43,14 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import scratch_path, write_scratch
 from sheaf.llm.induced import suffix_order
+from sheaf.operators.joins import broadcast_if_small, join_group_values
 
 #: Bytes of text handled at a time while segments are looked for.
 SLICE_BYTES = 4 << 20
 #: Bytes of segments sorted as one shard.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 1 << 20
+#: Repeated keys sent to every task; beyond, only the hot ones are (see ``join_group_values``).
+KEYS_BROADCAST = 50_000
 #: Different segments of one key beyond which its strings are combined one by one.
 HOT_SEGMENTS = 2048
 #: Places looked at as one block in a very long text (positions in a block take 24 bits).
@@ -192,20 +195,22 @@ def find_segments(texts: DataFrame, shape: Shape, fine: bool = False) -> DataFra
 def cut_segments(texts: DataFrame, width: int) -> DataFrame:
     """(key, h, n, first, shift, digest, piece) of the listed segments of (h, data, n, found)."""
 
+    names = ["key", "h", "n", "first", "shift", "digest", "piece"]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             for h, data, n, found in zip(*(batch.column(c).to_pylist() for c in ("h", "data", "n", "found"))):
-                for k in range(0, len(found), 4096):
-                    part = found[k : k + 4096]
-                    pieces = [data[x["first"] : x["last"] + width] for x in part]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([x["key"] for x in part], pa.int64()), pa.array([h] * len(part), pa.binary()), pa.array([n] * len(part), pa.int64()),
-                            *(pa.array([x[c] for x in part], pa.int64()) for c in ("first", "shift")),
-                            pa.array([hashlib.blake2b(p, digest_size=16).digest() for p in pieces], pa.binary()), pa.array(pieces, pa.binary()),
-                        ],
-                        names=["key", "h", "n", "first", "shift", "digest", "piece"],
-                    )
+                for x in found:
+                    first = x["first"]
+                    piece = data[first : x["last"] + width]
+                    held.append((x["key"], h, n, first, x["shift"], hashlib.blake2b(piece, digest_size=16).digest(), piece))
+                    if len(held) == 4096:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+                        held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
 
     schema = "key long, h binary, n long, first long, shift long, digest binary, piece binary"
     return texts.select("h", "data", "n", "found").mapInArrow(run, schema)
@@ -218,8 +223,8 @@ def repeated_places(texts: DataFrame, listed: DataFrame, width: int, rest: Calla
     ``rest`` marks, as (digest, low, high), the different pieces (key, digest,
     piece, n, shift, kinds) that share a key.
     """
-    keys = listed.groupBy("key").agg(F.sum("n").alias("times")).where("times > 1").select("key")
-    listed = listed.join(keys, "key").groupBy("h").agg(F.collect_list(F.struct("key", "first", "last", "shift")).alias("found"))
+    keys = listed.groupBy("key").agg(F.sum("n").alias("times")).where("times > 1")
+    listed = join_group_values(listed, keys, ["key"], "times", KEYS_BROADCAST).groupBy("h").agg(F.collect_list(F.struct("key", "first", "last", "shift")).alias("found"))
     texts = write_scratch(texts.join(listed, "h"), "holders")
     cut = write_scratch(cut_segments(texts, width), "pieces")
     distinct = cut.groupBy("key", "digest").agg(F.sum("n").alias("n"), F.first("shift").alias("shift"), F.first("piece").alias("piece"))
@@ -335,10 +340,10 @@ def repeated_strings(
     names = write_scratch(rows.select("id", F.octet_length("data").cast("long").alias("n_bytes"), "h"), "texts")
     long_ = rows.where(F.octet_length("data") >= width).select("h", "data")
     copied = names.where(F.col("n_bytes") >= width).groupBy("h").agg(F.count(F.lit(1)).alias("copies"), F.first("n_bytes").alias("n_bytes"))
-    copied = write_scratch(copied.where("copies > 1"), "copied")
+    copied, _ = broadcast_if_small(copied.where("copies > 1"))
     # one row of each text; only copied texts take part in the grouping, combined in the tasks
-    singles = long_.join(copied.select("h"), "h", "left_anti")
-    once = long_.join(copied.select("h"), "h", "left_semi").groupBy("h").agg(F.first("data").alias("data"))
+    singles = long_.join(copied, "h", "left_anti")
+    once = long_.join(copied, "h", "left_semi").groupBy("h").agg(F.first("data").alias("data"))
     texts = singles.unionByName(write_scratch(once, "copied-texts")).withColumn("n", F.lit(1).cast("long"))
 
     def sort_or_combine(mixed: DataFrame) -> DataFrame:
@@ -357,7 +362,7 @@ def repeated_strings(
     placed, texts = repeated_places(texts, listed, width, refine)
     placed = placed.groupBy("h").agg(F.collect_list(F.struct("low", "high")).alias("marks"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
-    lost = remove_marked(texts.join(copied.select("h"), "h", "left_anti").join(placed, "h"), width)
+    lost = remove_marked(texts.join(copied, "h", "left_anti").join(placed, "h"), width)
     gone = copied.select("h", whole.alias("spans"), F.lit("").cast("binary").alias("kept"))
     return names.withColumnRenamed("id", id_col), write_scratch(lost.unionByName(gone), "removed")
 

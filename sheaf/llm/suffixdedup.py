@@ -49,8 +49,6 @@ from sheaf.operators.joins import broadcast_if_small, join_group_values
 SLICE_BYTES = 4 << 20
 #: Bytes of segments sorted as one shard.
 SHARD_BYTES = 1 << 20
-#: Repeated keys sent to every task; beyond, only the hot ones are (see ``join_group_values``).
-KEYS_BROADCAST = 50_000
 #: Different segments of one key beyond which its strings are combined one by one.
 HOT_SEGMENTS = 2048
 #: Places looked at as one block in a very long text (positions in a block take 24 bits).
@@ -224,12 +222,13 @@ def repeated_places(texts: DataFrame, listed: DataFrame, width: int, rest: Calla
     piece, n, shift, kinds) that share a key.
     """
     keys = listed.groupBy("key").agg(F.sum("n").alias("times")).where("times > 1")
-    listed = join_group_values(listed, keys, ["key"], "times", KEYS_BROADCAST).groupBy("h").agg(F.collect_list(F.struct("key", "first", "last", "shift")).alias("found"))
+    # only the hot keys are sent to the tasks, however many keys there are
+    listed = join_group_values(listed, keys, ["key"], "times", broadcast_max_rows=0).groupBy("h").agg(F.collect_list(F.struct("key", "first", "last", "shift")).alias("found"))
     texts = write_scratch(texts.join(listed, "h"), "holders")
     cut = write_scratch(cut_segments(texts, width), "pieces")
     distinct = cut.groupBy("key", "digest").agg(F.sum("n").alias("n"), F.first("shift").alias("shift"), F.first("piece").alias("piece"))
     distinct = write_scratch(distinct, "distinct-pieces")
-    kinds = write_scratch(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"), "keys")
+    kinds, _ = broadcast_if_small(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1"))
     # one kind of segment under a key: all its strings are repeated, or none
     alone = distinct.join(kinds, "key", "left_anti").where("n > 1")
     alone = alone.select("digest", F.lit(0).cast("long").alias("low"), (F.octet_length("piece") - width).cast("long").alias("high"))

@@ -455,3 +455,38 @@ def approx_silhouette(points: DataFrame, t: int, seed: int, **kwargs) -> DataFra
 def exact_silhouette_sample(points: DataFrame, t: int, seed: int, **kwargs) -> DataFrame:
     """Q3: mean silhouette of the sample against itself (exactSilhSample)."""
     return mean_silhouette(sample_silhouette_scores(points, t, seed, **kwargs))
+
+
+def silhouette_report(
+    points: DataFrame,
+    t: int,
+    seed: int,
+    dim: int | None = None,
+    id_col: str = "id",
+    point: str = "point",
+    cluster: str = "cluster",
+    method: str = "auto",
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
+    draw: str = "xxhash64",
+) -> DataFrame:
+    """Both silhouettes of one and the same sample, in one row.
+
+    (approx_silhouette of all points, n_points, sample_silhouette, n_sample).
+    The sample is drawn once and written; its moments, computed once, serve
+    all points with the expected sizes and the sample with the actual ones.
+    """
+    dim = vector_dim(points, point) if dim is None else dim
+    sample = stratified_sample(points, t, seed, id_col, cluster, draw=draw)
+    sample = materialize(sample.select(*points.columns, F.col("cluster_size").alias("_size")))
+    moments = materialize(cluster_moments(sample, dim, point, cluster, size_col="_size"))
+    expected = F.least(F.lit(float(t)), F.col("size").cast("double"))
+    everyone = silhouette_scores(points, moments, expected, dim, point, cluster, method, block_clusters)
+    sampled = silhouette_scores(sample, moments, F.col("n"), dim, point, cluster, method, block_clusters)
+    both = everyone.select("s", F.lit(False).alias("sampled")).unionByName(sampled.select("s", F.lit(True).alias("sampled")))
+    of_sample = F.col("sampled")
+    return both.agg(
+        F.avg(F.when(~of_sample, F.col("s"))).alias("approx_silhouette"),
+        F.count_if(~of_sample).alias("n_points"),
+        F.avg(F.when(of_sample, F.col("s"))).alias("sample_silhouette"),
+        F.count_if(of_sample).alias("n_sample"),
+    )

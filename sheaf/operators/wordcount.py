@@ -56,6 +56,40 @@ def doc_term_counts(tokens: DataFrame, doc_keys: Iterable[str] = DOC_KEYS) -> Da
     return tokens.groupBy(*doc_keys, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def count_terms_in_rows(
+    docs: DataFrame, text: str = "line", keep: Iterable[str] = DOC_KEYS, sep: str = " ", drop_empty: bool = False
+) -> DataFrame:
+    """Occurrences of each word inside each document, every row being a document of its own.
+
+    A row's tokens are sorted and run-length counted where the row lies:
+    nothing is exchanged, whatever the number of tokens, and the rows may
+    lie anywhere.  (``doc_term_counts`` counts rows that are already tokens.)
+    """
+    keys = list(keep)
+    tokens = java_split(text, sep)
+    if drop_empty:
+        tokens = F.array_remove(tokens, "")
+    tokens = F.coalesce(tokens, F.array().cast("array<string>"))
+    ordered = docs.select(*keys, F.sort_array(tokens).alias("_words"))
+    words = F.col("_words")
+    # the places where another word begins than stands before
+    begins = F.filter(
+        F.sequence(F.lit(1), F.size(words)),
+        lambda i: (i == 1) | (F.get(words, i - 1) != F.get(words, i - 2)),
+    )
+    begins = F.when(F.size(words) > 0, begins).otherwise(F.array().cast("array<int>"))
+    marked = ordered.select(*keys, "_words", begins.alias("_begins"))
+    end = F.size("_words") + 1
+    runs = F.transform(
+        F.col("_begins"),
+        lambda first, k: F.struct(
+            F.get(F.col("_words"), first - 1).alias("word"),
+            (F.coalesce(F.get(F.col("_begins"), k + 1), end) - first).cast("bigint").alias("n"),
+        ),
+    )
+    return marked.select(*keys, F.inline(runs))
+
+
 def _tally(weight: str | None) -> Column:
     # One per token row, or the count a pre-counted (document, word) row carries.
     return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
@@ -145,7 +179,7 @@ def avg_word_length(counts: DataFrame) -> DataFrame:
 
 
 def word_count_report(
-    docs: DataFrame, tokens: DataFrame, n_salts: int = 16, doc_keys: Iterable[str] = DOC_KEYS
+    docs: DataFrame, tokens: DataFrame | None = None, n_salts: int = 16, doc_keys: Iterable[str] = DOC_KEYS
 ) -> DataFrame:
     """(metric, value) rows: number of documents, vocabulary size and token
     total by each of the four strategies (they must agree), and the average
@@ -155,10 +189,11 @@ def word_count_report(
     are computed once and written to the checkpoint folder; the strategies
     then sum their ``n`` instead of re-reading and re-splitting the corpus.
     The corpus is scanned twice in all (term counts, line count), not six
-    times, and a lost executor never recomputes the tokenising.
+    times, and a lost executor never recomputes the tokenising.  Without
+    ``tokens`` the lines of ``docs`` are counted row by row, with no exchange.
     """
     keys = list(doc_keys)
-    pairs = materialize(doc_term_counts(tokens, keys))
+    pairs = materialize(count_terms_in_rows(docs, keep=keys) if tokens is None else doc_term_counts(tokens, keys))
     parts = [count_documents(docs).select(F.lit("n_documents").alias("metric"), F.col("n_documents").alias("value"))]
     for name, fn in STRATEGIES.items():
         if name.startswith("salted"):

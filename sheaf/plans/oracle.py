@@ -150,6 +150,8 @@ ORACLE: dict[str, str] = {
     # sources
     "text_lines": _with(LINES.format(table=DOCS)) + " SELECT doc_id, line_no, line FROM lines",
     "text_file_lines": _with(LINES.format(table=DOCS)) + " SELECT line FROM lines",
+    "numbered_text_lines": _with(LINES.format(table=DOCS))
+    + " SELECT row_number() OVER (ORDER BY doc_id, line_no) - 1 AS id, line FROM lines",
     "parse_ratings": _with(RATINGS)
     + " SELECT CAST(product_id AS VARCHAR) AS product_id, CAST(user_id AS VARCHAR) AS user_id, rating FROM r",
     "parse_labeled_points": "SELECT vec_id AS id, CAST(label AS INTEGER) AS cluster, CAST(o - 1 AS INTEGER) AS pos, "
@@ -251,6 +253,14 @@ ORACLE: dict[str, str] = {
     + f" SELECT round(avg(s), {ROUND}) AS silhouette, count(*) AS n_points FROM s",
     "exact_silhouette_sample": _with(POINTS, SAMPLE, _silhouette_ctes("sample", "sample", ACTUAL_NORM))
     + f" SELECT round(avg(s), {ROUND}) AS sample_silhouette, count(*) AS n_points FROM s",
+    "silhouette_report": _with(
+        POINTS,
+        SAMPLE,
+        "near AS (" + _with(_silhouette_ctes("pts", "sample", EXPECTED_NORM)) + " SELECT avg(s) AS v, count(*) AS n FROM s)",
+        "own AS (" + _with(_silhouette_ctes("sample", "sample", ACTUAL_NORM)) + " SELECT avg(s) AS v, count(*) AS n FROM s)",
+    )
+    + f" SELECT round(near.v, {ROUND}) AS approx_silhouette, near.n AS n_points,"
+    f" round(own.v, {ROUND}) AS sample_silhouette, own.n AS n_sample FROM near, own",
     "exact_silhouette_lineitem": _with(
         LINEITEM_POINTS,
         "allpts AS (SELECT *, 0 AS cluster_size FROM pts)",

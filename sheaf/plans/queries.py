@@ -45,6 +45,13 @@ def q_text_file_lines(spark: SparkSession, sf: str) -> DataFrame:
     return read_text_lines(spark, path).select(F.col("value").alias("line"))
 
 
+def q_numbered_text_lines(spark: SparkSession, sf: str) -> DataFrame:
+    # Lines in corpus order through text files: a line's id is its place in the input, however the files are split.
+    lines = lines_from_column(tables.documents(spark, sf))
+    ordered = lines.repartitionByRange("doc_id", "line_no").sortWithinPartitions("doc_id", "line_no")
+    return read_text_lines(spark, write_text_lines(ordered, "line"), with_ids=True).withColumnRenamed("value", "line")
+
+
 def q_parse_ratings(spark: SparkSession, sf: str) -> DataFrame:
     return parsers.parse_ratings(tables.rating_lines(spark, sf))
 
@@ -129,7 +136,7 @@ def q_tokenize(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_doc_term_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return wordcount.doc_term_counts(_tokens(spark, sf))
+    return wordcount.count_terms_in_rows(lines_from_column(tables.spread(tables.documents(spark, sf))))
 
 
 def q_word_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,8 +172,7 @@ def q_avg_word_length(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_word_count_report(spark: SparkSession, sf: str) -> DataFrame:
-    docs = lines_from_column(tables.documents(spark, sf))
-    return wordcount.word_count_report(docs, wordcount.tokenize(docs, with_pos=False), N_SALTS)
+    return wordcount.word_count_report(lines_from_column(tables.spread(tables.documents(spark, sf))), n_salts=N_SALTS)
 
 
 def q_word_count_conversations(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,6 +291,11 @@ def q_exact_silhouette_sample(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_mean(df, "sample_silhouette")
 
 
+def q_silhouette_report(spark: SparkSession, sf: str) -> DataFrame:
+    out = silhouette.silhouette_report(_points(spark, sf), SAMPLE_T, SAMPLE_SEED, draw=DRAW)
+    return out.withColumns({c: F.round(c, ROUND) for c in ("approx_silhouette", "sample_silhouette")})
+
+
 def q_exact_silhouette_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded_mean(silhouette.exact_silhouette(tables.lineitem_points(spark, sf)), "silhouette")
 

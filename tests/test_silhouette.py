@@ -288,3 +288,26 @@ def test_places_in_order_equal_the_window_limit(spark, rows, t):
         groups.setdefault(c, []).append(i)
     want = sorted(i for ids in groups.values() for i in ids[:t])
     assert got == want
+
+
+def test_report_holds_both_silhouettes_of_one_sample(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3) + 4 * (i % 4)], i % 4) for i in range(400)] + [(400, [9.0, 9.0, 9.0], 4)]
+    points = spark.createDataFrame(rows, "id long, point array<double>, cluster int")
+    for t in (1, 7, 1000):
+        row = S.silhouette_report(points, t, seed=5).first()
+        approx, own = S.approx_silhouette(points, t, 5).first(), S.exact_silhouette_sample(points, t, 5).first()
+        for got, want in ((row.approx_silhouette, approx.silhouette), (row.sample_silhouette, own.silhouette)):
+            assert got == pytest.approx(want, nan_ok=True)
+        assert (row.n_points, row.n_sample) == (approx.n_points, own.n_points)
+    empty = S.silhouette_report(points.where("false"), 5, seed=5).first()
+    assert (empty.approx_silhouette, empty.n_points, empty.sample_silhouette, empty.n_sample) == (None, 0, None, 0)
+
+
+def test_report_draws_its_sample_once(spark, monkeypatch):
+    drawn = []
+    real = S.stratified_sample
+    monkeypatch.setattr(S, "stratified_sample", lambda *a, **k: drawn.append(1) or real(*a, **k))
+    points = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(50)], "id long, point array<double>, cluster int")
+    S.silhouette_report(points, 5, seed=1).collect()
+    assert drawn == [1]

@@ -73,3 +73,31 @@ def test_lines_from_column_keeps_line_numbers(spark):
     df = spark.createDataFrame([(7, "x\ny\n"), (8, "")], "doc_id long, text string")
     rows = lines_from_column(df).orderBy("doc_id", "line_no").collect()
     assert [(r.doc_id, r.line_no, r.line) for r in rows] == [(7, 0, "x"), (7, 1, "y")]
+
+
+def test_numbered_lines_do_not_depend_on_the_splits(spark, tmp_path):
+    """The registered round trip, with files cut into splits inside their lines."""
+    import __spark_entry__ as E
+
+    from .conftest import SF0001
+
+    def numbered():
+        return sorted(tuple(r) for r in E.queries()["numbered_text_lines"](spark, SF0001).collect())
+
+    whole = numbered()
+    assert [i for i, _ in whole] == list(range(len(whole)))
+    longest = max(len(line) for _, line in whole)
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(8192))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        assert numbered() == whole
+        path = str(tmp_path / "long.txt")
+        with open(path, "w") as f:
+            f.writelines(f"{n} " + "x" * (40_000 if n % 3 == 0 else 5) + "\n" for n in range(40))  # lines longer than a split
+        lines = read_text_lines(spark, path, with_ids=True).collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert longest > 100
+    assert sorted((r.id, int(r.value.split()[0])) for r in lines) == [(n, n) for n in range(40)]

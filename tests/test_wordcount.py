@@ -84,3 +84,28 @@ def test_word_count_report(spark):
     vocab = {k: v for k, v in rows.items() if k.startswith("vocabulary_size_")}
     assert len(vocab) == 4 and set(vocab.values()) == {9}
     assert rows["n_documents"] == 2
+
+
+def test_terms_counted_in_rows_equal_the_grouped_counts(spark):
+    import random
+
+    rng = random.Random(3)
+    words = ["a", "b", "", "é", "日本", "word", "Word", "\t", "x" * 300]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    texts += ["", "   ", " lead", "trail  ", "one", "a\n\nb", "hot " * 30_000 + "cold", None]
+    docs = _docs(spark, texts)
+    for drop in (False, True):
+        want = sorted(map(tuple, W.doc_term_counts(W.tokenize(docs, drop_empty=drop, with_pos=False)).collect()))
+        got = W.count_terms_in_rows(docs, drop_empty=drop)
+        assert sorted(map(tuple, got.collect())) == want
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    # repeated rows are documents of their own; a null line has no words
+    rows = spark.createDataFrame([(1, "a b a"), (1, "a b a"), (None, None)], "doc_id long, line string")
+    assert sorted(map(tuple, W.count_terms_in_rows(rows, keep=["doc_id"]).collect())) == [(1, "a", 2), (1, "a", 2), (1, "b", 1), (1, "b", 1)]
+    assert W.count_terms_in_rows(rows.where("false"), keep=["doc_id"]).collect() == []
+
+
+def test_word_count_report_without_tokens(spark):
+    docs = _docs(spark, ["a b a", "c", "", "a  c"])
+    with_tokens = sorted(map(tuple, W.word_count_report(docs, W.tokenize(docs), 3).collect()))
+    assert sorted(map(tuple, W.word_count_report(docs, n_salts=3).collect())) == with_tokens

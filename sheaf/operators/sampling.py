@@ -119,6 +119,45 @@ def stratified_sample(
     return cap_per_cluster(bernoulli_sample(sized, t, seed, id_col, draw=draw), t, cluster, ("u", id_col))
 
 
+def stratified_samples(
+    points: DataFrame,
+    size_of: dict[str, int],
+    seed: int,
+    id_col: str = "id",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    draw: str = "xxhash64",
+) -> DataFrame:
+    """``stratified_sample`` of several labellings of the same points at once.
+
+    ``size_of`` gives the sample size t of each label column.  Returns the
+    sampled points once per labelling they are sampled for, with the column's
+    name as ``labelling``, its label as ``cluster``, ``t``, ``cluster_size``
+    and ``u``; a labelling's sample is the one ``stratified_sample`` draws.
+    Sizes of all labellings are one aggregate, draw and cap one window, so
+    the points are passed over twice however many labellings there are.
+    """
+    if not size_of or min(size_of.values()) < 1:
+        raise ValueError("sample size t must be >= 1")
+    others = [c for c in points.columns if c not in size_of]
+    each = F.array(*[
+        F.struct(F.lit(c).alias("labelling"), F.lit(t).alias("t"), _no_null(c, F.col(c)).alias("cluster")) for c, t in size_of.items()
+    ])
+    single = points.select(*others, F.explode(each).alias("_l")).select(*others, "_l.*")
+    sizes = single.groupBy("labelling", "cluster").agg(F.count(F.lit(1)).alias("cluster_size"))
+    sized = join_group_values(single, sizes, ["labelling", "cluster"], "cluster_size", broadcast_max_rows)
+    keep = F.least(F.col("t") / F.col("cluster_size"), F.lit(1.0))
+    kept = sized.withColumn("u", seeded_uniform(id_col, seed, draw)).where(F.col("u") < keep)
+    group = F.struct("labelling", "cluster")
+    most = max(size_of.values())
+    threshold = int(points.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if most > threshold:
+        numbered = number_in_order(kept.withColumn("_of", group), ["u", id_col], "_of", "_rn")
+    else:
+        place = F.row_number().over(Window.partitionBy("labelling", "cluster").orderBy("u", id_col))
+        numbered = kept.withColumn("_rn", place).where(F.col("_rn") <= most)  # the map-side limit
+    return numbered.where(F.col("_rn") <= F.col("t")).select(*others, "labelling", "cluster", "t", "cluster_size", "u")
+
+
 def normalizers(sizes: DataFrame, t: int, cluster: str = "cluster") -> DataFrame:
     """(cluster, norm = min(t, size)): the expected sample size per cluster."""
     return sizes.select(cluster, F.least(F.lit(int(t)).cast("bigint"), F.col("size")).alias("norm"))

@@ -65,7 +65,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.vectors import silhouette_value
 from sheaf.operators.joins import materialize
-from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows, stratified_sample
+from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows, stratified_sample, stratified_samples
 
 NORMALIZERS = ("expected", "actual")
 METHODS = ("auto", "codegen", "arrow", "lambda")
@@ -457,6 +457,48 @@ def exact_silhouette_sample(points: DataFrame, t: int, seed: int, **kwargs) -> D
     return mean_silhouette(sample_silhouette_scores(points, t, seed, **kwargs))
 
 
+def approx_silhouettes(
+    points: DataFrame,
+    size_of: dict[str, int],
+    seed: int,
+    normalizer: str = "expected",
+    dim: int | None = None,
+    id_col: str = "id",
+    point: str = "point",
+    method: str = "auto",
+    block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
+    draw: str = "xxhash64",
+) -> DataFrame:
+    """``approx_silhouette`` of several labellings of the same points in common passes.
+
+    ``size_of`` gives the sample size t of each label column of ``points``.
+    One row per label column: (labelling, t, silhouette, n_points).  One
+    aggregate for all cluster sizes, one sample, one aggregate for all
+    moments and one scoring pass, however many labellings there are.
+    """
+    if normalizer not in NORMALIZERS:
+        raise ValueError(f"normalizer must be one of {NORMALIZERS}")
+    dim = vector_dim(points, point) if dim is None else dim
+    labellings = list(size_of)
+    sample = stratified_samples(points.select(id_col, point, *labellings), size_of, seed, id_col, draw=draw)
+    keyed = sample.withColumn("_group", F.struct("labelling", "cluster"))
+    moments = materialize(cluster_moments(keyed, dim, point, "_group", size_col="cluster_size"))
+    scored = points.select(point, *labellings)
+    for place, name in enumerate(labellings):
+        own = moments.where(F.col("_group.labelling") == name).select(F.col("_group.cluster").alias(name), "n", "mean", "m2", "size")
+        expected = F.least(F.lit(float(size_of[name])), F.col("size").cast("double"))
+        norm = expected if normalizer == "expected" else F.col("n")
+        scored = silhouette_scores(scored, own, norm, dim, point, name, method, block_clusters)
+        scored = scored.withColumnRenamed("s", f"_s{place}").drop("a", "b")
+    # one partial aggregate per task holds the sums of all labellings
+    means = scored.agg(F.count(F.lit(1)).alias("n_points"), *[F.avg(f"_s{k}").alias(f"_s{k}") for k in range(len(labellings))])
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("labelling"), F.lit(size_of[c]).alias("t"), F.col(f"_s{k}").alias("silhouette"), "n_points")
+        for k, c in enumerate(labellings)
+    ])
+    return means.select(F.inline(rows))
+
+
 def silhouette_report(
     points: DataFrame,
     t: int,

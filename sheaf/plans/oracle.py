@@ -140,6 +140,16 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
 
+def _sweep_scores(k: int) -> str:
+    """Row (k, t, silhouette, n_points) of the labels ``label mod k``, pair by pair."""
+    t = SWEEP["m"] // k
+    points = POINTS.replace("CAST(label AS INTEGER) AS cluster", f"CAST(label AS INTEGER) % {k} AS cluster")
+    sample = SAMPLE.replace(f"least({SAMPLE_T}.0", f"least({t}.0").replace(f"rn <= {SAMPLE_T}", f"rn <= {t}")
+    body = _with(points, sample, _silhouette_ctes("pts", "sample", f"least({t}.0, CAST(sc.size AS DOUBLE))"))
+    values = f"CAST({k} AS INTEGER) AS k, CAST({t} AS INTEGER) AS t, round(avg(s), {ROUND}) AS silhouette, count(*) AS n_points"
+    return f"SELECT * FROM ({body} SELECT {values} FROM s)"
+
+
 EXPECTED_NORM = f"least({SAMPLE_T}.0, CAST(sc.size AS DOUBLE))"
 ACTUAL_NORM = "CAST(sc.n AS DOUBLE)"
 
@@ -275,6 +285,7 @@ ORACLE: dict[str, str] = {
     "k_sweep_silhouette": f"SELECT CAST(k AS INTEGER) AS k, CAST({SWEEP['m']} // k AS INTEGER) AS t, n_points,"
     " true AS in_range, CASE WHEN k = 1 THEN CAST(-1 AS DOUBLE) END AS single_silhouette"
     f" FROM range({SWEEP['k_start']}, {SWEEP['k_start'] + SWEEP['h']}) ks(k), (SELECT count(*) AS n_points FROM embeddings)",
+    "sweep_scores": " UNION ALL ".join(_sweep_scores(k) for k in range(SWEEP["k_start"], SWEEP["k_start"] + SWEEP["h"])),
     "sqdist": _with(
         POINTS,
         "pdims AS (SELECT id, cluster, o AS i, x FROM pts, unnest(point) WITH ORDINALITY AS u(x, o))",

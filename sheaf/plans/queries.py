@@ -349,6 +349,16 @@ def q_k_sweep_silhouette(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("k", "t", "n_points", F.col("silhouette").between(-1, 1).alias("in_range"), single)
 
 
+def q_sweep_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The scoring half of the sweep on labels that the table fixes: label mod k for each k."""
+    ks = range(SWEEP["k_start"], SWEEP["k_start"] + SWEEP["h"])
+    labelled = _points(spark, sf).withColumns({f"cluster_{k}": F.col("cluster") % k for k in ks})
+    size_of = {f"cluster_{k}": SWEEP["m"] // k for k in ks}
+    out = silhouette.approx_silhouettes(labelled, size_of, SAMPLE_SEED, draw=DRAW)
+    k = F.substring_index("labelling", "_", -1).cast("int").alias("k")
+    return out.select(k, "t", F.round("silhouette", ROUND).alias("silhouette"), "n_points")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 
 from sheaf.operators import clustering as C
+from sheaf.operators import sampling as SM
+from sheaf.operators import silhouette as S
 from sheaf.plans.ksweep import k_sweep_silhouette
 
 SCHEMA = "id long, point array<double>"
@@ -86,3 +88,86 @@ def test_far_centres_have_one_answer_on_every_path(spark):
         {r.id: r.nearest for r in assign_nearest(points, centres, method=m).collect()} for m in ("codegen", "arrow", "lambda")
     ]
     assert got[0] == got[1] == got[2]
+
+
+def _labelled(spark, n=300, null=False):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(n, 3)) + 6 * (np.arange(n) % 5)[:, None]
+    rows = [(i, [float(v) for v in x[i]], i % 2, i % 5, 0, 3) for i in range(n)]
+    return spark.createDataFrame(rows, "id long, point array<double>, two int, five int, one int, cluster int")
+
+
+def test_silhouettes_of_several_labellings_equal_one_by_one(spark):
+    points = _labelled(spark)
+    size_of = {"two": 40, "five": 11, "one": 9}
+    for normalizer in ("expected", "actual"):
+        got = {r.labelling: r for r in S.approx_silhouettes(points, size_of, 3, normalizer=normalizer).collect()}
+        assert set(got) == set(size_of)
+        for name, t in size_of.items():
+            single = points.select("id", "point", points[name].alias("cluster"))
+            want = S.approx_silhouette(single, t, 3, normalizer=normalizer).first()
+            assert got[name].silhouette == pytest.approx(want.silhouette, abs=1e-9, nan_ok=True)
+            assert (got[name].t, got[name].n_points) == (t, want.n_points)
+
+
+def test_samples_of_several_labellings_equal_one_by_one(spark):
+    points = _labelled(spark)
+    for sizes in ({"two": 7, "five": 3}, {"two": 2000, "five": 3}):  # above and below the window's map-side limit
+        both = SM.stratified_samples(points.drop("cluster"), sizes, 5).collect()
+        for name, t in sizes.items():
+            want = SM.stratified_sample(points, t, 5, cluster=name).collect()
+            assert sorted((r.id, r.cluster, r.cluster_size) for r in both if r.labelling == name) == sorted(
+                (r.id, r[name], r.cluster_size) for r in want
+            )
+    with pytest.raises(Exception, match="null label"):
+        SM.stratified_samples(points.selectExpr("id", "point", "nullif(two, 1) AS two"), {"two": 5}, 1).collect()
+
+
+def test_sweep_scores_are_the_pairwise_ones_of_its_labels(spark):
+    """Labels as data: the labels of each k are recorded, and SQL scores them pair by pair."""
+    import duckdb
+
+    from sheaf.plans import ksweep, oracle
+
+    points = _labelled(spark, 160).select("id", "point")
+    kept = {}
+    real = ksweep.approx_silhouettes
+
+    def recorded(labelled, size_of, *args, **kwargs):
+        kept["labels"] = labelled.select("id", "point", *size_of).toPandas()
+        return real(labelled, size_of, *args, **kwargs)
+
+    ksweep.approx_silhouettes = recorded
+    try:
+        out = ksweep.k_sweep_silhouette(points, k_start=1, h=4, max_iter=5, m=60, seed=oracle.SAMPLE_SEED, draw="md5").collect()
+    finally:
+        ksweep.approx_silhouettes = real
+    con = duckdb.connect()
+    con.register("labels", kept["labels"])
+    for row in out:
+        pts = f"pts AS (SELECT id, CAST(point AS DOUBLE[]) AS point, cluster_{row.k} AS cluster FROM labels)"
+        con.execute(f"CREATE OR REPLACE TABLE embeddings AS SELECT id AS vec_id, point AS embedding, cluster_{row.k} AS label FROM labels")
+        sample = oracle.SAMPLE.replace("least(20.0", f"least({row.t}.0").replace("rn <= 20", f"rn <= {row.t}")
+        norm = f"least({row.t}.0, CAST(sc.size AS DOUBLE))"
+        sql = oracle._with(pts, sample, oracle._silhouette_ctes("pts", "sample", norm)) + " SELECT avg(s), count(*) FROM s"
+        want, n = con.execute(sql).fetchone()
+        assert row.silhouette == pytest.approx(want, abs=1e-9) and row.n_points == n == 160
+
+
+def test_sweep_passes_do_not_grow_with_h_and_nothing_stays_cached(spark, monkeypatch):
+    from sheaf.plans import ksweep
+
+    points = _labelled(spark, 60).select("id", "point")
+    cached = spark.sparkContext._jsc.getPersistentRDDs().size()
+    calls = []
+    monkeypatch.setattr(S, "stratified_samples", lambda *a, f=S.stratified_samples, **k: calls.append("sample") or f(*a, **k))
+    monkeypatch.setattr(S, "cluster_moments", lambda *a, f=S.cluster_moments, **k: calls.append("moments") or f(*a, **k))
+    for h in (1, 5):
+        calls.clear()
+        assert len(ksweep.k_sweep_silhouette(points, 1, h, 3, 30).collect()) == h
+        assert calls == ["sample", "moments"]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+    monkeypatch.setattr(ksweep, "approx_silhouettes", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        ksweep.k_sweep_silhouette(points, 1, 2, 3, 30)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached

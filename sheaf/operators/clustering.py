@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheaf.operators.joins import materialize
+from sheaf.operators.pruned import MIN_MEANS, PrunedMeans
 from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows
 from sheaf.operators.silhouette import CODEGEN_MAX_TERMS, point_matrix, scaled_distance, vector_dim
 
@@ -108,6 +109,8 @@ def _nearest_codegen(p: Column, cents: list[tuple[int, list[float]]], dim: int)
 def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
     ids = np.array([cid for cid, _ in cents], dtype=np.int32)
     mat = np.array([c for _, c in cents], dtype=np.float64).reshape(len(cents), dim)
+    if len(ids) >= MIN_MEANS:
+        return _nearest_pruned(spark, ids, mat, dim)
     model = spark.sparkContext.broadcast((ids, mat))
 
     @F.arrow_udf("d double, cluster int")
@@ -124,6 +127,19 @@ def _nearest_arrow(spark, cents: list[tuple[int, list[float]]], dim: int):
     return nearest
 
 
+def _nearest_pruned(spark, ids: np.ndarray, centres: np.ndarray, dim: int):
+    """As ``_nearest_arrow`` for many centres: groups of centres are passed over by distance bounds."""
+    model = spark.sparkContext.broadcast((ids, PrunedMeans(centres, np.ones(len(ids)), np.zeros(len(ids)))))
+
+    @F.arrow_udf("d double, cluster int")
+    def nearest(points: pa.Array) -> pa.Array:
+        cid, means = model.value
+        best, where = means.best(point_matrix(points, dim))
+        return pa.StructArray.from_arrays([pa.array(best), pa.array(cid[where])], names=["d", "cluster"])
+
+    return nearest
+
+
 def _nearest_lambda(p: Column, cents: list[tuple[int, list[float]]]) -> Column:
     lookup = F.array(*[
         F.struct(F.array(*map(F.lit, c)).alias("centre"), F.lit(cid).cast("int").alias("cluster")) for cid, c in cents

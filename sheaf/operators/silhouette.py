@@ -34,7 +34,8 @@ Per-point evaluation methods (``method``):
   expressions, compiled by whole-stage codegen (best for small k*d);
 * ``arrow`` – an Arrow UDF computing the distances of a whole batch to one
   cluster mean after the other (best when k*d is large, where the
-  generated code would outgrow a JVM method);
+  generated code would outgrow a JVM method); for 512 clusters and more the
+  search for b passes over groups of means by distance bounds (``pruned``);
 * ``lambda`` – array higher-order functions over the moments as one array
   literal column, interpreted per element; a cross-check for small models.
 
@@ -65,6 +66,7 @@ from pyspark.sql import functions as F
 
 from sheaf.functions.vectors import silhouette_value
 from sheaf.operators.joins import materialize
+from sheaf.operators.pruned import MIN_MEANS, PrunedMeans
 from sheaf.operators.sampling import DEFAULT_BLOCK_CLUSTERS, model_block_rows, stratified_sample, stratified_samples
 
 NORMALIZERS = ("expected", "actual")
@@ -210,7 +212,10 @@ def _arrays(moments: list[Moments], dim: int, scaled: bool) -> tuple:
 
 def _ab_udf(spark, moments: list[Moments], dim: int):
     # The block of the model travels once per executor as a broadcast variable.
-    model = spark.sparkContext.broadcast(_arrays(moments, dim, scaled=True))
+    ids, *arrays = _arrays(moments, dim, scaled=True)
+    if len(ids) >= MIN_MEANS:
+        return _pruned_ab_udf(spark, np.array(ids), PrunedMeans(*arrays), dim)
+    model = spark.sparkContext.broadcast((ids, *arrays))
 
     @F.arrow_udf("a double, b double")
     def ab(points: pa.Array, labels: pa.Array) -> pa.Array:
@@ -230,6 +235,26 @@ def _ab_udf(spark, moments: list[Moments], dim: int):
     return ab
 
 
+def _pruned_ab_udf(spark, ids: np.ndarray, means: PrunedMeans, dim: int):
+    """As ``_ab_udf`` for many clusters: a is one lookup, b a pruned search (``ids`` ascend)."""
+    model = spark.sparkContext.broadcast((ids, means))
+
+    @F.arrow_udf("a double, b double")
+    def ab(points: pa.Array, labels: pa.Array) -> pa.Array:
+        ids, means = model.value
+        p, own_id = point_matrix(points, dim), labels.to_numpy(zero_copy_only=False)
+        own = np.minimum(np.searchsorted(ids, own_id), len(ids) - 1)
+        has_a = ids[own] == own_id
+        with np.errstate(over="ignore", invalid="ignore"):
+            diff = p - means.means[own]
+            a = means.weight[own] * (diff * diff).sum(axis=1) + means.offset[own]
+        b, where = means.best(p, skip=np.where(has_a, own, -1))
+        columns = [pa.array(a, mask=~has_a), pa.array(b, mask=where < 0)]
+        return pa.StructArray.from_arrays(columns, names=["a", "b"])
+
+    return ab
+
+
 def _scores_arrow(points: DataFrame, moments: list[Moments], dim: int, point: str, cluster: str) -> DataFrame:
     ab = _ab_udf(points.sparkSession, moments, dim)
     staged = points.select("*", ab(F.col(point), F.col(cluster)).alias("_ab"))

@@ -11,7 +11,7 @@ by what any fit must satisfy.
 
 from __future__ import annotations
 
-from sheaf.plans.queries import ROUND, SAMPLE_SEED, SAMPLE_T, SWEEP, TOP_T
+from sheaf.plans.queries import LAYOUT_PARTITIONS, ROUND, SAMPLE_SEED, SAMPLE_T, SWEEP, TOP_T
 
 # --- common table expressions -------------------------------------------
 
@@ -190,6 +190,8 @@ ORACLE: dict[str, str] = {
     + f", t AS (SELECT * FROM m ORDER BY -max_norm_rating, product_id LIMIT {TOP_T})"
     " SELECT CAST(row_number() OVER (ORDER BY -max_norm_rating, product_id) AS INTEGER) AS rank,"
     " 'Product ' || CAST(product_id AS VARCHAR) || ' maxNormRating ' || CAST(max_norm_rating AS VARCHAR) AS line FROM t",
+    "repartition_layout": f"SELECT CAST({LAYOUT_PARTITIONS} AS BIGINT) AS n_partitions, count(*) AS n_rows,"
+    " CAST(sum(length(text)) AS BIGINT) AS n_chars, true AS is_even FROM documents",
     # word count
     "java_split": _with(LINES.format(table=DOCS))
     + " SELECT doc_id, line_no, CAST(len(" + SPLIT.format(c="line") + ") AS INTEGER) AS n_tokens FROM lines",

@@ -27,6 +27,7 @@ TOP_T = 20
 SAMPLE_T = 20
 SAMPLE_SEED = 7
 N_SALTS = 8
+LAYOUT_PARTITIONS = 6
 SWEEP = {"k_start": 1, "h": 4, "max_iter": 10, "m": 60, "seed": 11}
 DRAW = "md5"  # the sampling draw DuckDB can reproduce (the library default is xxhash64)
 ROUND = 6
@@ -121,6 +122,19 @@ def q_report_top_products(spark: SparkSession, sf: str) -> DataFrame:
     return ratings.report_lines(q_top_normalized_ratings(spark, sf))
 
 
+# ----------------------------------------------------------------- layout
+def q_repartition_layout(spark: SparkSession, sf: str) -> DataFrame:
+    """The input repartitioned into K: rows and characters per partition, summed up.
+
+    No value changes, every partition has rows, and none has twice the even share."""
+    docs = tables.documents(spark, sf, num_partitions=LAYOUT_PARTITIONS)
+    parts = docs.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.char_length("text")).alias("chars"))
+    return parts.agg(
+        F.count(F.lit(1)).alias("n_partitions"), F.sum("n").alias("n_rows"), F.sum("chars").alias("n_chars"),
+        (F.max("n") <= 2 * F.sum("n") / LAYOUT_PARTITIONS).alias("is_even"),
+    )
+
+
 # ------------------------------------------------------------- word count
 def _tokens(spark: SparkSession, sf: str, with_pos: bool = False) -> DataFrame:
     return wordcount.tokenize(lines_from_column(tables.spread(tables.documents(spark, sf))), with_pos=with_pos)

@@ -51,7 +51,8 @@ everything).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from itertools import islice
@@ -308,10 +309,16 @@ def silhouette_scores(
     block_clusters: int = DEFAULT_BLOCK_CLUSTERS,
 ) -> DataFrame:
     """Add ``a``, ``b`` and ``s`` to every point, given the sample moments."""
+    return _score_blocks(points, moment_blocks(moments, norm, cluster, block_clusters, dim), dim, point, cluster, method)
+
+
+def _score_blocks(
+    points: DataFrame, blocks: Iterable[list[Moments]], dim: int, point: str, cluster: str, method: str
+) -> DataFrame:
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
     scored = None
-    for block in moment_blocks(moments, norm, cluster, block_clusters, dim):
+    for block in blocks:
         way = method
         if way == "auto":
             way = "codegen" if len(block) * dim <= CODEGEN_MAX_TERMS else "arrow"
@@ -506,14 +513,24 @@ def approx_silhouettes(
     dim = vector_dim(points, point) if dim is None else dim
     labellings = list(size_of)
     sample = stratified_samples(points.select(id_col, point, *labellings), size_of, seed, id_col, draw=draw)
-    keyed = sample.withColumn("_group", F.struct("labelling", "cluster"))
-    moments = materialize(cluster_moments(keyed, dim, point, "_group", size_col="cluster_size"))
+    keyed = sample.withColumn("_group", F.struct("labelling", "cluster", "t"))
+    moments = cluster_moments(keyed, dim, point, "_group", size_col="cluster_size")
+    norm = F.least("_group.t", "size") if normalizer == "expected" else F.col("n")
+    table = materialize(moments.select("_group.labelling", "_group.cluster", "n", "mean", "m2", norm.cast("double").alias("norm")))
+    limit = model_block_rows(block_clusters, dim)
+    rows = table.limit(limit + 1).collect()
     scored = points.select(point, *labellings)
+    if method == "auto":  # one way for all, so that they share a projection
+        most = max(Counter(r["labelling"] for r in rows).values(), default=0)
+        method = "codegen" if most * dim * len(labellings) <= CODEGEN_MAX_TERMS else "arrow"
     for place, name in enumerate(labellings):
-        own = moments.where(F.col("_group.labelling") == name).select(F.col("_group.cluster").alias(name), "n", "mean", "m2", "size")
-        expected = F.least(F.lit(float(size_of[name])), F.col("size").cast("double"))
-        norm = expected if normalizer == "expected" else F.col("n")
-        scored = silhouette_scores(scored, own, norm, dim, point, name, method, block_clusters)
+        if len(rows) <= limit:  # one block holds the moments of all labellings
+            own = [Moments(r["cluster"], float(r["n"]), tuple(r["mean"]), r["m2"], r["norm"]) for r in rows if r["labelling"] == name]
+            blocks = [sorted(own, key=lambda m: m.cluster)] if own else []
+        else:
+            own = table.where(F.col("labelling") == name).drop("labelling")
+            blocks = moment_blocks(own, F.col("norm"), "cluster", block_clusters, dim)
+        scored = _score_blocks(scored, blocks, dim, point, name, method)
         scored = scored.withColumnRenamed("s", f"_s{place}").drop("a", "b")
     # one partial aggregate per task holds the sums of all labellings
     means = scored.agg(F.count(F.lit(1)).alias("n_points"), *[F.avg(f"_s{k}").alias(f"_s{k}") for k in range(len(labellings))])

@@ -18,7 +18,8 @@ unclosed one is a node whose own text is not content, and the page goes on.
 
 Defined results: null and empty html give empty text; text outside any
 element counts as the body's; unclosed and stray tags are mended as
-browsers mostly do; null ids and repeated rows are pages like others; an
+browsers mostly do, in time linear in the page; quotes count only behind "=",
+and one that never ends does not hide the page behind it; null ids and repeated rows are pages like others; an
 empty table gives an empty result; other columns are ignored.
 """
 
@@ -27,7 +28,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,15 +64,24 @@ OTHER_WORDS = frozenset(
     " recommended breadcrumb breadcrumbs menu nav navbar navigation footer header masthead topbar toolbar pagination pager widget tags tagcloud"
     " copyright disclaimer search form author-bio byline-ad teaser outbrain taboola".split()
 )
+# What stands in these is not the page's article, whatever its own tag says.
+BARRING_TAGS = frozenset("aside nav footer dialog".split())
+BARRING_WORDS = frozenset("comment comments reply replies respond discussion disqus sidebar related recommended teaser teasers promo outbrain taboola".split())
 PRIOR_COUNT = 40.0
+#: Share of the largest marginal that a text must reach on a page where none reaches one half, and the least such marginal.
+FALLBACK_SHARE, FALLBACK_LEAST = 0.5, 0.02
 
 SPACES = re.compile(r"[ \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]+")
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*(?:[^>\"']|\"[^\"]*\"|'[^']*')*>|[^<]+|<", re.S)
+# A quote opens a value only behind "="; nothing is tried twice (possessive), so a scan is linear.
+_REST = r"(?>=\s*+(?>\"[^\"]*\"|'[^']*')|[^>])*+>"
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?[a-zA-Z][^\s/>]*+" + _REST + r"|[^<]+|<", re.S)
+#: For pages with a quote that never ends: tags end at the next ">".
+PLAIN_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^>]*>|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+ATTRIBUTE = re.compile(r"(?<![-\w:.])([a-zA-Z_:][-\w:.]*)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
 CLASS_WORD = re.compile(r"[a-z]+")
 END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>", re.I | re.A) for t in RAW}
-TAGS = {t: re.compile(rf"<(/?){t}(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.I | re.A) for t in HIDDEN}
+TAGS = {t: re.compile(rf"<(/?){t}(?=[\s/>])" + _REST, re.I | re.A) for t in HIDDEN}
 
 
 @dataclass
@@ -81,6 +91,7 @@ class Node:
     words: tuple[str, ...] = ()
     runs: list[tuple[int, str]] = field(default_factory=list)  # (order in the page, own text)
     linked: int = 0
+    barred: bool = False  # stands in comments, a side column or the like
 
 
 def closed(page: str, tag: str) -> dict[int, int]:
@@ -101,8 +112,11 @@ def closed(page: str, tag: str) -> dict[int, int]:
 def parse(page: str) -> list[Node]:
     """Block elements in page order, parents first; inline elements belong to their block."""
     nodes = [Node("body", -1)]
-    stack: list[tuple[str, int]] = []  # open elements: (tag, block node), inline ones too
+    # open elements: (tag, block node, open blocks up to here), inline ones too; and where each tag is open
+    stack: list[tuple[str, int, int]] = []
+    places: defaultdict[str, list[int]] = defaultdict(list)
     here, order, links, at = 0, 0, 0, 0
+    last, scan = page.rfind(">"), TOKEN
     pieces: list[str] = []
     ends: dict[str, dict[int, int]] = {}
 
@@ -115,19 +129,36 @@ def parse(page: str) -> list[Node]:
             order += 1
             pieces = []
 
+    def open_blocks(k: int) -> int:
+        return stack[k][2] if k >= 0 else 0
+
+    def push(tag: str, node: int) -> None:
+        places[tag].append(len(stack))
+        stack.append((tag, node, (stack[-1][2] if stack else 0) + (tag not in INLINE)))
+
     def close_to(k: int) -> None:
         nonlocal here, links
-        for tag, _ in stack[k:]:
-            links -= tag == "a"
-        if any(tag not in INLINE for tag, _ in stack[k:]):
+        if open_blocks(len(stack) - 1) > open_blocks(k - 1):
             flush()
+        for tag, _, _ in stack[k:]:
+            links -= tag == "a"
+            if tag != "span-ended":
+                places[tag].pop()
         del stack[k:]
-        here = next((n for tag, n in reversed(stack) if tag not in INLINE), 0)
+        here = stack[-1][1] if stack else 0
 
     while at < len(page):
-        m = TOKEN.match(page, at)
-        token, at = m.group(), m.end()
-        if token[0] != "<" or len(token) == 1:
+        m = scan.match(page, at) if at <= last else None
+        if m and m.group() == "<" and scan is TOKEN and page[at + 1 : at + 2].isalpha():
+            scan = PLAIN_TOKEN
+            m = scan.match(page, at)
+        token = m.group() if m else page[at:]  # no tag ends behind the last ">"
+        at += len(token)
+        if not m and (cut := re.search(r"<!--|</?[a-zA-Z]", token)):
+            token = token[: cut.start()]  # an unfinished tag or comment at the end of the page
+            if not token:
+                continue
+        if token[0] != "<" or len(token) == 1 or not m:
             text = entities.unescape(token)
             pieces.append(text)
             if links:
@@ -141,12 +172,13 @@ def parse(page: str) -> list[Node]:
             continue
         tag = name.group(1).lower()
         if token[1] == "/":
-            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if k is None:
+            if not places[tag]:
                 continue
-            if tag in INLINE and any(t not in INLINE for t, _ in stack[k + 1 :]):
+            k = places[tag][-1]
+            if tag in INLINE and open_blocks(len(stack) - 1) > open_blocks(k):
                 links -= tag == "a"
-                stack[k] = ("span", stack[k][1])  # misnested inline: it ends, the blocks go on
+                places[tag].pop()
+                stack[k] = ("span-ended", *stack[k][1:])  # misnested inline: it ends, the blocks go on
             else:
                 close_to(k)
             continue
@@ -169,16 +201,17 @@ def parse(page: str) -> list[Node]:
         if tag in ("html", "body"):
             continue
         if tag in INLINE:
-            stack.append((tag, here))
+            push(tag, here)
             links += tag == "a"
             continue
         # a block: it ends an open paragraph, and items or cells of its kind in the same list
-        for k in range(len(stack) - 1, -1, -1):
+        ends_one = places["p"] and tag in BLOCK or any(places[t] for t in CLOSES.get(tag, ()))
+        for k in range(len(stack) - 1, -1, -1) if ends_one else ():
             t = stack[k][0]
             if t == "p" and tag in BLOCK or t in CLOSES.get(tag, ()):
                 close_to(k)
                 break
-            if t not in INLINE and (tag not in CLOSES or t in SCOPES[tag]) and t != "p":
+            if t not in INLINE and t != "span-ended" and (tag not in CLOSES or t in SCOPES[tag]) and t != "p":
                 break
         attributes = {a.lower(): v.strip("\"'").lower() for a, v in ATTRIBUTE.findall(token[name.end() :])}
         words = tuple(sorted({
@@ -189,10 +222,13 @@ def parse(page: str) -> list[Node]:
         nodes.append(Node(tag, here, words))
         here = len(nodes) - 1
         if not token.endswith("/>"):
-            stack.append((tag, here))
+            push(tag, here)
         else:
             here = nodes[here].parent
     flush()
+    for n in nodes[1:]:
+        above = nodes[n.parent]
+        n.barred = above.barred or above.tag in BARRING_TAGS or not BARRING_WORDS.isdisjoint(above.words)
     return nodes
 
 
@@ -205,6 +241,8 @@ def evidence(node: Node) -> list[str]:
     n = len(text)
     out = ["t:" + node.tag, f"n:{min(12, n.bit_length())}"]
     out += ["w:" + w for w in node.words]
+    if node.barred:
+        out.append("in:other")
     if n:
         share = min(1.0, node.linked / n)
         out.append(f"l:{round(share * 4)}")
@@ -230,11 +268,14 @@ def page_labels(nodes: list[Node]) -> list[int] | None:
     out: list[int] = []
     for n in nodes:
         inside = out[n.parent] if n.parent >= 0 else 0
-        other = n.tag in OTHER_TAGS or any(w in OTHER_WORDS for w in n.words)
-        out.append(int((inside or named(n)) and not other))
+        out.append(int((inside or named(n)) and not marked_other(n)))
     return out
 
 
+def marked_other(node: Node) -> bool:
+    return node.barred or node.tag in OTHER_TAGS or not OTHER_WORDS.isdisjoint(node.words) or "disqus" in node.words
+
+
 def count_page(page: str) -> Counter:
     nodes = parse(page)
     labels = page_labels(nodes)
@@ -253,12 +294,13 @@ def fit_counts(counts: dict[str, float]) -> Model:
     names = {k[2:] for k in counts if k[1] == "|"}
     prior = {"t:" + t: (PRIOR_COUNT, 1.0) for t in CONTENT_TAGS} | {"t:" + t: (1.0, 4 * PRIOR_COUNT) for t in OTHER_TAGS}
     prior |= {"w:" + w: (PRIOR_COUNT, 4.0) for w in CONTENT_WORDS} | {"w:" + w: (1.0, 8 * PRIOR_COUNT) for w in OTHER_WORDS}
+    prior["in:other"] = (1.0, 8 * PRIOR_COUNT)
     total = [counts.get("y:0", 0) + 100.0, counts.get("y:1", 0) + 100.0]
-    unary = {}
+    unary = {"in:other": -12.0}  # above what an article's own tag and words can weigh
     for e in names | set(prior):
         p1, p0 = prior.get(e, (1.0, 1.0))
         odds = math.log((counts.get(f"1|{e}", 0) + p1) / total[1]) - math.log((counts.get(f"0|{e}", 0) + p0) / total[0])
-        unary[e] = max(-5.0, min(3.0, odds))
+        unary[e] = max(-5.0, min(3.0, odds)) + unary.get(e, 0.0)
     pair = np.zeros((2, 2))
     start = np.array([[400.0, 4.0], [4.0, 400.0]])
     for a in (0, 1):
@@ -303,8 +345,15 @@ def main_text(page: str | None, model: Model) -> str:
         return ""
     nodes = parse(page)
     chosen = []
-    for node, p in zip(nodes, marginals(nodes, model)):
-        if p >= 0.5:
+    p = marginals(nodes, model)
+    taken = p >= 0.5
+    if not any(t and n.runs for t, n in zip(taken, nodes)):
+        # a page without marks: the likeliest of its texts that nothing marks as surroundings
+        free = np.array([bool(own_text(n)) and not marked_other(n) for n in nodes])
+        least = max(FALLBACK_LEAST, FALLBACK_SHARE * p[free].max()) if free.any() else 1.0
+        taken = free & (p >= least)
+    for node, keep in zip(nodes, taken):
+        if keep:
             chosen += [(order, SPACES.sub(" ", t).strip()) for order, t in node.runs]
     return " ".join(t for _, t in sorted(chosen) if t)
 

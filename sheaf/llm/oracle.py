@@ -24,6 +24,21 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+_WORDS9 = rf"regexp_extract_all({_LOWERED}, '[^\x20\x09-\x0D]+')"
+
+OP9 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_WORDS9} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(1, len(w) - 3), lambda k: w[k:k+4]) END) AS g FROM d)),
+n AS (SELECT d.doc_id, count(s.g) AS n FROM d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT e.b, reach.c FROM reach JOIN e ON e.a = reach.doc_id)
+SELECT n.doc_id, n.n AS n_shingles, min(reach.c) AS component_id, n.doc_id = min(reach.c) AS kept
+FROM n JOIN reach ON reach.doc_id = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
 OP11 = """
 WITH r AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -43,4 +58,4 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 50 * positive_score
 QUALIFY rank <= 3
 """
 
-ORACLE = {"op10_decontamination": OP10, "op11_anchor_tree": OP11}
+ORACLE = {"op9_odd_sketch": OP9, "op10_decontamination": OP10, "op11_anchor_tree": OP11}

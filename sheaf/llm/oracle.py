@@ -58,4 +58,24 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT alike AND 50 * positive_score
 QUALIFY rank <= 3
 """
 
-ORACLE = {"op9_odd_sketch": OP9, "op10_decontamination": OP10, "op11_anchor_tree": OP11}
+OP12 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT r, k, md5(b[k:k + 399]) AS h FROM (SELECT r, b, unnest(range(1, n - 398)) AS k FROM d WHERE n >= 400)),
+m AS (
+  SELECT r, k, coalesce(k > lag(k) OVER (PARTITION BY r ORDER BY k) + 400, true) AS new
+  FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+spans AS (
+  SELECT r, j, min(k) AS a, max(k) + 400 AS z FROM (SELECT r, k, sum(new::INT) OVER (PARTITION BY r ORDER BY k) AS j FROM m) GROUP BY r, j),
+gaps AS (
+  SELECT r, j, coalesce(lag(z) OVER (PARTITION BY r ORDER BY j), 1) AS a, a AS z FROM spans
+  UNION ALL SELECT r, max(j) + 1, max(z), max(n) + 1 FROM spans JOIN d USING (r) GROUP BY r),
+rest AS (
+  SELECT r, string_agg(substr(hex(b), 2 * g.a - 1, 2 * (g.z - g.a)), '' ORDER BY j) AS kept FROM gaps g JOIN d USING (r) GROUP BY r),
+lost AS (SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(sha256(unhex(kept)), sha256(b)) AS kept_sha256
+FROM d LEFT JOIN lost USING (r) LEFT JOIN rest USING (r)
+"""
+
+ORACLE = {"op9_odd_sketch": OP9, "op10_decontamination": OP10, "op11_anchor_tree": OP11, "op12_induced_dedup": OP12}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -48,6 +49,24 @@ def write_scratch(df: DataFrame, name: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now.
+
+    Its cleaner goes by garbage collection on the driver, which on a quiet
+    driver comes long after the files could have gone."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def drop_scratch(*tables: DataFrame) -> None:
+    """Delete the files of tables of ``write_scratch`` that nothing reads any more."""
+    for df in tables:
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else.  ``lower`` has a fast path for ASCII;
     other texts go through ``translate``."""

@@ -10,9 +10,11 @@ screened by their sketches, and are confirmed on the full sets.
 
 No pairs are spread out within a bucket: each round draws one hub per
 bucket and tests it against the members outside its component.  When the
-hub rounds end, buckets that still hold several components have every
-member outside their largest component tested against all members of
-other components (``_exhaustive``), so no pair that shares a band is lost.
+hub rounds end, the members of buckets that still hold several components
+meet by prefixes of their full sets, rarest shingles first (``_exhaustive``):
+every pair that is similar enough has a shingle in common there, and the
+places it stands at bound what the pair can share, so members that are only
+alike through a common stock of shingles are not compared.
 The number of bands is set so that a pair at the threshold shares none
 with a probability below ``MISS``; the sketch screen lies six standard
 deviations below the threshold.
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from sheaf.llm.common import write_scratch
 from sheaf.llm.components import connected_components
+from sheaf.operators.joins import join_group_values
 
 SHINGLE = 5
 ROWS = 5
@@ -225,22 +228,39 @@ class _Search:
         met = rows.join(hub, "band").where("comp <> hub_comp")
         return met.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
 
+    def _prefixes(self, rows: DataFrame) -> DataFrame:
+        """(s, at, cid, comp, n): the shingles by which members of open buckets can meet.
+
+        Members list their shingles from the rarest to the commonest, rarity
+        being counted over all of them.  Sets that are similar enough share one
+        near the front: ``at`` places before it leave too little to share.
+        Shingles of one member alone are counted, not carried."""
+        whole = round(self.threshold * 100)
+        members = write_scratch(rows.select("cid", "comp").distinct(), "open-members")
+        each = members.join(self.sets, "cid").select("cid", "comp", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+        shared = each.groupBy("s").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        told = join_group_values(each, shared, ["s"], "c")
+        order = F.array_sort(F.collect_list(F.struct("c", "s"))).alias("o")
+        listed = told.groupBy("cid", "comp", "n").agg(order).withColumn("alone", F.col("n") - F.size("o"))
+        front = listed.select("cid", "comp", "n", "alone", F.posexplode(F.transform("o", lambda x: x["s"])).alias("k", "s"))
+        at = F.col("alone") + F.col("k")
+        return front.select("s", at.alias("at"), "cid", "comp", "n").where((F.col("n") - F.col("at")) * 100 >= F.col("n") * whole)
+
     def _exhaustive(self, rows: DataFrame) -> DataFrame:
-        """All pairs of different components in open buckets that pass the
-        screen, one side outside the bucket's largest component."""
-        size = rows.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("c"))
-        top = size.groupBy("band").agg(F.max(F.struct("c", "comp")).alias("t")).select("band", F.col("t.comp").alias("top"))
-        full = rows.join(self.members, "cid")
-        few = full.join(top, "band").where("comp <> top")
-        x, y = few.alias("x"), full.alias("y")
-        t = F.lit(self.threshold)
+        """Pairs of open members of different components that can be similar enough, all of them.
+
+        The larger set x and the smaller y first meet at places i and j of their
+        lists, so they share at most min(nx - i, ny - j) shingles."""
+        whole = round(self.threshold * 100)
+        front = write_scratch(self._prefixes(rows), "prefixes")
+        x, y = front.alias("x"), front.where((F.col("n") - F.col("at")) * (100 + whole) >= F.col("n") * (2 * whole)).alias("y")
+        most = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
         met = x.join(
             y,
-            (F.col("x.band") == F.col("y.band"))
+            (F.col("x.s") == F.col("y.s"))
             & (F.col("x.comp") != F.col("y.comp"))
-            & ((F.col("y.comp") == F.col("x.top")) | (F.col("x.cid") < F.col("y.cid")))
-            & (F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * t - F.lit(1e-9))
-            & (sketch_similarity(F.col("x.sketch"), F.col("y.sketch"), self.samples) >= F.lit(screen(self.threshold))),
+            & ((F.col("y.n") < F.col("x.n")) | ((F.col("y.n") == F.col("x.n")) & (F.col("y.cid") < F.col("x.cid"))))
+            & (most * (100 + whole) >= (F.col("x.n") + F.col("y.n")) * whole),
         )
         return met.select(F.least("x.cid", "y.cid").alias("a"), F.greatest("x.cid", "y.cid").alias("b")).distinct()
 

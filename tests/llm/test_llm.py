@@ -357,6 +357,29 @@ def test_near_duplicates_in_a_chain(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(data, 85)
 
 
+def test_near_duplicates_in_a_group_that_is_just_too_different(spark, monkeypatch):
+    """Members with a stock of shared words are not all compared; no link is lost."""
+    stock, rng = prose(71, 200).split(), np.random.default_rng(5)
+    data = []
+    for k in range(120):
+        words = list(stock)
+        for at in rng.choice(200, size=int(rng.integers(2, 8)), replace=False):
+            words[at] = f"w{k}x{at}" if rng.random() < 0.7 else f"w{at}"
+        data.append((k, " ".join(words)))
+    compared = []
+    confirm = oddsketch._Search.confirm
+
+    def counted(self, pairs):
+        pairs = oddsketch.write_scratch(pairs, "counted")
+        compared.append(pairs.count())
+        confirm(self, pairs)
+
+    monkeypatch.setattr(oddsketch._Search, "confirm", counted)
+    got = oddsketch.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"), 0.85).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(data, 85)
+    assert compared[-1] < 120 * 119 / 2 / 10
+
+
 def test_near_stage_decides_per_row(spark):
     """Null and repeated doc_ids: clean rows stay, one row of each group stays."""
     reach_workers(spark)

@@ -3,9 +3,11 @@
 Letter-to-letter transducers over word classes are composed into one
 machine: a lexicon tags insults, threats, targets, negations and reported
 speech; then one transducer marks threats and insults in the scope of a
-negation, one marks what follows a verb of saying, one marks those with a
-target in the clause.  Each marked form of an insult or threat is an event
-of a clause; a document's score is a logistic function of its events.
+negation, one marks what follows a verb of saying, one marks those that
+follow a target.  The last one then runs over the machine's output from the
+clause's end, for those that a target follows ("I will kill you").  Each
+marked form of an insult or threat is an event of a clause; a document's
+score is a logistic function of its events.
 
 The insult lexicon (whole words and word stems) and the event weights are
 fitted on a bounded, hash-drawn sample of labelled texts; the weights have
@@ -41,7 +43,9 @@ STEM_LENGTHS = range(4, 9)
 THRESHOLD = 0.7
 
 # Closed-class words of the grammar in English, German, French, Spanish.
-THREATS = "kill hurt destroy attack beat punish töten umbringen schlagen tuer frapper détruire matar golpear destruir".split()
+THREATS = """kill kills killing hurt hurts hurting destroy destroys destroying attack attacks attacking beat beats beating
+punish punishes punishing töten töte tötet umbringen schlagen schlage schlägt tuer tue tuerai tuerons frapper frappe frapperai
+détruire détruis détruirai matar mato mataré mataremos golpear golpeo golpearé destruir destruyo destruiré""".split()
 TARGETS = "you your yourself they them he she him her du dich dir ihr euch sie toi vous ils elles tú usted ustedes ellos ellas".split()
 NEGATIONS = "not no never neither nor isn't aren't don't nicht kein keine nie ne pas jamais ni nunca jamás".split()
 REPORTS = "said says told claimed wrote quoted reported sagte sagt schrieb behauptete dit écrit déclaré dijo dice escribió".split()
@@ -53,7 +57,7 @@ EVENTS = [k + m for k in "IH" for m in ("", "t", "n", "r")]  # plain, targeted,
 PRIOR = {"I": 6.0, "It": 6.5, "In": 2.0, "Ir": 2.0, "H": 3.0, "Ht": 5.5, "Hn": 0.5, "Hr": 0.5}
 PRIOR_CONSTANT, PRIOR_PRECISION = -3.0, 0.5
 
-WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")
+WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)*")  # in texts whose typographic apostrophes are made plain
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
 
 
@@ -110,9 +114,10 @@ def reported() -> Fst:
 
 
 def targeted() -> Fst:
+    """Marks what comes after a target; the target stays for the way back."""
     fst = Fst(default={0: 0, 1: 1})
     for k in (0, 1):
-        fst.arcs[k, "T"] = (1, "o")
+        fst.arcs[k, "T"] = (1, "T")
     for kind in "IH":
         fst.arcs[1, kind] = (1, kind + "t")
     return fst
@@ -123,6 +128,19 @@ def grammar() -> Fst:
     return compose(compose(negation(), reported(), classes), targeted(), classes)
 
 
+def transduce(machine: Fst, symbols: list[str]) -> list[str]:
+    state, out = machine.start, []
+    for symbol in symbols:
+        state, said = machine.step(state, symbol)
+        out.append(said)
+    return out
+
+
+def clause_events(machine: Fst, back: Fst, classes: list[str]) -> list[str]:
+    """The clause's word classes through ``machine``, then from the end through ``back``."""
+    return transduce(back, transduce(machine, classes)[::-1])[::-1]
+
+
 # ----------------------------------------------------------------- lexicon
 def _fixed() -> dict[str, str]:
     return {w: c for words, c in ((REPORTS, "R"), (NEGATIONS, "N"), (TARGETS, "T"), (THREATS, "H")) for w in words}
@@ -136,7 +154,7 @@ class Tagger:
         self.stems = tuple(stems)
         marks = sorted({re.escape(w) + r"(?![^\W\d_])" for w in [*words, *THREATS]} | {re.escape(s) for s in stems})
         self.hit = re.compile(r"(?<![^\W\d_])(?:" + "|".join(marks) + ")")
-        self.machine = grammar()
+        self.machine, self.back = grammar(), targeted()
 
     def _class(self, word: str) -> str:
         c = self.classes.get(word)
@@ -148,7 +166,7 @@ class Tagger:
         """Count of each event in the clauses of a whole text."""
         counts = dict.fromkeys(EVENTS, 0)
         if text:
-            low = text.lower()
+            low = text.lower().replace("\u2019", "'")
             done = -1
             for m in self.hit.finditer(low):
                 if m.start() < done:
@@ -156,9 +174,8 @@ class Tagger:
                 begin = max(low.rfind(c, 0, m.start()) for c in ".!?;:\n") + 1
                 end = CLAUSE_END.search(low, m.end())
                 done = end.start() if end else len(low)
-                state = self.machine.start
-                for w in WORD.finditer(low, begin, done):
-                    state, out = self.machine.step(state, self._class(w.group()))
+                classes = [self._class(w.group()) for w in WORD.finditer(low, begin, done)]
+                for out in clause_events(self.machine, self.back, classes):
                     if out in counts:
                         counts[out] += 1
         return [counts[e] for e in EVENTS]

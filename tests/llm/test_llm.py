@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import product
 
 import duckdb
 import numpy as np
@@ -179,6 +180,54 @@ def test_quality_rejects_symbols(spark):
     assert not any(got[1000 + k] for k in range(10))
 
 
+def test_quality_rejects_repeated_lines_and_words(spark):
+    """Texts out of line in repeated lines alone, or in repeated words alone, among clean ones without spread."""
+    clean = [(k, "\n".join(prose(100 * k + j, 4) for j in range(50)), "en", "s") for k in range(400)]
+    lines_ = [(1000 + k, "\n".join([prose(90_000 + 100 * k + j, 4) for j in range(31)] + [prose(90_000 + 100 * k, 4)] * 29), "en", "s") for k in range(8)]
+    words_ = [(2000 + k, prose(k, 110) + "\n" + prose(k + 50_000, 49) + "\n" + prose(k + 50_000, 49), "en", "s") for k in range(8)]
+    schema = "doc_id long, text string, lang string, source string"
+    got = {r.doc_id: r for r in outliers.judge(spark.createDataFrame(clean + lines_ + words_, schema)).collect()}
+    assert sum(got[k].kept for k in range(400)) >= 398
+    assert not any(r.base_failed for r in got.values())
+    assert not any(got[k].kept for k in [*range(1000, 1008), *range(2000, 2008)])
+
+
+def numpy_least_determinant(x, starts=60):
+    """Least log determinant of a subset's covariance, by concentration steps from many random starts."""
+    rng, h, best = np.random.default_rng(0), math.ceil(outliers.SUBSET * len(x)), math.inf
+    for _ in range(starts):
+        part = x[rng.choice(len(x), size=outliers.D + 1, replace=False)]
+        for _ in range(30):
+            inverse = np.linalg.pinv(np.cov(part.T, bias=True))
+            d = np.einsum("ij,jk,ik->i", x - part.mean(0), inverse, x - part.mean(0))
+            part = x[np.argsort(d, kind="stable")[:h]]
+        best = min(best, np.linalg.slogdet(np.cov(part.T, bias=True) * outliers.CONSISTENCY)[1])
+    return best
+
+
+def test_quality_estimate_is_the_least_determinant(spark):
+    """Against numpy, with a fifth of each group shifted away: the determinant is within 0.01 (in logarithm) of the
+    least of 60 random starts, and the estimate is that of its own nearest rows (a fixed point of the steps)."""
+    rng, data = np.random.default_rng(3), {}
+    for g in ("a", None):
+        mix = rng.normal(size=(5, 5)) + 2 * np.eye(5)
+        x = rng.normal(size=(400, 5)) @ mix * 3 + rng.normal(size=5) * 10
+        x[:80] += 60
+        data[g] = x
+    table = [(g, k, *map(float, v)) for g, x in data.items() for k, v in enumerate(x)]
+    df = spark.createDataFrame(table, "lang string, k long, " + ", ".join(f"{n} double" for n in outliers.NAMES))
+    model = outliers.mcd(df.select("lang", *outliers.NAMES), ["lang"], "test")
+    dets = {r["lang"]: r["log_det"] for r in model.collect()}
+    scored = outliers._with(df, model, ["lang"]).select("lang", "k", outliers._distance().alias("d")).collect()
+    for g, x in data.items():
+        assert dets[g] <= numpy_least_determinant(x) + 0.01
+        got = np.array([r.d for r in sorted((r for r in scored if r.lang == g), key=lambda r: r.k)])
+        part = x[np.argsort(got, kind="stable")[: math.ceil(outliers.SUBSET * len(x))]]
+        cov = np.cov(part.T, bias=True) * outliers.CONSISTENCY
+        assert dets[g] == pytest.approx(np.linalg.slogdet(cov)[1], abs=1e-6)
+        assert list(got) == pytest.approx(list(np.einsum("ij,jk,ik->i", x - part.mean(0), np.linalg.inv(cov), x - part.mean(0))), rel=1e-6)
+
+
 # -------------------------------------------------------------- trie, op 4
 @pytest.mark.parametrize(("n", "bits"), [(0, 5), (1, 64), (7, 10), (1000, 64), (3000, 40)])
 def test_elias_fano(n, bits):
@@ -438,6 +487,31 @@ def test_grammar():
     assert sum(tagger.events(None)) == sum(tagger.events("")) == sum(tagger.events("idiotic plain")) == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "event"),
+    [("I will kill you", "Ht"), ("I will beat him", "Ht"), ("idiot, you", "It"), ("what an idiot you are", "It"), ("you will kill", "Ht"),
+     ("he kills you", "Ht"), ("killing them", "Ht"), ("don\u2019t kill anyone", "Hn"), ("don't kill you", "Hn"), ("kill. You", "H"),
+     ("he said: kill you", "Ht"), ("he said kill you", "Hr")],
+)
+def test_grammar_of_clauses(text, event):
+    tagger = toxicity.Tagger(["idiot"], [])
+    assert dict(zip(toxicity.EVENTS, tagger.events(text))) == dict.fromkeys(toxicity.EVENTS, 0) | {event: 1}
+
+
+def test_grammar_against_its_definition():
+    """Every clause of up to five word classes: negated within its scope, else reported, else targeted from either side."""
+    machine, back = toxicity.grammar(), toxicity.targeted()
+    for n in range(1, 6):
+        for clause in product("IHTNRo", repeat=n):
+            want = []
+            for k, c in enumerate(clause):
+                if c in "IH":
+                    negated = "N" in clause[max(0, k - toxicity.SCOPE) : k]
+                    want.append(c + ("n" if negated else "r" if "R" in clause[:k] else "t" if "T" in clause else ""))
+            got = toxicity.clause_events(machine, back, list(clause))
+            assert [e for e in got if e in toxicity.EVENTS] == want, clause
+
+
 @needs(SF0001)
 def test_toxicity_held_out(spark):
     sf = SF0001.replace("0.001", "0.01")

@@ -55,14 +55,20 @@ def best_fit(lengths: np.ndarray, items: list[int], bins: Bins, capacity: int) -
     return bins
 
 
+def fills(lengths: np.ndarray, bins: Bins) -> np.ndarray:
+    """Tokens in each bin; bins hold few pieces, so plain sums beat an array per bin."""
+    size = lengths.tolist()
+    return np.array([sum([size[i] for i in b]) for b in bins])
+
+
 def fitness(lengths: np.ndarray, bins: Bins, capacity: int) -> tuple[int, float]:
     """Fewer bins first, then the mean square fill: full bins and one nearly empty beat even ones."""
-    fill = np.array([lengths[b].sum() for b in bins]) / capacity
+    fill = fills(lengths, bins) / capacity
     return -len(bins), float((fill * fill).sum())
 
 
 def crossover(rng: np.random.Generator, lengths: np.ndarray, donor: Bins, taker: Bins, capacity: int) -> Bins:
-    fill = np.array([lengths[b].sum() for b in donor])
+    fill = fills(lengths, donor)
     full = np.flatnonzero(fill >= np.quantile(fill, 0.5))
     chosen = [donor[k] for k in full if rng.random() < 0.5]
     inside = np.zeros(len(lengths), dtype=bool)
@@ -79,7 +85,7 @@ def crossover(rng: np.random.Generator, lengths: np.ndarray, donor: Bins, taker:
 
 def mutate(rng: np.random.Generator, lengths: np.ndarray, bins: Bins, capacity: int) -> Bins:
     """Empty the least filled bin and a few others."""
-    fill = np.array([lengths[b].sum() for b in bins])
+    fill = fills(lengths, bins)
     out = set(rng.choice(len(bins), size=min(len(bins), 4), replace=False).tolist()) | {int(fill.argmin())}
     kept = [list(b) for k, b in enumerate(bins) if k not in out]
     return _refit(rng, lengths, kept, [i for k in out for i in bins[k]], capacity)

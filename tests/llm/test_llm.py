@@ -64,6 +64,17 @@ def test_encoder_equals_the_library():
         assert got.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_remembers_over_generations(monkeypatch):
+    """Small generations, turned many times: the library's ids all the same."""
+    monkeypatch.setattr("sheaf.llm.tokens.GENERATION", 50)
+    enc = ChunkEncoder(default_tokenizer_path())
+    texts = [prose(k % 7, 40 + k) + "\n" + prose(k, 5) + "." for k in range(60)]
+    for k in range(0, 60, 4):
+        for text, ids in zip(texts[k : k + 4], enc.encode_many(texts[k : k + 4])):
+            assert ids.tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
+    assert enc.older_spaced and len(enc.spaced) + len(enc.older_spaced) < len({c for t in texts for c in t.split(" ")})
+
+
 def test_added_tokens_have_their_ids():
     from tokenizers import Tokenizer
 
@@ -139,6 +150,22 @@ def test_evolution_beats_no_worse_than_best_fit():
     assert len(best) <= len(greedy)
 
 
+@pytest.mark.parametrize(("triples", "seed", "offspring"), [(12, 0, 6), (20, 0, 6), (40, 0, 200), (40, 2, 200)])
+def test_evolution_saves_bins_that_best_fit_decreasing_opens(triples, seed, offspring):
+    """Threes that fill a sequence exactly, in any order."""
+    rng, lengths = np.random.default_rng(seed), []
+    for _ in range(triples):
+        a, b = (int(rng.integers(560, 800)) for _ in "ab")
+        lengths += [a, b, 2048 - a - b]
+    lengths = np.array(lengths)
+    rng.shuffle(lengths)
+    greedy = packing.best_fit(lengths, np.argsort(-lengths, kind="stable").tolist(), [], 2048)
+    best = packing.evolve(lengths, 2048, 1 if offspring > 6 else 0, [], population=8 if offspring > 6 else 4, offspring=offspring)
+    assert sorted(i for b in best for i in b) == list(range(3 * triples))
+    assert all(lengths[b].sum() <= 2048 for b in best)
+    assert triples <= len(best) < len(greedy)
+
+
 # ---------------------------------------------------------------- sharding
 def test_sharding(docs, none):
     got = sharding.shard_by_size(docs, 4).collect()

@@ -6,7 +6,9 @@ pre-token (`` ?\\p{L}+`` and its siblings take one space in front, no
 pattern takes one behind).  So the ids of a text are the ids of its
 space-separated chunks, and each distinct chunk is encoded once per
 worker.  Texts with other white space at a chunk's edge are cut only at
-the spaces for which this holds.  Added tokens (``<|endoftext|>``) have
+the spaces for which this holds.  The memory has two generations: a full
+one becomes the older, and chunks met again come back from it, so the many
+chunks that occur once do not push out those that recur.  Added tokens (``<|endoftext|>``) have
 their own ids, as in the library: texts are cut at them first.
 """
 
@@ -19,8 +21,8 @@ from itertools import filterfalse
 
 import numpy as np
 
-#: Chunks remembered per worker before the memory starts anew (about 200 bytes each).
-MAX_MEMO = 700_000
+#: Chunks in a generation of a worker's memory, of which it has two (about 200 bytes each).
+GENERATION = 350_000
 #: Chunks encoded by one call.
 JOINED = 2_000
 
@@ -47,6 +49,8 @@ class ChunkEncoder:
         #: chunk -> ids as little-endian uint16 bytes, with and without a space in front.
         self.spaced: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}
+        self.older_spaced: dict[str, bytes] = {}
+        self.older_bare: dict[str, bytes] = {}
         self.marks = {c: self._ids(c) for c in ".,\n"}
         added = self.tokenizer.get_added_tokens_decoder()
         self.added = {t.content: array("H", [k]).tobytes() for k, t in added.items()}
@@ -106,10 +110,22 @@ class ChunkEncoder:
                 memo[c] = memo[left] + self.marks["\n"] + self.bare[right]
 
     def _know(self, chunks: set[str], memo: dict[str, bytes], lead: str) -> None:
+        """Fill ``memo`` for ``chunks``, from the older generation where it has them."""
+        older = self.older_spaced if lead else self.older_bare
         missing = set(filterfalse(memo.__contains__, chunks))
+        back = [c for c in missing if c in older]
+        memo.update(zip(back, map(older.__getitem__, back)))
+        missing.difference_update(back)
         if missing:
             self._learn(missing, memo, lead)
 
+    def _turn(self) -> None:
+        """Full generations become the older ones."""
+        if len(self.spaced) > GENERATION:
+            self.older_spaced, self.spaced = self.spaced, {}
+        if len(self.bare) > GENERATION:
+            self.older_bare, self.bare = self.bare, {}
+
     def encode_many(self, texts: list[str | None]) -> list[np.ndarray]:
         """uint16 ids of each whole text; null is the empty text."""
         special = [n for n, t in enumerate(texts) if t and any(c in t for c in self.added)]
@@ -132,9 +148,7 @@ class ChunkEncoder:
 
     def _encode_ordinary(self, texts: list[str | None]) -> list[np.ndarray]:
         """``encode_many`` of texts without added tokens."""
-        for memo in (self.spaced, self.bare):
-            if len(memo) > MAX_MEMO:
-                memo.clear()
+        self._turn()
         split = [t.split(" ") if t else None for t in texts]
         missing: set[str] = set()
         first: set[str] = set()
@@ -151,8 +165,7 @@ class ChunkEncoder:
             missing -= bad
             first -= bad
         self._know(first, self.bare, "")
-        if missing:
-            self._learn(missing, self.spaced, " ")
+        self._know(missing, self.spaced, " ")
         out = []
         get, bare = self.spaced.__getitem__, self.bare
         for t, p in zip(texts, split):

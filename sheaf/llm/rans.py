@@ -37,6 +37,8 @@ STEPS = 1024
 BLOCK = LANES * STEPS
 CHECKPOINT = 256
 SEGMENT_TOKENS = 16 * BLOCK
+#: Characters of a text that decide its range among rows of one doc_id.
+TIE_CHARS = 64
 LOW = np.uint64(1 << 31)
 _BLOCK = "struct<n:int,crc:bigint,words:binary,states:binary,starts:binary>"
 FILE_SCHEMA = (
@@ -212,8 +214,11 @@ def _segments(batches: Iterator[pa.RecordBatch], path: str, end_id: int, segment
 def write_token_file(
     docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 2, segment_tokens: int = SEGMENT_TOKENS
 ) -> None:
-    """Encode (doc_id, text) and write the segments to ``path``."""
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    """Encode (doc_id, text) and write the segments to ``path``.
+
+    Rows of one doc_id (or of null) are dealt by their texts' beginnings, in the same order that sorts them."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, TIE_CHARS)).sortWithinPartitions("doc_id", "text")
     ordered.mapInArrow(
         lambda it: _segments(it, tokenizer_path, end_id, segment_tokens), FILE_SCHEMA
     ).write.option("compression", "none").parquet(path)

@@ -8,18 +8,19 @@ from pyspark.sql import functions as F
 from sheaf.llm.common import write_scratch
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, comp): the smallest node reachable over the edges (nulls never link).
 
     Each round takes the smallest label among neighbours, then jumps to the
-    label of the label, so a path of n nodes needs about log n rounds.  Every
-    round is a table in the shared folder.
+    label of the label, so a path of n nodes needs about log n rounds.  Labels
+    only fall, and the smallest reaches one more neighbour in every round, so
+    the rounds end by themselves.  Every round is a table in the shared folder.
     """
     both = edges.select(F.col(a).alias("node"), F.col(b).alias("next")).where("node is not null and next is not null and node <> next")
     both = write_scratch(both.unionByName(both.select(F.col("next").alias("node"), F.col("node").alias("next"))).distinct(), "edges")
     labels = both.groupBy("node").agg(F.least(F.min("next"), F.first("node")).alias("comp"))
     labels = write_scratch(labels, "labels")
-    for _ in range(max_rounds):
+    while True:
         near = both.join(labels.withColumnRenamed("node", "next"), "next").groupBy("node").agg(F.min("comp").alias("near"))
         step = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("down"))
         jump = labels.select(F.col("node").alias("down"), F.col("comp").alias("far"))
@@ -30,4 +31,3 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         labels = new.select("node", "comp")
         if new.where("moved").isEmpty():
             return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

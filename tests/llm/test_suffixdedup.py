@@ -38,6 +38,22 @@ def test_suffix_order(tmp_path, spill):
     assert os.listdir(tmp_path) == []
 
 
+def test_common_prefixes_of_prose():
+    """Copies that go on differently: neighbours whose common prefix ends at one symbol of two
+    types stand between others that end at two symbols, at any level of the recursion."""
+    rng = random.Random(8)
+    for _ in range(25):
+        words = [bytes(rng.choice(b"aeiounrst") for _ in range(rng.randint(1, 6))) for _ in range(40)]
+        shared = b" ".join(rng.choice(words) for _ in range(60))
+        pieces = [shared[: max(len(shared) - rng.randint(0, 30), 20)] + b" ".join(rng.choice(words) for _ in range(8)) for _ in range(6)]
+        places, common = induced.suffix_order(pieces)
+        starts = np.cumsum([0, *(len(p) + 1 for p in pieces)])
+        suffix = {int(s) + k: p[k:] for s, p in zip(starts, pieces) for k in range(len(p))}
+        ordered = [suffix[k] for k in places.tolist()]
+        assert ordered == sorted(suffix.values())
+        assert common.tolist() == [0, *(len(os.path.commonprefix([a, b])) for a, b in zip(ordered, ordered[1:]))]
+
+
 def brute(texts, width):
     """(n_bytes, n_removed, n_spans, sha256 of the rest) of each text."""
     data = [(t or "").encode() for t in texts]

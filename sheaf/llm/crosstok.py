@@ -28,6 +28,7 @@ no id is a key.  Other columns than the id and the text are ignored.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain, filterfalse
@@ -79,6 +80,7 @@ class Chunk(NamedTuple):
 
 class Aligner:
     def __init__(self, a_path: str, b_path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -184,6 +186,10 @@ class Aligner:
             x, m = memo[c[:-1]], self.marks[c[-1]]
             memo[c] = x and Chunk(x[0] + m[0], x[1] + m[1], x[2] + m[2], x[3] + ";" + m[3], x[4] + m[4], x[5] + m[5])
 
+    def forget(self) -> None:
+        """Give the memory back: an idle worker would hold it beside the tasks of later stages."""
+        self.memo, self.odd = {}, {}
+
     def align(self, texts: list[str | None]) -> list[list[Chunk] | None]:
         """The chunks of each whole text; None where the text has no tokens."""
         for memo in (self.memo, self.odd):
@@ -235,8 +241,7 @@ def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | No
     """
     a_path, b_path = a_path or default_tokenizer_path(), b_path or default_piece_path()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = aligner(a_path, b_path)
+    def aligned(work: Aligner, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             for start, end in slices(texts):
@@ -259,6 +264,13 @@ def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | No
                     names=["id", "n_a", "n_b", "n_groups", "groups", "same", "pairs"],
                 )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = aligner(a_path, b_path)
+        try:
+            yield from aligned(work, batches)
+        finally:
+            work.forget()
+
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([
         T.StructField("id", rows.schema["id"].dataType),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 from collections import Counter
 
@@ -105,3 +106,21 @@ def test_empty_table(spark):
     reach_workers(spark)
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert crosstok.alignment_report(docs).collect() == []
+
+
+def test_workers_forget_after_a_task(spark):
+    """Workers stay for later stages; what they remember of a task's texts goes with it."""
+    reach_workers(spark)
+    docs = spark.createDataFrame([(k, f"word{k} and more, {k * k}") for k in range(200)], "doc_id long, text string").repartition(8)
+    assert crosstok.align_documents(docs).count() == 200
+
+    def held(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            sizes = [len(x.memo) + len(x.odd) for x in crosstok._loaded.values()]
+            yield pa.RecordBatch.from_pydict({"n": [sum(sizes)], "threads": [os.environ.get("TOKENIZERS_PARALLELISM", "")]})
+
+    rows = spark.range(0, 8, 1, 8).mapInArrow(held, "n long, threads string").collect()
+    assert {r.n for r in rows} == {0}
+    assert "false" in {r.threads for r in rows}

@@ -305,6 +305,26 @@ def test_fuzzy_lines(spark, docs, none):
     assert fuzzylines.dedup_lines(none).collect() == []
 
 
+def test_keys_go_in_turns(spark, monkeypatch):
+    """No shuffle holds all kinds of keys at once, and the turns together find what one would."""
+    tables, write = [], fuzzylines.write_scratch
+
+    def spy(df, name, **options):
+        out = write(df, name, **options)
+        tables.append((name, out))
+        return out
+
+    monkeypatch.setattr(fuzzylines, "write_scratch", spy)
+    lines = [prose(60 + k % 20, 30 + k % 3) for k in range(60)]
+    groups = fuzzylines._Groups(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), 0.9, 8)
+    turns = [Counter(map(tuple, t.select("band", "cid", "size").collect())) for name, t in tables if name == "line-buckets"]
+    whole = Counter(map(tuple, groups.buckets.collect()))
+    assert len(turns) == fuzzylines.TURNS and sum(turns, Counter()) == whole and whole
+    assert all(sum(t.values()) < 0.5 * sum(whole.values()) for t in turns)
+    forms = next(t for name, t in tables if name == "form-ids")
+    assert {cid for _, cid, _ in whole} <= {r.cid for r in forms.collect()}
+
+
 def edits(x, y):
     row = list(range(len(y) + 1))
     for i, a in enumerate(x, 1):

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sheaf.llm import decontam, eftrie, fuzzylines, htmltree, oddsketch, outliers, packing, queries, rans, sharding, toxicity
-from sheaf.llm.common import documents, reach_workers
+from sheaf.llm.common import FILE_CLEANUP, documents, reach_workers, write_scratch
 from sheaf.llm.tokens import ChunkEncoder, default_tokenizer_path
 from tests.conftest import SF0001, needs
 
@@ -357,6 +359,54 @@ def test_lines_with_changed_words_are_candidates(spark):
     assert not any(n for k, n in got.items() if k % 2 == 0 or k - 1 not in want and lines[k] != lines[k - 1])
 
 
+def test_letters_never_rule_out_what_the_edit_distance_allows(spark):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("aeinorstü"), rng.integers(1, 9)))
+    pairs = [("e " * 600 + "x", "e" * 1300), ("", "abc"), ("é", "e")]
+    for _ in range(60):
+        x = " ".join(word() for _ in range(rng.integers(1, 9)))
+        y = "".join(c for c in x if rng.random() < 0.9) + word() if rng.random() < 0.7 else " ".join(word() for _ in range(5))
+        pairs.append((x, y))
+    df = spark.createDataFrame(pairs, "x string, y string")
+    counts = {c: fuzzylines.letter_counts(F.col(c)) for c in "xy"}
+    df = df.select("*", *[n.alias(f"{c}_{k}") for c in "xy" for k, n in enumerate(counts[c])])
+    x, y = ([F.col(f"{c}_{k}") for k in range(len(fuzzylines.COUNTS))] for c in "xy")
+    for r in df.select("x", "y", fuzzylines.surplus(x, y).alias("m"), fuzzylines.surplus(y, x).alias("l")).collect():
+        kept = [Counter({c: min(n, fuzzylines.MOST) for c, n in Counter(t).items() if c in fuzzylines.LETTERS}) for t in (r.x, r.y)]
+        assert (r.m, r.l) == ((kept[0] - kept[1]).total(), (kept[1] - kept[0]).total())
+        assert max(r.m, r.l) <= edits(r.x, r.y)
+
+
+def test_lines_of_other_letters_never_come_to_the_edit_distance(spark, monkeypatch):
+    """One bucket of lines that share word pairs and lengths and nothing else: no pair of them needs its texts."""
+    tables, write = [], fuzzylines.write_scratch
+
+    def spy(df, name, **options):
+        out = write(df, name, **options)
+        if name == "line-pairs":
+            tables.append(out.count())
+        return out
+
+    monkeypatch.setattr(fuzzylines, "write_scratch", spy)
+    lines = [" ".join(["the of"] * 3 + [c * 5] * 6) for c in "bcdghjkmnp"]
+    out = fuzzylines.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"))
+    assert sum(tables) == 0
+    assert not any(r.n_dropped for r in out.collect())
+
+
+def test_scratch_tables_leave_no_shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+    before, own = files(), spark.conf.getAll.get(FILE_CLEANUP)
+    held = spark.range(20_000).groupBy((F.col("id") % 999).alias("k")).count()
+    out = write_scratch(held, "test")
+    late = time.time() + 20
+    while files() - before and time.time() < late:
+        time.sleep(0.2)
+    assert not files() - before
+    assert out.count() == 999 == held.count() and spark.conf.getAll.get(FILE_CLEANUP) == own
+
+
 def test_simhash_of_long_and_short_lines(spark):
     lines = ["a b c d e f g h i", "w " * 20_000 + "x", prose(3, 70)]
     df = spark.createDataFrame(list(enumerate(lines)), "k int, norm string").select("k", F.trim("norm").alias("norm"))

@@ -394,6 +394,56 @@ def test_lines_of_other_letters_never_come_to_the_edit_distance(spark, monkeypat
     assert not any(r.n_dropped for r in out.collect())
 
 
+def test_rare_letters_rule_out_no_similar_pair(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("aeinorstüqxz "), rng.integers(1, 9)))
+    pairs = [("eee ee", "tat"), ("", "zq"), ("é", "e")]
+    for _ in range(80):
+        x = " ".join(word() for _ in range(rng.integers(1, 9)))
+        y = "".join(c if rng.random() < 0.9 else word()[:2] for c in x)
+        pairs.append((x, y))
+    df = spark.createDataFrame(pairs, "x string, y string")
+    for r in df.select("x", "y", F.levenshtein(*[fuzzylines.rare_letters(F.col(c)) for c in "xy"]).alias("far")).collect():
+        assert r.far <= edits(r.x, r.y)
+
+
+def test_forms_without_a_near_length_leave_their_buckets(spark):
+    lines = [" ".join(["the of"] * 3 + ["word"] * n) for n in (2, 6, 14, 30, 60)]
+    groups = fuzzylines._Groups(spark.createDataFrame(list(enumerate([*lines, lines[0] + "s"])), "doc_id long, text string"), 0.9, 8)
+    assert {r.size for r in groups.buckets.collect()} == {len(lines[0]), len(lines[0]) + 1}
+
+
+def test_chance_pairs_need_their_rare_letters_only(spark, monkeypatch):
+    """Lines of the same letters and word pairs in other orders: their whole texts are not compared, and a copy is still found."""
+    tables, write = [], fuzzylines.write_scratch
+
+    def spy(df, name, **options):
+        out = write(df, name, **options)
+        if name == "pair-texts":
+            tables.append((set(out.columns), {r[0] for r in out.select(out.columns[-1]).collect()}))
+        return out
+
+    monkeypatch.setattr(fuzzylines, "write_scratch", spy)
+    words = [c * 6 for c in "bcdghjkmpq"]
+    lines = [" ".join(["the of"] * 3 + words[k:] + words[:k]) for k in range(0, 10, 2)]
+    copy = lines[0].replace("hhhhhh", "hhhhhx")
+    out = fuzzylines.dedup_lines(spark.createDataFrame(list(enumerate([*lines, copy])), "doc_id long, text string"))
+    assert {r.doc_id: r.n_dropped for r in out.collect()} == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 1}
+    seen = lambda column: {t for columns, texts in tables if column in columns for t in texts}
+    assert len(seen("rare")) > 2 and seen("norm") == {lines[0], copy}
+
+
+def test_normal_forms_of_whole_texts(spark):
+    """Made at once, they are what each line gives by itself."""
+    every = "".join(map(chr, [*range(1, 0x500), *range(0x1F00, 0x2100), 0x130, 0x3000])) + "".join(f"{chr(c)}x{chr(c)} Y " for c in range(1, 256))
+    texts = [every, "Ab  cD,12 é\tÉ x\nfoo  \n  !bar.", "a\r\nb c", "ΑΣ\nΣ ΟΔΟΣ.\n", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    whole = F.transform(F.split(fuzzylines.normalise(F.col("t")), "\n"), lambda line: F.trim(line))
+    each = F.transform(F.split("t", "\n"), lambda line: F.trim(F.regexp_replace(F.lower(line), r"[\s\p{Punct}\d]+", " ")))
+    for r in df.select("t", whole.alias("whole"), each.alias("each")).collect():
+        assert r.whole == r.each
+
+
 def test_scratch_tables_leave_no_shuffle_files(spark):
     folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
     files = lambda: {f for d in folders for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
